@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stratalog.functions.text import strip
+from stratalog.functions.text import let, strip
 
 _FLOAT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _INTEGER = r"^[+-]?[0-9]+$"
@@ -44,13 +44,19 @@ def round_tenth(x: Column) -> Column:
     less than 0.35. Here 20*x is formed without error as ``s + err`` (16x and 4x are exact) and
     compared with the odd number 2k+1 that marks the tie above k tenths.
     """
-    a, b = x * 16.0, x * 4.0
-    s = a + b
-    back = s - a
-    err = (a - (s - back)) + (b - back)
-    k = F.floor(x * 10.0).cast("double")
-    tie = k * 2.0 + 1.0
-    above = (s > tie) | ((s == tie) & (err > 0))
-    exact = (s == tie) & (err == 0)
-    up = above | (exact & (F.pmod(k, F.lit(2.0)) == 1.0))
-    return F.when(up, (k + 1.0) / 10.0).when(~up, k / 10.0)
+    def decide(x: Column) -> Column:
+        def with_k(k: Column) -> Column:
+            a, b = x * 16.0, x * 4.0
+            s = a + b
+            err = (a - (s - (s - a))) + (b - (s - a))
+            tie = k * 2.0 + 1.0
+            up = (
+                F.when(s > tie, True).when(s < tie, False)
+                .when(err > 0, True).when(err < 0, False)
+                .otherwise(F.pmod(k, F.lit(2.0)) == 1.0)
+            )
+            return (k + F.when(up, 1.0).otherwise(0.0)) / 10.0
+
+        return let(F.floor(x * 10.0).cast("double"), with_k)
+
+    return let(x, decide)

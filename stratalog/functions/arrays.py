@@ -2,27 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stratalog.functions.text import strip
+from stratalog.functions.text import let, strip
 
 # A vocabulary inlined as a map literal is part of the plan; larger ones belong in a table
 # (see operators.vocab.normalise_by_table).
 MAX_INLINE_TERMS = 1000
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once however often the body mentions it.
-
-    Array lambdas are interpreted, so a common subexpression in two branches would run twice.
-    """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def null_if_empty(items: Column) -> Column:
     return let(items, lambda a: F.when(F.size(a) > 0, a))
 

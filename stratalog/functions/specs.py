@@ -25,23 +25,36 @@ _QUANT = rf"(?iU)(q\d+[_k]?[ms]?[{WORD}]*|fp16|bf16|int\d)"
 _CONTEXT = r"([\d.]+)\s*([KMk])"
 
 
-def _spec_row(match: Column) -> Column:
-    tag = strip(F.regexp_extract(match, _ROW, 1))
-    size = strip(F.regexp_extract(match, _ROW, 2))
-    context = strip(F.regexp_extract(match, _ROW, 3))
-    size_gb = number_or_null(F.regexp_extract(size, r"([\d.]+)", 1))
-    amount = number_or_null(F.regexp_extract(context, _CONTEXT, 1))
-    unit = F.upper(F.regexp_extract(context, _CONTEXT, 2))
-    factor = F.when(unit == "M", 1e6).when(unit == "K", 1e3)
-    quant = F.lower(blank_to_null(F.regexp_extract(tag, _QUANT, 1)))
+def _parts(match: Column) -> Column:
     return F.struct(
-        tag.alias("tag"),
-        size.alias("size"),
-        size_gb.alias("size_gb"),
-        F.when(size_gb != 0, round_tenth(size_gb * fv.RAM_FACTOR)).alias("recommended_ram_gb"),
+        F.regexp_extract(match, _ROW, 1).alias("tag"),
+        F.regexp_extract(match, _ROW, 2).alias("size"),
+        strip(F.regexp_extract(match, _ROW, 3)).alias("context"),
+    )
+
+
+def _figures(r: Column) -> Column:
+    unit = F.upper(F.regexp_extract(r["context"], _CONTEXT, 2))
+    return F.struct(
+        r["tag"].alias("tag"), r["size"].alias("size"), r["context"].alias("context"),
+        number_or_null(F.regexp_extract(r["size"], r"([\d.]+)", 1)).alias("gb"),
+        (
+            number_or_null(F.regexp_extract(r["context"], _CONTEXT, 1))
+            * F.when(unit == "M", 1e6).when(unit == "K", 1e3)
+        ).try_cast("bigint").alias("window"),
+    )
+
+
+def _spec_row(r: Column) -> Column:
+    quant = F.lower(blank_to_null(F.regexp_extract(r["tag"], _QUANT, 1)))
+    return F.struct(
+        r["tag"].alias("tag"),
+        r["size"].alias("size"),
+        r["gb"].alias("size_gb"),
+        F.when(r["gb"] != 0, round_tenth(r["gb"] * fv.RAM_FACTOR)).alias("recommended_ram_gb"),
         F.coalesce(quant, F.lit(fv.QUANT_DEFAULT)).alias("quantization"),
-        context.alias("context"),
-        (amount * factor).try_cast("bigint").alias("context_window"),
+        r["context"].alias("context"),
+        r["window"].alias("context_window"),
     )
 
 
@@ -52,12 +65,12 @@ def spec_rows(page_text: Column) -> Column:
     rejected row blocks nothing, so two independent "first of" windows would lose rows. Sizes that
     are missing or zero sort after everything up to 999 GB. No row gives NULL.
     """
-    found = F.transform(F.regexp_extract_all(page_text, F.lit(_ROW), F.lit(0)), _spec_row)
+    found = F.transform(F.regexp_extract_all(page_text, F.lit(_ROW), F.lit(0)), _parts)
     found = F.filter(found, lambda r: ~F.lower(r["tag"]).contains("http"))
     # A full repeat can never be kept, so dropping repeats first keeps the fold short.
-    found = F.array_distinct(found)
+    found = F.transform(F.array_distinct(found), _figures)
     kept = F.aggregate(
-        found,
+        F.transform(found, _spec_row),
         F.array().cast(T.ArrayType(SPEC_ROW)),
         lambda rows, r: F.when(
             F.exists(rows, lambda k: (k["tag"] == r["tag"]) | (

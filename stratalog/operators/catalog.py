@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalog.functions.amounts import magnitude_to_long
 from stratalog.functions.dates import relative_date
@@ -13,6 +14,13 @@ from stratalog.schema import CATALOG_SCHEMA, ENRICHMENT_COLUMNS
 ACTION = "_action"
 
 
+def conform(df: DataFrame, schema: T.StructType = CATALOG_SCHEMA, **columns: Column) -> DataFrame:
+    """Rows in the shape of ``schema``: the given columns, the rest NULL."""
+    return df.select(*[
+        columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+    ])
+
+
 def new_keys(listing: DataFrame, catalog: DataFrame) -> DataFrame:
     """Listing rows whose key the catalog lacks. Of the catalog only the key is read."""
     return listing.join(catalog.select("item_key"), "item_key", "left_anti")

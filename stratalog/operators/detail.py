@@ -20,6 +20,15 @@ ROLLUP_COLUMNS = ["min_ram_gb", "context_window", "speed_tier"]
 _README_SECTION = r"(?isU)Readme\n(.*?)(?:\nModels|\nTags|\z)"
 
 
+def page_text(
+    pages: DataFrame, html: str = "html", readme_id: str = "readme", title: str = "Applications"
+) -> DataFrame:
+    """Replace the page by its text, one line per text node."""
+    detail = read_page(F.col(html), ("detail",), readme_id=readme_id, applications_title=title)
+    rest = [c for c in pages.columns if c != html]
+    return pages.select(*rest, detail["detail"]["page_text"].alias("page_text"))
+
+
 def readme_text(detail: Column) -> Column:
     """Text of the marked element, else of the section the page text shows, at most 10000 chars."""
     node = detail["readme_node"]

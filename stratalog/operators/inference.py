@@ -11,12 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalog.operators.responses import FALSE_WORDS, TRUE_WORDS
-from stratalog.schema import ANSWERS, Answer
+from stratalog.schema import ANSWERS, RESPONSES_SCHEMA, Answer
 
-RESPONSE_DDL = (
-    "item_key string, "
-    "responses array<struct<call_no:int,raw:string,attempts:int,error:string>>"
-)
 _RESPONSE = pa.struct([
     ("call_no", pa.int32()), ("raw", pa.string()), ("attempts", pa.int32()), ("error", pa.string()),
 ])
@@ -108,7 +104,7 @@ def run_calls(
             yield pa.RecordBatch.from_pylist(rows, schema=_OUT)
 
     spread = prompts.repartition(partitions, "item_key") if partitions else prompts
-    return spread.select("item_key", "prompts").mapInArrow(run, RESPONSE_DDL)
+    return spread.select("item_key", "prompts").mapInArrow(run, RESPONSES_SCHEMA)
 
 
 def infer_counts(ok: Column) -> list[Column]:

@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalog.functions.arrays import let
-from stratalog.functions.text import null_like
+from stratalog.functions.text import let, null_like
 from stratalog.operators import vocab
 from stratalog.schema import ANSWERS, Answer, AnswerField
 

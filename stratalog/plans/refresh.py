@@ -12,12 +12,11 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stratalog import fixed_values as fv
 from stratalog.operators import catalog as cat
 from stratalog.operators.detail import html_sections
-from stratalog.operators.inference import RESPONSE_DDL, Client, infer_counts, run_calls
+from stratalog.operators.inference import Client, infer_counts, run_calls
 from stratalog.operators.joins import is_small, semi_by_key
 from stratalog.operators.listing import listing_extract
 from stratalog.operators.prompts import DEFAULT_TEMPLATES, build_prompts
@@ -27,12 +26,11 @@ from stratalog.operators.quality import (
 )
 from stratalog.operators.responses import merge_answers
 from stratalog.operators.staleness import select_stale
-from stratalog.schema import CATALOG_SCHEMA, PAGE_ARCHIVE_SCHEMA
+from stratalog.schema import CATALOG_SCHEMA, PAGE_ARCHIVE_SCHEMA, RESPONSES_SCHEMA
 from stratalog.sources.exports import export_name, read_export, write_export
 from stratalog.sources.snapshots import SnapshotStore, latest_pages
 
 CATALOG, PAGES, CRAWL, RESPONSES = "catalog", "pages", "crawl", "responses"
-_RESPONSES_SCHEMA = T._parse_datatype_string(RESPONSE_DDL)
 
 
 @dataclass(frozen=True)
@@ -208,7 +206,7 @@ class Refresh:
 
     def _answers(self, tag: str) -> DataFrame:
         lots = [f"{tag}/{lot}" for lot in range(self.options.lots)]
-        rows = [self.store.read_all(RESPONSES, _RESPONSES_SCHEMA, t) for t in lots]
+        rows = [self.store.read_all(RESPONSES, RESPONSES_SCHEMA, t) for t in lots]
         out = rows[0]
         for more in rows[1:]:
             out = out.unionAll(more)

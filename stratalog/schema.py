@@ -81,6 +81,16 @@ PAGE_ARCHIVE_SCHEMA = T.StructType([
     T.StructField("html", T.StringType()),
 ])
 
+RESPONSES_SCHEMA = T.StructType([
+    T.StructField("item_key", T.StringType()),
+    T.StructField("responses", T.ArrayType(T.StructType([
+        T.StructField("call_no", T.IntegerType()),
+        T.StructField("raw", T.StringType()),
+        T.StructField("attempts", T.IntegerType()),
+        T.StructField("error", T.StringType()),
+    ]))),
+])
+
 # Columns an enrichment row brings to the catalog.
 ENRICHMENT_COLUMNS = [
     "use_cases", "domain", "ai_languages", "complexity", "best_for", "license", "base_model",
