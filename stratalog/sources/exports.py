@@ -21,11 +21,12 @@ def export_name(label: str | None, stem: str = "models", default: str = "models"
 def write_export(catalog: DataFrame, path: str, names: Mapping[str, str] | None = None) -> dict:
     """Write the export and return its statistics, counted while writing.
 
-    NULL fields are kept, text stays UTF-8. Part files are in rank order.
+    NULL fields are kept, text stays UTF-8. Part files are in rank order. The counts are taken
+    after the sort: before it, the sort's own sampling pass would be counted as well.
     """
     seen = Observation()
-    rows = export_rows(catalog).observe(seen, *export_counts())
-    renamed(ranked(rows), names).write.mode("overwrite").json(path, ignoreNullFields=False)
+    rows = ranked(export_rows(catalog)).observe(seen, *export_counts())
+    renamed(rows, names).write.mode("overwrite").json(path, ignoreNullFields=False)
     return {**seen.get, "output_path": path}
 
 
