@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from checks.registry import check, table
+from checks.registry import check, table, text_table
 from stratalog.functions import mentions
 from stratalog.functions.amounts import magnitude_to_long
 from stratalog.functions.arrays import adjacent_pairs, first_or_null, split_badges
@@ -163,7 +163,7 @@ def badge_split(spark, sf_dir):
     FROM s""")
 def readme_clean(spark, sf_dir):
     raw = F.expr("CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE text END")
-    return table(spark, sf_dir, "documents").select("doc_id", raw.alias("raw")).select(
+    return text_table(spark, sf_dir, "documents").select("doc_id", raw.alias("raw")).select(
         "doc_id", clean_text(F.col("raw")).alias("snippet"),
         clean_text(F.col("raw"), 500).alias("short"),
     )
@@ -184,7 +184,7 @@ LICENSE_RE = (
     SELECT doc_id, CAST(len(d[1:3]) AS INTEGER) AS n, array_to_string(d[1:3], '|') AS mentions
     FROM d""")
 def license_mentions(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return text_table(spark, sf_dir, "documents").select(
         "doc_id", mentions.license_mentions(F.col("text")).alias("m")
     ).select("doc_id", F.size("m").alias("n"), joined("m").alias("mentions"))
 
@@ -199,7 +199,7 @@ def license_mentions(spark, sf_dir):
         list_filter(m, lambda x, i: list_position(m, x) = i), '|') AS mentions FROM m""")
 def number_mentions(spark, sf_dir):
     found = mentions.score_mentions(F.col("text"), ["the", "de", "der", "for"])
-    return table(spark, sf_dir, "documents").select(
+    return text_table(spark, sf_dir, "documents").select(
         "doc_id", F.regexp_replace(joined(found), r"[^\x00-\x7F]", "x").alias("mentions")
     )
 
@@ -218,7 +218,7 @@ CONTEXT_TEXT = """concat(text, ' up to ', doc_id, 'K context or ', n_chars, ' to
         array_to_string(({ordered_distinct("u")})[1:5], '|') AS urls FROM m""")
 def context_and_url_mentions(spark, sf_dir):
     text = F.col("t")
-    return table(spark, sf_dir, "documents").select(
+    return text_table(spark, sf_dir, "documents").select(
         "doc_id", F.expr(CONTEXT_TEXT).alias("t")
     ).select(
         "doc_id", joined(mentions.context_mentions(text)).alias("contexts"),
@@ -242,7 +242,7 @@ ANCHORS_SQL = f"""a AS (
 
 @check("listing_links", f"WITH {ANCHORS_SQL} SELECT item_key, page_id, pos, href FROM f")
 def listing_links(spark, sf_dir):
-    anchors = listing_anchors(table(spark, sf_dir, "pages"), "/")
+    anchors = listing_anchors(text_table(spark, sf_dir, "pages"), "/")
     return first_per_key(anchors, "item_key", ["page_id", "pos"]).select(
         "item_key", "page_id", "pos", "href"
     )
@@ -272,7 +272,7 @@ def _rich_anchors() -> Column:
          OR contains(lower(concat(item_key, ' ', name, ' About', name)), 'the')) AS hint
     FROM f""")
 def listing_records(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").withColumn("html", _rich_anchors())
+    pages = text_table(spark, sf_dir, "pages").withColumn("html", _rich_anchors())
     records = listing_extract(pages, "/", keywords=["que", "the"])
     return records.select(
         "item_key", "item_name", "description", "pulls_text", "tags_count", "updated_text",
@@ -286,7 +286,7 @@ def listing_records(spark, sf_dir):
 @check("page_text", f"""WITH n AS ({nodes_sql("html")})
     SELECT page_id, array_to_string(nodes, chr(10)) AS page_text FROM n""")
 def page_texts(spark, sf_dir):
-    return page_text(table(spark, sf_dir, "pages").select("page_id", "html"))
+    return page_text(text_table(spark, sf_dir, "pages").select("page_id", "html"))
 
 
 DETAIL_EXTRA = """concat(
@@ -325,7 +325,7 @@ def detail_pages(spark, sf_dir):
     html = F.replace(
         "html", F.lit("</article>"), F.concat(F.lit("</article>"), F.expr(DETAIL_EXTRA))
     )
-    pages = table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
+    pages = text_table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
     detail = detail_extract(pages, "go")
     spec = F.transform("memory_requirements", lambda r: F.concat_ws(
         "/", r["tag"], r["size"], r["quantization"], r["context"]
@@ -346,7 +346,7 @@ MAIN_SQL = full_text_sql("nodes")
     SELECT page_id, substring(trim(regexp_replace({MAIN_SQL}, '\\s+', ' ', 'g')), 1, 2500)
         AS main_content FROM n""")
 def page_main_content(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    pages = text_table(spark, sf_dir, "pages").select("page_id", "html")
     return html_sections(pages).select("page_id", "main_content")
 
 
@@ -377,7 +377,7 @@ SCORE_RE = (
         concat('one|two', page_id) AS applications_raw
     FROM m""")
 def sections(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select(
+    pages = text_table(spark, sf_dir, "pages").select(
         "page_id",
         F.replace(
             "html", F.lit("</article>"), F.concat(F.lit("</article>"), F.expr(SECTION_EXTRA))
@@ -424,7 +424,7 @@ _SPEC_CANDIDATES = """
 
 
 def _spec_arrays(spark, sf_dir):
-    line = table(spark, sf_dir, "lineitem")
+    line = text_table(spark, sf_dir, "lineitem")
     return line.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         spec_rows(F.expr(SPEC_TEXT)).alias("specs"),
@@ -492,6 +492,6 @@ def spec_rollup_by_key(spark, sf_dir):
         ELSE (i - last_plain) % 2 = 1 END""")
 def name_command_pairs(spark, sf_dir):
     pairs = adjacent_pairs(F.split("text", "\n"), "Th")
-    return table(spark, sf_dir, "documents").select(
+    return text_table(spark, sf_dir, "documents").select(
         "doc_id", F.posexplode_outer(pairs).alias("pos", "p")
     ).filter(F.col("pos").isNotNull()).select("doc_id", "pos", "p.*")

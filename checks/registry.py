@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratalog.sources.pages import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -22,3 +24,8 @@ def check(name: str, sql: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """For work that keeps the processor busy: a file of one row group would be one task."""
+    return spread(table(spark, sf_dir, name))

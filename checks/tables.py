@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from checks.extraction import ANCHORS_SQL, DETAIL_EXTRA, joined
-from checks.registry import check, table
+from checks.registry import check, table, text_table
 from stratalog.functions.arrays import canonical_term, canonical_terms, first_contained
 from stratalog.operators import catalog as cat
 from stratalog.operators.inference import infer_summary, run_calls
@@ -147,10 +147,10 @@ def _attach(spark, sf_dir, force):
     def keyed(name):
         return F.concat(F.lit("d"), name).alias("item_key")
 
-    listing = table(spark, sf_dir, "documents").select(keyed("doc_id"), "lang")
+    listing = text_table(spark, sf_dir, "documents").select(keyed("doc_id"), "lang")
     catalog = table(spark, sf_dir, "labels").select(keyed("doc_id"))
     html = F.when(F.col("page_id") % 3 != 0, F.col("html"))
-    pages = table(spark, sf_dir, "pages").select(keyed("page_id"), html.alias("html"))
+    pages = text_table(spark, sf_dir, "pages").select(keyed("page_id"), html.alias("html"))
     out = cat.detail_attach(listing, catalog, pages, force)
     return out.select("item_key", "lang", "has_detail", F.length("html").alias("html_chars"))
 
@@ -295,7 +295,7 @@ REPARSE_HTML = f"""CASE page_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN
 
 
 def _reparsed(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
+    pages = text_table(spark, sf_dir, "pages")
     catalog = cat.conform(
         pages.select("page_id"), item_key=F.col("page_id"), readme=F.lit("old"),
         min_ram_gb=F.lit(4.1), context_window=F.lit(77), speed_tier=F.lit("medium"),
@@ -430,7 +430,7 @@ class StubClient:
 
 def _answers(spark, sf_dir):
     none = F.lit(None)
-    items = table(spark, sf_dir, "documents").select(
+    items = text_table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("item_key"), F.col("lang").alias("description"),
         F.array("source").alias("labels"), F.col("text").alias("readme"),
         none.cast("string").alias("main_content"),
@@ -535,7 +535,7 @@ def structured_parse(spark, sf_dir):
     FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def writeback(spark, sf_dir):
     catalog = cat.conform(
-        table(spark, sf_dir, "documents"), item_key=F.col("doc_id"), domain=F.lit("old"),
+        text_table(spark, sf_dir, "documents"), item_key=F.col("doc_id"), domain=F.lit("old"),
         enrich_version=F.lit(1), validated=F.lit(True), validation_retries=F.col("doc_id") % 4,
     )
     enrichment = cat.conform(
@@ -569,7 +569,7 @@ _QUALITY_ITEM = {
 def _quality_items(spark, sf_dir):
     words = {"empty": "CAST(array() AS array<string>)", "one": "array(lang)"}
     columns = {k: F.expr(v.format(**words)) for k, v in _QUALITY_ITEM.items()}
-    return cat.conform(table(spark, sf_dir, "documents"), item_key=F.col("doc_id"), **columns)
+    return cat.conform(text_table(spark, sf_dir, "documents"), item_key=F.col("doc_id"), **columns)
 
 
 _ITEMS_SQL = "q AS (SELECT CAST(doc_id AS VARCHAR) AS item_key, " + ", ".join(
@@ -745,7 +745,7 @@ LICENSED = Rule("license", "license IS NOT NULL", "license must be known")
 
 def _run(spark, sf_dir, **options):
     """Crawl all pages and run every stage; an item's detail page is the page that lists it."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    pages = text_table(spark, sf_dir, "pages").select("page_id", "html")
     links = first_per_key(listing_anchors(pages, "/"), "item_key", ["page_id", "pos"])
     details = links.select("item_key", "page_id").join(pages, "page_id").select("item_key", "html")
     store = SnapshotStore(spark, local_or_shared_root(spark, "refresh"))

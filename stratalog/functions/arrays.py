@@ -46,29 +46,40 @@ def adjacent_pairs(tokens: Column, prefix: str) -> Column:
 def split_badges(badges: Column, capability_tags: Sequence[str]) -> tuple[Column, Column]:
     """Badge texts as (capabilities with a capital first letter, remaining labels)."""
     low = F.filter(F.transform(badges, lambda b: F.lower(strip(b))), lambda b: b != "")
-    tags = list(capability_tags)
+    tags = terms_literal(capability_tags)
     capabilities = F.transform(
-        F.filter(low, lambda b: b.isin(tags)),
+        F.filter(low, lambda b: F.array_contains(tags, b)),
         lambda b: F.concat(F.upper(F.substring(b, 1, 1)), F.substring(b, 2, 1 << 30)),
     )
-    return capabilities, F.filter(low, lambda b: ~b.isin(tags))
+    return capabilities, F.filter(low, lambda b: ~F.array_contains(tags, b))
 
 
 def first_or_null(items: Column) -> Column:
     return F.get(items, F.lit(0))
 
 
+def _sql(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def terms_literal(terms: Sequence[str]) -> Column:
+    """Array literal as one SQL expression: a call per term would dominate plan building."""
+    if len(terms) > MAX_INLINE_TERMS:
+        raise ValueError(f"{len(terms)} terms; inline vocabularies hold {MAX_INLINE_TERMS}")
+    return F.expr(f"array({', '.join(map(_sql, terms))})")
+
+
 def map_literal(mapping: Mapping[str, str]) -> Column:
     if len(mapping) > MAX_INLINE_TERMS:
         raise ValueError(f"{len(mapping)} entries; inline vocabularies hold {MAX_INLINE_TERMS}")
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
+    return F.expr(f"map({', '.join(map(_sql, chain.from_iterable(mapping.items())))})")
 
 
 def canonical_term(
     value: Column, terms: Sequence[str], aliases: Mapping[str, str], default: str | None
 ) -> Column:
     """Canonical term: the value itself, else its lower-case alias, else the default."""
-    mapped = F.when(value.isin(list(terms)), value).otherwise(
+    mapped = F.when(F.array_contains(terms_literal(terms), value), value).otherwise(
         F.try_element_at(map_literal(aliases), F.lower(strip(value)))
     )
     return mapped if default is None else F.coalesce(mapped, F.lit(default))
@@ -95,8 +106,12 @@ def first_contained(
     value: Column, terms: Sequence[str], aliases: Sequence[tuple[str, str]], default: str
 ) -> Column:
     """The value if it is a term, else the term of the first alias it contains, else the default."""
-    low = F.lower(strip(value))
-    out = F.when(value.isin(list(terms)), value)
-    for needle, term in aliases:
-        out = out.when(low.contains(needle), F.lit(term))
-    return out.otherwise(F.lit(default))
+
+    def first(low: Column) -> Column:
+        # The first alias contained, found by its place in the list: the order decides.
+        hit = F.filter(terms_literal([a for a, _ in aliases]), lambda a: low.contains(a))
+        return F.try_element_at(map_literal(dict(aliases)), F.get(hit, F.lit(0)))
+
+    return F.when(F.array_contains(terms_literal(terms), value), value).otherwise(
+        F.coalesce(let(F.lower(strip(value)), first), F.lit(default))
+    )

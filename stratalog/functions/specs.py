@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from stratalog import fixed_values as fv
 from stratalog.functions.arrays import null_if_empty
 from stratalog.functions.mentions import WORD
-from stratalog.functions.amounts import number_or_null, round_tenth
+from stratalog.functions.amounts import round_tenth
 from stratalog.functions.text import blank_to_null, strip
 from stratalog.schema import SPEC_ROW
 
@@ -34,14 +34,14 @@ def _parts(match: Column) -> Column:
 
 
 def _figures(r: Column) -> Column:
+    # Both amounts hold digits and points only, so a cast that fails means "not a number".
+    amount = F.regexp_extract(r["context"], _CONTEXT, 1).try_cast("double")
     unit = F.upper(F.regexp_extract(r["context"], _CONTEXT, 2))
     return F.struct(
         r["tag"].alias("tag"), r["size"].alias("size"), r["context"].alias("context"),
-        number_or_null(F.regexp_extract(r["size"], r"([\d.]+)", 1)).alias("gb"),
-        (
-            number_or_null(F.regexp_extract(r["context"], _CONTEXT, 1))
-            * F.when(unit == "M", 1e6).when(unit == "K", 1e3)
-        ).try_cast("bigint").alias("window"),
+        F.regexp_extract(r["size"], r"([\d.]+)", 1).try_cast("double").alias("gb"),
+        (amount * F.when(unit == "M", 1e6).when(unit == "K", 1e3))
+        .try_cast("bigint").alias("window"),
     )
 
 

@@ -17,12 +17,25 @@ TRUE_WORDS = ("1", "on", "t", "true", "y", "yes")
 FALSE_WORDS = ("0", "off", "f", "false", "n", "no")
 
 
-def _kind(value: Column) -> Column:
-    """Type of a variant as text; NULL if the field is missing, VOID if it is JSON null."""
-    return F.schema_of_variant(value)
+def _kind(variant: Column, field: AnswerField) -> Column:
+    """JSON type of a field as text; NULL if it is missing or JSON null.
+
+    Read off the JSON itself, since a cast would accept 5 as a text. A list counts as a list of
+    texts or of objects only if every item is one.
+    """
+    path = f"$.{field.name}"
+    kind = F.nullif(
+        F.schema_of_variant(F.try_variant_get(variant, path, "variant")), F.lit("VOID")
+    )
+    if field.kind not in ("strings", "scores"):
+        return kind
+    item = "STRING" if field.kind == "strings" else "OBJECT<"
+    items = F.try_variant_get(variant, path, "array<variant>")
+    good = F.forall(items, lambda v: F.schema_of_variant(v).startswith(item))
+    return F.when(F.coalesce(good, F.lit(False)), "LIST").when(kind.isNotNull(), "OTHER")
 
 
-def _field_value(variant: Column, field: AnswerField) -> Column:
+def _value(variant: Column, field: AnswerField) -> Column:
     path = f"$.{field.name}"
     if field.kind == "string":
         return F.try_variant_get(variant, path, "string")
@@ -41,44 +54,25 @@ def _field_value(variant: Column, field: AnswerField) -> Column:
     )
 
 
-def _type_ok(variant: Column, field: AnswerField) -> Column:
-    """Whether the JSON value itself has the type; a cast would accept 5 as a text."""
-    value = F.try_variant_get(variant, f"$.{field.name}", "variant")
-    kind = _kind(value)
+def _violations(kind: Column, value: Column, field: AnswerField) -> list[Column]:
     if field.kind == "string":
-        return kind == "STRING"
-    if field.kind == "boolean":
-        return kind.isin("BOOLEAN", "STRING", "BIGINT") & _field_value(variant, field).isNotNull()
-    if field.kind == "strings":
-        return kind.isin("ARRAY<STRING>", "ARRAY<VOID>") & F.coalesce(
-            F.forall(F.try_variant_get(variant, f"$.{field.name}", "array<variant>"),
-                     lambda v: _kind(v) == "STRING"),
-            F.lit(False),
-        )
-    return kind.startswith("ARRAY<") & F.coalesce(
-        F.forall(F.try_variant_get(variant, f"$.{field.name}", "array<variant>"),
-                 lambda v: _kind(v).startswith("OBJECT<")),
-        F.lit(False),
-    )
-
-
-def _violations(variant: Column, field: AnswerField) -> list[Column]:
-    kind = _kind(F.try_variant_get(variant, f"$.{field.name}", "variant"))
-    absent = kind.isNull() | (kind == "VOID")
-    typed = F.coalesce(_type_ok(variant, field), F.lit(False))
-    value = _field_value(variant, field)
+        typed = kind == "STRING"
+    elif field.kind == "boolean":
+        typed = kind.isin("BOOLEAN", "STRING", "BIGINT") & value.isNotNull()
+    else:
+        typed = kind == "LIST"
     length = F.length(value) if field.kind == "string" else F.size(value)
 
     def note(condition: Column, text: str) -> Column:
         return F.when(condition, F.lit(f"{field.name}: {text}"))
 
-    out = [note(~absent & ~typed, "wrong type")]
+    out = [note(~typed, "wrong type")]
     if not field.nullable:
-        out.append(note(absent, "missing"))
+        out.append(note(kind.isNull(), "missing"))
     if field.min_len:
-        out.append(note(~absent & typed & (length < field.min_len), "too short"))
+        out.append(note(typed & (length < field.min_len), "too short"))
     if field.max_len is not None:
-        out.append(note(~absent & typed & (length > field.max_len), "too long"))
+        out.append(note(typed & (length > field.max_len), "too long"))
     return out
 
 
@@ -87,23 +81,37 @@ def parse_answer(raw: Column, answer: Answer) -> Column:
 
     Extra fields are ignored. Text that is no JSON object has the one violation ``not an object``.
     """
+    fields = answer.fields
+
+    def read(variant: Column) -> Column:
+        is_object = F.coalesce(F.schema_of_variant(variant).startswith("OBJECT<"), F.lit(False))
+        return F.struct(
+            is_object.alias("is_object"),
+            F.struct(*[_kind(variant, f).alias(f.name) for f in fields]).alias("kinds"),
+            F.struct(*[
+                _value(variant, f).cast(f.spark_type).alias(f.name) for f in fields
+            ]).alias("value"),
+        )
 
-    def judged(variant: Column) -> Column:
-        is_object = F.coalesce(_kind(variant).startswith("OBJECT<"), F.lit(False))
-        notes = [c for f in answer.fields for c in _violations(variant, f)]
-        violations = F.when(is_object, F.array_compact(F.array(*notes))).otherwise(
-            F.array(F.lit("not an object"))
+    def judge(r: Column) -> Column:
+        notes = [
+            note for f in fields for note in _violations(r["kinds"][f.name], r["value"][f.name], f)
+        ]
+        return F.struct(
+            r["value"].alias("value"),
+            F.when(r["is_object"], F.array_compact(F.array(*notes)))
+            .otherwise(F.array(F.lit("not an object"))).alias("violations"),
         )
-        value = F.struct(*[
-            _field_value(variant, f).cast(f.spark_type).alias(f.name) for f in answer.fields
-        ])
-        return let(violations, lambda v: F.struct(
-            F.when(F.size(v) == 0, value).alias("value"),
-            (F.size(v) == 0).alias("is_valid"),
-            v.alias("violations"),
-        ))
-
-    return let(F.try_parse_json(raw), judged)
+
+    def settle(r: Column) -> Column:
+        valid = F.size(r["violations"]) == 0
+        return F.struct(
+            F.when(valid, r["value"]).alias("value"),
+            valid.alias("is_valid"),
+            r["violations"].alias("violations"),
+        )
+
+    return let(let(let(F.try_parse_json(raw), read), judge), settle)
 
 
 def _raw_of(call_no: int) -> Column:

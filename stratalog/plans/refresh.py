@@ -30,7 +30,8 @@ from stratalog.schema import CATALOG_SCHEMA, PAGE_ARCHIVE_SCHEMA, RESPONSES_SCHE
 from stratalog.sources.exports import export_name, read_export, write_export
 from stratalog.sources.snapshots import SnapshotStore, latest_pages
 
-CATALOG, PAGES, CRAWL, RESPONSES = "catalog", "pages", "crawl", "responses"
+CATALOG, PAGES, CRAWL = "catalog", "pages", "crawl"
+RESPONSES, ENRICHMENT = "responses", "enrichment"
 
 
 @dataclass(frozen=True)
@@ -141,11 +142,10 @@ class Refresh:
             self.store.write(RESPONSES, answers, tag=lot_tag)
         answers = self._answers(tag)
         merged = merge_answers(answers)
-        counts = merged.agg(*infer_counts(F.col("ok"))).first().asDict()
-        written = cat.enrichment_writeback(
-            self.catalog(), merged.filter("ok"), o.enrich_version
-        )
-        self._save(written, [])
+        counts = self.store.write(ENRICHMENT, merged, infer_counts(F.col("ok")), tag)
+        enriched = self.store.read(ENRICHMENT, merged.schema).filter("ok")
+        self._save(cat.enrichment_writeback(self.catalog(), enriched, o.enrich_version), [])
+        counts.pop("rows_in")
         return counts
 
     def validate(self) -> dict:
@@ -157,11 +157,13 @@ class Refresh:
         """Write the export; tell how it differs from the one before."""
         o = self.options
         root = f"{self.store.root}/exports/{export_name(o.model_label)}"
-        number = self.store.version("export")
+        # One series of exports per model label.
+        name = f"export/{export_name(o.model_label)}"
+        number = self.store.version(name)
         previous = read_export(self.store.spark, f"{root}/{number:06d}") if number else None
         path = f"{root}/{number + 1:06d}"
         stats = write_export(self.catalog(), path)
-        self.store.write("export", self.store.spark.createDataFrame([(path,)], "path string"))
+        self.store.announce_export(name, path, stats)
         new = read_export(self.store.spark, path)
         old = new.limit(0) if previous is None else previous
         diff = snapshot_diff(new, old).first().asDict()

@@ -10,8 +10,18 @@ from stratalog.functions.text import key_from_href
 PAGES_DDL = "page_id bigint, url string, html string"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A plain scan over at least as many tasks as the cluster runs at a time.
+
+    Reading pages is work for the processor, so a few files must not become a few tasks. An input
+    with enough files or splits, which is every large one, is left alone and not shuffled.
+    """
+    slots = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= slots else scan.repartition(slots)
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PAGES_DDL).parquet(path)
+    return spread(spark.read.schema(PAGES_DDL).parquet(path))
 
 
 def detail_pages(pages: DataFrame, url_prefix: str) -> DataFrame:

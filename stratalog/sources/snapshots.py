@@ -9,67 +9,75 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_LOG_SCHEMA = "version int, dir string, tag string, metrics string"
+_LOG_SCHEMA = "name string, version int, dir string, tag string, metrics string"
 
 
 class SnapshotStore:
-    """Named tables under ``root``; one writer at a time."""
+    """Named tables under ``root``; one writer at a time.
+
+    The log has one small row per snapshot. A store reads it once and adds what it writes itself.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._log = f"{self.root}/_log"
+        spark.createDataFrame([], _LOG_SCHEMA).write.mode("ignore").json(self._log)
+        self._rows = spark.read.schema(_LOG_SCHEMA).json(self._log).collect()
 
-    def log(self, name: str) -> DataFrame:
-        """All versions of a table. As small as the number of versions."""
-        reader = self.spark.read.schema(_LOG_SCHEMA)
-        try:
-            return reader.json(f"{self.root}/_log/{name}")
-        except AnalysisException:
-            return self.spark.createDataFrame([], _LOG_SCHEMA)
-
-    def _last(self, name: str):
-        return self.log(name).orderBy(F.desc("version")).first()
+    def log(self, name: str, tag: str | None = None) -> list[Row]:
+        """All versions of a table, oldest first."""
+        rows = [r for r in self._rows if r["name"] == name and tag in (None, r["tag"])]
+        return sorted(rows, key=lambda r: r["version"])
 
     def version(self, name: str) -> int:
-        row = self._last(name)
-        return row["version"] if row else 0
+        rows = self.log(name)
+        return rows[-1]["version"] if rows else 0
 
     def has_tag(self, name: str, tag: str) -> bool:
-        return bool(self.log(name).filter(F.col("tag") == tag).head(1))
+        return bool(self.log(name, tag))
 
     def read(self, name: str, schema: T.StructType) -> DataFrame:
         """Latest version; an empty table if there is none."""
-        row = self._last(name)
-        if row is None:
+        rows = self.log(name)
+        if not rows:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(row["dir"])
+        return self.spark.read.schema(schema).parquet(rows[-1]["dir"])
 
     def write(
         self, name: str, df: DataFrame, metrics: list | None = None, tag: str | None = None
     ) -> dict:
-        """Write the next version and return the metrics, gathered during the same pass."""
+        """Write the next version and return the metrics, gathered during the same pass.
+
+        The metrics sit at the top of the plan, in the stage that writes. Lower down, a shuffle
+        stage that is run again after a lost executor would be counted twice.
+        """
         version = self.version(name) + 1
         path = f"{self.root}/{name}/v={version:06d}-{uuid.uuid4().hex[:8]}"
         seen = Observation()
         columns = [*(metrics or []), F.count(F.lit(1)).alias("rows_in")]
         df.observe(seen, *columns).drop("_action", "outcome", "failures").write.parquet(path)
         found = dict(seen.get)
-        row = [(version, path, tag, str(found))]
-        self.spark.createDataFrame(row, _LOG_SCHEMA).coalesce(1).write.mode("append").json(
-            f"{self.root}/_log/{name}"
-        )
+        self._announce(name, version, path, tag, found)
         return found
 
+    def _announce(self, name: str, version: int, path: str, tag: str | None, found: dict) -> None:
+        row = self.spark.createDataFrame([(name, version, path, tag, str(found))], _LOG_SCHEMA)
+        row.coalesce(1).write.mode("append").json(self._log)
+        self._rows.append(Row(name=name, version=version, dir=path, tag=tag, metrics=str(found)))
+
+    def announce_export(self, name: str, path: str, found: dict) -> None:
+        """Log a version that was written elsewhere, such as an export."""
+        self._announce(name, self.version(name) + 1, path, None, found)
+
     # ---- append-only tables ----------------------------------------------------------------
 
     def read_all(self, name: str, schema: T.StructType, tag: str | None = None) -> DataFrame:
         """Rows of every version (or of those with ``tag``) with the version as ``_version``."""
-        rows = self.log(name).filter(F.lit(True) if tag is None else F.col("tag") == tag)
-        dirs = [r["dir"] for r in rows.select("dir").collect()]
+        dirs = [r["dir"] for r in self.log(name, tag)]
         with_version = T.StructType([*schema.fields, T.StructField("_version", T.IntegerType())])
         if not dirs:
             return self.spark.createDataFrame([], with_version)
