@@ -66,7 +66,7 @@ def _violations(kind: Column, value: Column, field: AnswerField) -> list[Column]
     def note(condition: Column, text: str) -> Column:
         return F.when(condition, F.lit(f"{field.name}: {text}"))
 
-    out = [note(~typed, "wrong type")]
+    out = [note(kind.isNotNull() & ~typed, "wrong type")]
     if not field.nullable:
         out.append(note(kind.isNull(), "missing"))
     if field.min_len:

@@ -30,7 +30,7 @@ from stratalog.schema import CATALOG_SCHEMA, PAGE_ARCHIVE_SCHEMA, RESPONSES_SCHE
 from stratalog.sources.exports import export_name, read_export, write_export
 from stratalog.sources.snapshots import SnapshotStore, latest_pages
 
-CATALOG, PAGES, CRAWL = "catalog", "pages", "crawl"
+CATALOG, LISTING, PAGES, CRAWL = "catalog", "listing", "pages", "crawl"
 RESPONSES, ENRICHMENT = "responses", "enrichment"
 
 
@@ -92,22 +92,32 @@ class Refresh:
     # ---- stages ----------------------------------------------------------------------------
 
     def crawl(self, listing: DataFrame, details: DataFrame, tag: str | None = None) -> dict:
-        """Listing pages (page_id, html) and detail pages (item_key, html) into the catalog."""
+        """Listing pages (page_id, html) and detail pages (item_key, html) into the catalog.
+
+        The detail pages are by far the largest input. Which of them are wanted is known before
+        they are touched, so they are read once, filtered by a broadcast of the wanted keys if
+        those are few, and only the wanted ones are kept, parsed and shuffled.
+        """
         site, force = self.site, self.options.force_crawl
         catalog = self.catalog()
-        records = listing_extract(listing, site.link_prefix)
-        attached = cat.detail_attach(records, catalog, details, force)
+        found = listing_extract(listing, site.link_prefix)
+        self.store.write(LISTING, found, tag=tag)
+        records = self.store.read(LISTING, found.schema)
+
+        wanted = records if force else cat.new_keys(records, catalog)
+        fetched = semi_by_key(
+            details.filter(F.col("html").isNotNull()), wanted, "item_key", is_small(wanted)
+        )
+        self.store.write(PAGES, fetched.select("item_key", "html"), tag=tag)
+        pages = self.store.read(PAGES, PAGE_ARCHIVE_SCHEMA)
+
+        attached = cat.detail_attach(records, catalog, pages, force)
         rows = cat.crawl_rows(attached, site.command_prefix, F.to_date(self._stamp))
         self.store.write(CRAWL, rows, tag=tag)
         crawl = self.store.read(CRAWL, rows.schema)
-        small = is_small(crawl)
-
-        fetched = crawl.filter("has_detail")
-        kept = semi_by_key(details.filter(F.col("html").isNotNull()), fetched, "item_key", small)
-        self.store.write(PAGES, kept.select("item_key", "html"), tag=tag)
-
         merged = cat.catalog_upsert(
-            catalog, crawl, site.base_url, self._stamp, site.item_type, small_crawl=small
+            catalog, crawl, site.base_url, self._stamp, site.item_type,
+            small_crawl=is_small(crawl),
         )
         return self._save(merged, cat.action_counts("inserted", "updated"), tag)
 
@@ -116,8 +126,26 @@ class Refresh:
         merged = cat.reparse(self.catalog(), self.pages(), self.site.command_prefix)
         return self._save(merged, cat.action_counts("updated", "skipped"))
 
-    def enrich(self, pass_no: int = 0, keys: DataFrame | None = None) -> dict:
+    def enrich(self) -> dict:
         """Ask the model about stale items and write the answers back."""
+        counts, written = self._enriched(0, None)
+        self._save(written, [])
+        return counts
+
+    def validate(self) -> dict:
+        return self._save(self._checked(self.catalog()), validation_counts())
+
+    def enrich_and_validate(
+        self, pass_no: int = 0, keys: DataFrame | None = None
+    ) -> tuple[dict, dict]:
+        """Both stages, with the catalog written once instead of twice."""
+        counts, written = self._enriched(pass_no, keys)
+        return counts, self._save(self._checked(written), validation_counts())
+
+    def _checked(self, catalog: DataFrame) -> DataFrame:
+        return validation_transition(catalog, self.options.rules, self.options.max_retries)
+
+    def _enriched(self, pass_no: int, keys: DataFrame | None) -> tuple[dict, DataFrame]:
         o = self.options
         if pass_no == 0:
             stale = select_stale(self.catalog(), o.enrich_version, o.force_enrich, o.single_key)
@@ -140,18 +168,11 @@ class Refresh:
                 prompts, self.client_factory, attempts=o.attempts, partitions=o.partitions
             )
             self.store.write(RESPONSES, answers, tag=lot_tag)
-        answers = self._answers(tag)
-        merged = merge_answers(answers)
+        merged = merge_answers(self._answers(tag))
         counts = self.store.write(ENRICHMENT, merged, infer_counts(F.col("ok")), tag)
-        enriched = self.store.read(ENRICHMENT, merged.schema).filter("ok")
-        self._save(cat.enrichment_writeback(self.catalog(), enriched, o.enrich_version), [])
         counts.pop("rows_in")
-        return counts
-
-    def validate(self) -> dict:
-        o = self.options
-        checked = validation_transition(self.catalog(), o.rules, o.max_retries)
-        return self._save(checked, validation_counts())
+        enriched = self.store.read(ENRICHMENT, merged.schema).filter("ok")
+        return counts, cat.enrichment_writeback(self.catalog(), enriched, o.enrich_version)
 
     def export(self) -> dict:
         """Write the export; tell how it differs from the one before."""
@@ -175,11 +196,14 @@ class Refresh:
         o, out = self.options, {}
         if not o.skip_crawl:
             out["crawl"] = self.crawl(listing, details)
-        if not o.skip_enrich:
-            out["enrich"] = self.enrich()
         if o.dry_run:
+            if not o.skip_enrich:
+                out["enrich"] = self.enrich()
             return out
-        out["validation"] = self.validate()
+        if o.skip_enrich:
+            out["validation"] = self.validate()
+        else:
+            out["enrich"], out["validation"] = self.enrich_and_validate()
         for pass_no in range(1, o.max_passes + 1):
             if not out["validation"]["re_queued"]:
                 break
@@ -189,8 +213,7 @@ class Refresh:
                 keys = self.catalog().filter(
                     F.col("enrich_version").isNull() & (F.col("validation_retries") > 0)
                 ).select("item_key")
-            out["enrich_again"] = self.enrich(pass_no, keys)
-            out["validation"] = self.validate()
+            out["enrich_again"], out["validation"] = self.enrich_and_validate(pass_no, keys)
         out["export"] = self.export()
         return out
 
@@ -204,7 +227,8 @@ class Refresh:
     def _pages_of(self, items: DataFrame) -> DataFrame:
         """Stored pages of the given items, without shuffling the archive for a small set."""
         keys = items.select("item_key")
-        return semi_by_key(self.pages(), keys, "item_key", is_small(keys))
+        archive = self.store.read_all(PAGES, PAGE_ARCHIVE_SCHEMA)
+        return latest_pages(semi_by_key(archive, keys, "item_key", is_small(keys)))
 
     def _answers(self, tag: str) -> DataFrame:
         lots = [f"{tag}/{lot}" for lot in range(self.options.lots)]

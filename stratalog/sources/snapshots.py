@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalog.operators.joins import is_small
+
 _LOG_SCHEMA = "name string, version int, dir string, tag string, metrics string"
 
 
@@ -90,8 +92,20 @@ class SnapshotStore:
 def latest_pages(archive: DataFrame) -> DataFrame:
     """Newest page of every key from an append-only archive (item_key, html, _version).
 
-    The newest version per key is found on the two narrow columns alone; the markup is read once
-    and only for the rows that remain.
+    What is outdated is found on the two narrow columns. As long as that is a small set (a count
+    decides), it is broadcast and the markup is not shuffled; after a forced crawl of everything it
+    is not, and the archive is joined with the newest version of each key.
     """
-    newest = archive.groupBy("item_key").agg(F.max("_version").alias("_version"))
-    return archive.join(newest, ["item_key", "_version"], "left_semi").select("item_key", "html")
+    pairs = archive.select("item_key", "_version")
+    newest = pairs.groupBy("item_key").agg(F.max("_version").alias("_newest"))
+    outdated = (
+        pairs.join(newest, "item_key")
+        .filter(F.col("_version") < F.col("_newest"))
+        .select("item_key", "_version").distinct()
+    )
+    if is_small(outdated):
+        kept = archive.join(F.broadcast(outdated), ["item_key", "_version"], "left_anti")
+    else:
+        newest = newest.withColumnRenamed("_newest", "_version")
+        kept = archive.join(newest, ["item_key", "_version"], "left_semi")
+    return kept.select("item_key", "html")
