@@ -13,6 +13,7 @@ from checks.registry import check, table, text_table
 from stratalog.functions.arrays import canonical_term, canonical_terms, first_contained
 from stratalog.operators import catalog as cat
 from stratalog.operators.inference import infer_summary, run_calls
+from stratalog.operators.joins import is_small
 from stratalog.operators.listing import first_per_key, listing_anchors
 from stratalog.operators.prompts import build_prompts, prompts_long
 from stratalog.operators.publish import (
@@ -279,8 +280,9 @@ def catalog_upsert(spark, sf_dir):
 
 @check("catalog_upsert_small_crawl", UPSERT_SQL)
 def catalog_upsert_small_crawl(spark, sf_dir):
-    # The crawl has one row per customer: a few MB at the test scales.
-    return _upsert_view(_upserted(spark, sf_dir, small=True))
+    # Broadcast if the crawl is small enough; the general join otherwise.
+    small = is_small(_crawl(spark, sf_dir))
+    return _upsert_view(_upserted(spark, sf_dir, small))
 
 
 @check("upsert_summary", f"""WITH {_MERGE_SQL}

@@ -134,7 +134,8 @@ def catalog_upsert(
     keys = F.broadcast(crawl.select("item_key"))
     found = catalog.select("item_key").join(keys, "item_key", "left_semi")
     unseen = crawl.join(F.broadcast(found), "item_key", "left_anti").alias("n")
-    nothing = catalog.sparkSession.createDataFrame([], catalog.schema).alias("c")
+    # A stored side that is empty by definition: the optimizer turns this join into NULL columns.
+    nothing = catalog.filter(F.lit(False)).alias("c")
     return merged.unionByName(unseen.join(nothing, on, "left").select(*columns))
 
 

@@ -67,9 +67,12 @@ class SnapshotStore:
         return found
 
     def _announce(self, name: str, version: int, path: str, tag: str | None, found: dict) -> None:
-        row = self.spark.createDataFrame([(name, version, path, tag, str(found))], _LOG_SCHEMA)
-        row.coalesce(1).write.mode("append").json(self._log)
-        self._rows.append(Row(name=name, version=version, dir=path, tag=tag, metrics=str(found)))
+        entry = Row(name=name, version=version, dir=path, tag=tag, metrics=str(found))
+        row = self.spark.range(1, numPartitions=1).select(*[
+            F.lit(v).alias(k) for k, v in entry.asDict().items()
+        ])
+        row.write.mode("append").json(self._log)
+        self._rows.append(entry)
 
     def announce_export(self, name: str, path: str, found: dict) -> None:
         """Log a version that was written elsewhere, such as an export."""
