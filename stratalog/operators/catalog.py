@@ -8,8 +8,10 @@ from pyspark.sql import types as T
 
 from stratalog.functions.amounts import magnitude_to_long
 from stratalog.functions.dates import relative_date
-from stratalog.operators.detail import DETAIL_COLUMNS, ROLLUP_COLUMNS, detail_extract
-from stratalog.schema import CATALOG_SCHEMA, ENRICHMENT_COLUMNS
+from stratalog.operators.detail import detail_extract
+from stratalog.schema import (
+    CATALOG_SCHEMA, CONTENT_COLUMNS, ENRICHMENT_COLUMNS, ROLLUP_COLUMNS,
+)
 
 ACTION = "_action"
 
@@ -56,21 +58,36 @@ def detail_attach(
     return joined.withColumn("has_detail", F.col("html").isNotNull())
 
 
-def crawl_rows(attached: DataFrame, command_prefix: str, as_of: Column) -> DataFrame:
-    """Typed crawl rows: figures parsed, pages read."""
+def typed_listing(records: DataFrame, as_of: Column) -> DataFrame:
+    """Listing records with their figures parsed; other columns are passed through."""
     date, low = relative_date(F.col("updated_text"), as_of)
-    typed = attached.select(
-        "item_key", "item_name", "description", "capability", "capabilities", "labels",
-        F.col("is_uncensored_hint"), "has_detail", "html",
-        magnitude_to_long(F.col("pulls_text")).alias("pulls"),
-        F.col("tags_count").alias("tags"),
-        date.alias("last_updated"),
-        low.alias("last_updated_str"),
+    return records.withColumns({
+        "pulls": magnitude_to_long(F.col("pulls_text")),
+        "tags": F.col("tags_count"),
+        "last_updated": date,
+        "last_updated_str": low,
+    }).drop("pulls_text", "tags_count", "updated_text", "page_id", "pos")
+
+
+def crawl_rows(attached: DataFrame, command_prefix: str, as_of: Column) -> DataFrame:
+    """Typed crawl rows of records with their page attached: figures parsed, pages read."""
+    return detail_extract(typed_listing(attached, as_of), command_prefix)
+
+
+def attach_rollups(records: DataFrame, content: DataFrame) -> DataFrame:
+    """Crawl rows from records and content that is already extracted: ``has_detail`` and roll-ups.
+
+    Short columns only; the content itself is stored where it was extracted.
+    """
+    read = content.select("item_key", *ROLLUP_COLUMNS, F.lit(True).alias("has_detail"))
+    return records.join(read, "item_key", "left").withColumn(
+        "has_detail", F.coalesce("has_detail", F.lit(False))
     )
-    return detail_extract(typed, command_prefix)
 
 
-def _upsert_columns(base_url: str, item_type: str, run_ts: Column) -> list[Column]:
+def _upsert_columns(
+    names: list[str], base_url: str, item_type: str, run_ts: Column
+) -> list[Column]:
     """Per-column precedence between a stored row ``c`` and a crawled row ``n``."""
     key = F.coalesce("c.item_key", "n.item_key")
     fresh, crawled = F.col("c.item_key").isNull(), F.col("n.item_key").isNotNull()
@@ -93,15 +110,15 @@ def _upsert_columns(base_url: str, item_type: str, run_ts: Column) -> list[Colum
     for name in ("pulls", "tags", "last_updated", "last_updated_str", "description",
                  "capability", "capabilities"):
         brought[name] = F.col(f"n.{name}")
-    for name in DETAIL_COLUMNS + ROLLUP_COLUMNS:
+    for name in CONTENT_COLUMNS + ROLLUP_COLUMNS:
+        # Content columns are asked for only if the catalog has them.
         brought[name] = F.when(detail, F.col(f"n.{name}")).otherwise(F.col(f"c.{name}"))
 
     out = []
-    for field in CATALOG_SCHEMA.fields:
-        kept = F.col(f"c.{field.name}")
-        value = brought.get(field.name)
+    for name in names:
+        kept, value = F.col(f"c.{name}"), brought.get(name)
         merged = kept if value is None else F.when(crawled, value).otherwise(kept)
-        out.append(merged.cast(field.dataType).alias(field.name))
+        out.append(merged.cast(CATALOG_SCHEMA[name].dataType).alias(name))
     action = F.when(fresh, "inserted").when(crawled, "updated").otherwise("kept")
     return [*out, action.alias(ACTION)]
 
@@ -118,14 +135,15 @@ def catalog_upsert(
 
     New keys are inserted, known keys get fresh figures and, if their page was fetched, fresh
     detail; keys the crawl lacks are kept. A stored flag wins over the crawl's hint and an empty
-    label list overwrites nothing.
+    label list overwrites nothing. The catalog may lack columns, such as its content columns; the
+    result has the columns it has.
 
     The general form is one full outer join, which shuffles the catalog by key. With
     ``small_crawl`` (a checked size, see ``joins.is_small``) the crawl is broadcast instead and the
     catalog stays where it is: matched rows come from a left join, inserts from the crawl rows
     whose key was not found, a set no larger than the crawl.
     """
-    columns = _upsert_columns(base_url, item_type, run_ts)
+    columns = _upsert_columns(catalog.columns, base_url, item_type, run_ts)
     c, n = catalog.alias("c"), crawl.alias("n")
     on = F.col("c.item_key") == F.col("n.item_key")
     if not small_crawl:
@@ -151,17 +169,31 @@ def action_counts(*actions: str) -> list[Column]:
 def reparse(catalog: DataFrame, pages: DataFrame, command_prefix: str) -> DataFrame:
     """Read the stored pages again and refresh what depends on them; adds ``_action``.
 
-    Pages are read before the join, so the shuffle carries what they say and not the markup. A
-    roll-up is replaced only by a new value. Items without a page are ``skipped``.
+    Pages are read before the join, so the shuffle carries what they say and not the markup.
     """
+    return merge_content(catalog, read_content(pages, command_prefix))
+
+
+def read_content(pages: DataFrame, command_prefix: str) -> DataFrame:
+    """Content and roll-ups of pages (item_key, html); pages without markup are left out."""
     stored = pages.select("item_key", "html").filter(F.coalesce(F.length("html"), F.lit(0)) > 0)
-    parsed = detail_extract(stored, command_prefix).withColumn("_read", F.lit(True))
-    c, p = catalog.alias("c"), parsed.alias("p")
+    return detail_extract(stored, command_prefix)
+
+
+def merge_content(catalog: DataFrame, content: DataFrame) -> DataFrame:
+    """Put content (unique by key) on the catalog.
+
+    Content is replaced even by NULL, a roll-up only by a new value. Items without content are
+    ``skipped``.
+    """
+    names = [c for c in CONTENT_COLUMNS if c in catalog.columns]
+    fresh = content.select("item_key", *names, *ROLLUP_COLUMNS, F.lit(True).alias("_read"))
+    c, p = catalog.alias("c"), fresh.alias("p")
     read = F.coalesce(F.col("p._read"), F.lit(False))
     out = []
     for name in catalog.columns:
         kept = F.col(f"c.{name}")
-        if name in DETAIL_COLUMNS:
+        if name in CONTENT_COLUMNS:
             kept = F.when(read, F.col(f"p.{name}")).otherwise(kept)
         elif name in ROLLUP_COLUMNS:
             kept = F.coalesce(F.col(f"p.{name}"), kept)

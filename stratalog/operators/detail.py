@@ -13,9 +13,6 @@ from stratalog.functions.markup import read_page
 from stratalog.functions.specs import size_tier, spec_max_context, spec_min_gb, spec_rows
 from stratalog.functions.text import blank_to_null, squeeze, strip
 
-DETAIL_COLUMNS = ["readme", "applications", "memory_requirements"]
-ROLLUP_COLUMNS = ["min_ram_gb", "context_window", "speed_tier"]
-
 # Fixed value: where the main text is when no element is marked as such.
 _README_SECTION = r"(?isU)Readme\n(.*?)(?:\nModels|\nTags|\z)"
 

@@ -26,12 +26,16 @@ from stratalog.operators.quality import (
 )
 from stratalog.operators.responses import merge_answers
 from stratalog.operators.staleness import select_stale
-from stratalog.schema import CATALOG_SCHEMA, PAGE_ARCHIVE_SCHEMA, RESPONSES_SCHEMA
+from stratalog.schema import (
+    CATALOG_SCHEMA, CONTENT_COLUMNS, CONTENT_SCHEMA, PAGE_ARCHIVE_SCHEMA, RESPONSES_SCHEMA,
+    STATE_SCHEMA,
+)
 from stratalog.sources.exports import export_name, read_export, write_export
-from stratalog.sources.snapshots import SnapshotStore, latest_pages
+from stratalog.sources.snapshots import SnapshotStore, latest_rows
 
-CATALOG, LISTING, PAGES, CRAWL = "catalog", "listing", "pages", "crawl"
-RESPONSES, ENRICHMENT = "responses", "enrichment"
+# Rewritten per stage: the state of every item. Appended to: pages, what was read from them, answers.
+CATALOG, LISTING, ENRICHMENT = "catalog", "listing", "enrichment"
+PAGES, CONTENT, RESPONSES = "pages", "content", "responses"
 
 
 @dataclass(frozen=True)
@@ -83,48 +87,70 @@ class Refresh:
         self.run_ts, self.options = run_ts, options
         self._stamp = F.lit(run_ts).cast("timestamp")
 
+    def state(self) -> DataFrame:
+        """All catalog columns but the long ones; what the stages rewrite."""
+        return self.store.read(CATALOG, STATE_SCHEMA)
+
     def catalog(self) -> DataFrame:
-        return self.store.read(CATALOG, CATALOG_SCHEMA)
+        """The whole catalog, state and content."""
+        return self._with_content(self.state(), latest_rows(self._all(CONTENT)))
 
     def pages(self) -> DataFrame:
-        return latest_pages(self.store.read_all(PAGES, PAGE_ARCHIVE_SCHEMA))
+        return latest_rows(self._all(PAGES))
+
+    def _with_content(self, state: DataFrame, content: DataFrame) -> DataFrame:
+        joined = state.join(content.select("item_key", *CONTENT_COLUMNS), "item_key", "left")
+        return joined.select(*CATALOG_SCHEMA.names)
 
     # ---- stages ----------------------------------------------------------------------------
 
     def crawl(self, listing: DataFrame, details: DataFrame, tag: str | None = None) -> dict:
         """Listing pages (page_id, html) and detail pages (item_key, html) into the catalog.
 
+        Pages, content and state become visible together.
+        """
+        with self.store.together():
+            return self._crawl(listing, details, tag)
+
+    def _crawl(self, listing: DataFrame, details: DataFrame, tag: str | None) -> dict:
+        """One crawl.
+
         The detail pages are by far the largest input. Which of them are wanted is known before
         they are touched, so they are read once, filtered by a broadcast of the wanted keys if
         those are few, and only the wanted ones are kept, parsed and shuffled.
         """
         site, force = self.site, self.options.force_crawl
-        catalog = self.catalog()
+        state = self.state()
         found = listing_extract(listing, site.link_prefix)
         self.store.write(LISTING, found, tag=tag)
         records = self.store.read(LISTING, found.schema)
 
-        wanted = records if force else cat.new_keys(records, catalog)
+        wanted = records if force else cat.new_keys(records, state)
         fetched = semi_by_key(
             details.filter(F.col("html").isNotNull()), wanted, "item_key", is_small(wanted)
         )
         self.store.write(PAGES, fetched.select("item_key", "html"), tag=tag)
-        pages = self.store.read(PAGES, PAGE_ARCHIVE_SCHEMA)
+        content = self._read_pages(self.store.read(PAGES, PAGE_ARCHIVE_SCHEMA), tag)
 
-        attached = cat.detail_attach(records, catalog, pages, force)
-        rows = cat.crawl_rows(attached, site.command_prefix, F.to_date(self._stamp))
-        self.store.write(CRAWL, rows, tag=tag)
-        crawl = self.store.read(CRAWL, rows.schema)
+        typed = cat.typed_listing(records, F.to_date(self._stamp))
         merged = cat.catalog_upsert(
-            catalog, crawl, site.base_url, self._stamp, site.item_type,
-            small_crawl=is_small(crawl),
+            state, cat.attach_rollups(typed, content), site.base_url, self._stamp,
+            site.item_type, small_crawl=is_small(records),
         )
         return self._save(merged, cat.action_counts("inserted", "updated"), tag)
 
     def reparse(self) -> dict:
         """Read all stored pages again."""
-        merged = cat.reparse(self.catalog(), self.pages(), self.site.command_prefix)
-        return self._save(merged, cat.action_counts("updated", "skipped"))
+        with self.store.together():
+            content = self._read_pages(self.pages(), None)
+            merged = cat.merge_content(self.state(), content)
+            return self._save(merged, cat.action_counts("updated", "skipped"))
+
+    def _read_pages(self, pages: DataFrame, tag: str | None) -> DataFrame:
+        """Append what the pages say, without a shuffle, and return it."""
+        content = cat.read_content(pages, self.site.command_prefix)
+        self.store.write(CONTENT, content.select(*CONTENT_SCHEMA.names), tag=tag)
+        return self.store.read(CONTENT, CONTENT_SCHEMA)
 
     def enrich(self) -> dict:
         """Ask the model about stale items and write the answers back."""
@@ -133,7 +159,7 @@ class Refresh:
         return counts
 
     def validate(self) -> dict:
-        return self._save(self._checked(self.catalog()), validation_counts())
+        return self._save(self._checked(self.state()), validation_counts())
 
     def enrich_and_validate(
         self, pass_no: int = 0, keys: DataFrame | None = None
@@ -148,13 +174,13 @@ class Refresh:
     def _enriched(self, pass_no: int, keys: DataFrame | None) -> tuple[dict, DataFrame]:
         o = self.options
         if pass_no == 0:
-            stale = select_stale(self.catalog(), o.enrich_version, o.force_enrich, o.single_key)
+            stale = select_stale(self.state(), o.enrich_version, o.force_enrich, o.single_key)
         else:
-            stale = select_stale(self.catalog(), o.enrich_version)
+            stale = select_stale(self.state(), o.enrich_version)
             if keys is not None:
                 stale = semi_by_key(stale, keys, "item_key", is_small(keys))
         tag = f"{self.run_ts}/{pass_no}"
-        stale = stale.select("item_key", "description", "labels", "readme")
+        stale = stale.select("item_key", "description", "labels")
         for lot in range(o.lots):
             lot_tag = f"{tag}/{lot}"
             if self.store.has_tag(RESPONSES, lot_tag):
@@ -162,8 +188,11 @@ class Refresh:
             items = stale
             if o.lots > 1:
                 items = stale.filter(F.pmod(F.xxhash64("item_key"), F.lit(o.lots)) == lot)
-            sections = html_sections(self._pages_of(items))
-            prompts = build_prompts(items.join(sections, "item_key", "left"), o.templates)
+            keys_small = is_small(items)
+            sections = html_sections(self._rows_of(PAGES, items, keys_small))
+            readme = self._rows_of(CONTENT, items, keys_small).select("item_key", "readme")
+            items = items.join(sections, "item_key", "left").join(readme, "item_key", "left")
+            prompts = build_prompts(items, o.templates)
             answers = run_calls(
                 prompts, self.client_factory, attempts=o.attempts, partitions=o.partitions
             )
@@ -172,7 +201,7 @@ class Refresh:
         counts = self.store.write(ENRICHMENT, merged, infer_counts(F.col("ok")), tag)
         counts.pop("rows_in")
         enriched = self.store.read(ENRICHMENT, merged.schema).filter("ok")
-        return counts, cat.enrichment_writeback(self.catalog(), enriched, o.enrich_version)
+        return counts, cat.enrichment_writeback(self.state(), enriched, o.enrich_version)
 
     def export(self) -> dict:
         """Write the export; tell how it differs from the one before."""
@@ -210,7 +239,7 @@ class Refresh:
             keys = None
             if o.requeue_scope == "requeued":
                 # Queued again in this run: no version any more, retries counted.
-                keys = self.catalog().filter(
+                keys = self.state().filter(
                     F.col("enrich_version").isNull() & (F.col("validation_retries") > 0)
                 ).select("item_key")
             out["enrich_again"], out["validation"] = self.enrich_and_validate(pass_no, keys)
@@ -224,11 +253,13 @@ class Refresh:
         found.pop("rows_in")
         return found
 
-    def _pages_of(self, items: DataFrame) -> DataFrame:
-        """Stored pages of the given items, without shuffling the archive for a small set."""
-        keys = items.select("item_key")
-        archive = self.store.read_all(PAGES, PAGE_ARCHIVE_SCHEMA)
-        return latest_pages(semi_by_key(archive, keys, "item_key", is_small(keys)))
+    def _all(self, name: str) -> DataFrame:
+        schema = PAGE_ARCHIVE_SCHEMA if name == PAGES else CONTENT_SCHEMA
+        return self.store.read_all(name, schema)
+
+    def _rows_of(self, name: str, items: DataFrame, small: bool) -> DataFrame:
+        """Newest rows of the given items, without shuffling the whole table for a small set."""
+        return latest_rows(semi_by_key(self._all(name), items, "item_key", small))
 
     def _answers(self, tag: str) -> DataFrame:
         lots = [f"{tag}/{lot}" for lot in range(self.options.lots)]

@@ -76,6 +76,15 @@ CATALOG_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampType()),
 ])
 
+# A run keeps the long columns apart: they change only when a page is read, while the state of an
+# item changes with every crawl, enrichment and validation.
+CONTENT_COLUMNS = ["readme", "applications", "memory_requirements"]
+ROLLUP_COLUMNS = ["min_ram_gb", "context_window", "speed_tier"]
+STATE_SCHEMA = T.StructType([f for f in CATALOG_SCHEMA if f.name not in CONTENT_COLUMNS])
+CONTENT_SCHEMA = T.StructType([
+    CATALOG_SCHEMA[c] for c in ["item_key", *CONTENT_COLUMNS, *ROLLUP_COLUMNS]
+])
+
 PAGE_ARCHIVE_SCHEMA = T.StructType([
     T.StructField("item_key", T.StringType()),
     T.StructField("html", T.StringType()),

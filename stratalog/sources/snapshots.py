@@ -8,6 +8,7 @@ state in place, and a plan can read version n while it writes version n+1.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ class SnapshotStore:
         self._log = f"{self.root}/_log"
         spark.createDataFrame([], _LOG_SCHEMA).write.mode("ignore").json(self._log)
         self._rows = spark.read.schema(_LOG_SCHEMA).json(self._log).collect()
+        self._held: list[Row] | None = None
 
     def log(self, name: str, tag: str | None = None) -> list[Row]:
         """All versions of a table, oldest first."""
@@ -68,11 +70,35 @@ class SnapshotStore:
 
     def _announce(self, name: str, version: int, path: str, tag: str | None, found: dict) -> None:
         entry = Row(name=name, version=version, dir=path, tag=tag, metrics=str(found))
-        row = self.spark.range(1, numPartitions=1).select(*[
-            F.lit(v).alias(k) for k, v in entry.asDict().items()
-        ])
-        row.write.mode("append").json(self._log)
         self._rows.append(entry)
+        if self._held is None:
+            self._append([entry])
+        else:
+            self._held.append(entry)
+
+    def _append(self, entries: list[Row]) -> None:
+        rows = F.array(*[
+            F.struct(*[F.lit(v).cast("string").alias(k) for k, v in e.asDict().items()])
+            for e in entries
+        ])
+        log = self.spark.range(1, numPartitions=1).select(F.inline(rows))
+        log.withColumn("version", F.col("version").cast("int")).write.mode("append").json(self._log)
+
+    @contextmanager
+    def together(self):
+        """Announce everything written inside as one: other readers see all of it or nothing."""
+        self._held = []
+        try:
+            yield
+            held, self._held = self._held, None
+            if held:
+                self._append(held)
+        except BaseException:
+            held = self._held or []
+            self._rows = [r for r in self._rows if r not in held]
+            raise
+        finally:
+            self._held = None
 
     def announce_export(self, name: str, path: str, found: dict) -> None:
         """Log a version that was written elsewhere, such as an export."""
@@ -92,12 +118,12 @@ class SnapshotStore:
         )
 
 
-def latest_pages(archive: DataFrame) -> DataFrame:
-    """Newest page of every key from an append-only archive (item_key, html, _version).
+def latest_rows(archive: DataFrame) -> DataFrame:
+    """Newest row of every key from an append-only table (item_key, ..., _version).
 
     What is outdated is found on the two narrow columns. As long as that is a small set (a count
-    decides), it is broadcast and the markup is not shuffled; after a forced crawl of everything it
-    is not, and the archive is joined with the newest version of each key.
+    decides), it is broadcast and the long columns are not shuffled; after a forced crawl of
+    everything it is not, and the table is joined with the newest version of each key.
     """
     pairs = archive.select("item_key", "_version")
     newest = pairs.groupBy("item_key").agg(F.max("_version").alias("_newest"))
@@ -111,4 +137,4 @@ def latest_pages(archive: DataFrame) -> DataFrame:
     else:
         newest = newest.withColumnRenamed("_newest", "_version")
         kept = archive.join(newest, ["item_key", "_version"], "left_semi")
-    return kept.select("item_key", "html")
+    return kept.drop("_version")

@@ -13,7 +13,7 @@ from stratalog.operators.quality import validation_transition
 from stratalog.operators.responses import merge_answers
 from stratalog.schema import CATALOG_SCHEMA, PAGE_ARCHIVE_SCHEMA, RESPONSES_SCHEMA
 from stratalog.sources.pages import detail_pages
-from stratalog.sources.snapshots import SnapshotStore, latest_pages
+from stratalog.sources.snapshots import SnapshotStore, latest_rows
 from tests.test_catalog import CRAWL
 
 
@@ -87,7 +87,7 @@ def test_markup_stays_out_of_key_searches(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path / "s"))
     for html in ("1", "2"):
         store.write("pages", spark.createDataFrame([("a", html)], PAGE_ARCHIVE_SCHEMA))
-    text = plan(latest_pages(store.read_all("pages", PAGE_ARCHIVE_SCHEMA)))
+    text = plan(latest_rows(store.read_all("pages", PAGE_ARCHIVE_SCHEMA)))
     assert "BroadcastHashJoin" in text and "LeftAnti" in text
 
 

@@ -13,7 +13,7 @@ from stratalog.operators.quality import DEFAULT_RULES, Rule
 from stratalog.operators.responses import merge_answers, parse_answer, widen_calls
 from stratalog.plans.refresh import CATALOG, PAGES, RESPONSES, Options, Refresh, Site
 from stratalog.schema import ANSWERS, PAGE_ARCHIVE_SCHEMA
-from stratalog.sources.snapshots import SnapshotStore, latest_pages
+from stratalog.sources.snapshots import SnapshotStore, latest_rows
 from stratalog.streaming.intake import intake
 
 ITEM = (
@@ -274,7 +274,7 @@ def test_store(spark, tmp_path):
     assert found == {"m": "2", "rows_in": 1}
     assert by_key(store.read(PAGES, PAGE_ARCHIVE_SCHEMA)).keys() == {"a"}
     archive = store.read_all(PAGES, PAGE_ARCHIVE_SCHEMA)
-    assert {(r["item_key"], r["html"]) for r in latest_pages(archive).collect()} == {
+    assert {(r["item_key"], r["html"]) for r in latest_rows(archive).collect()} == {
         ("a", "2"), ("b", "1")
     }
     assert store.read_all(PAGES, PAGE_ARCHIVE_SCHEMA, "t1").count() == 2
@@ -282,6 +282,24 @@ def test_store(spark, tmp_path):
     assert store.write(PAGES, details(spark).limit(0)) == {"rows_in": 0}
 
 
+def test_store_announces_together_or_not_at_all(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+    store.write(PAGES, details(spark, a="1"))
+    with pytest.raises(RuntimeError):
+        with store.together():
+            store.write(PAGES, details(spark, b="1"))
+            assert store.version(PAGES) == 2
+            raise RuntimeError
+    assert store.version(PAGES) == SnapshotStore(spark, str(tmp_path)).version(PAGES) == 1
+    with store.together():
+        store.write(PAGES, details(spark, b="1"), tag="t")
+        store.write(CATALOG, details(spark, b="1"))
+        assert SnapshotStore(spark, str(tmp_path)).version(PAGES) == 1
+    again = SnapshotStore(spark, str(tmp_path))
+    assert (again.version(PAGES), again.version(CATALOG), again.has_tag(PAGES, "t")) == (2, 1, True)
+    assert by_key(again.read(PAGES, PAGE_ARCHIVE_SCHEMA)).keys() == {"b"}
+
+
 def test_intake(spark, tmp_path):
     landing, root = str(tmp_path / "landing"), str(tmp_path / "store")
     anchors = '<a href="/lib/a"><h2>A</h2></a>'
