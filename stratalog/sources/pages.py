@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalog.functions.text import key_from_href
+from stratalog.sources.snapshots import latest_rows
 
 PAGES_DDL = "page_id bigint, url string, html string"
 
@@ -25,15 +26,12 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def detail_pages(pages: DataFrame, url_prefix: str) -> DataFrame:
-    """(item_key, html) of the pages under ``url_prefix``, the highest page_id winning per key.
-
-    The winner is found on key and page_id alone; the markup takes no part in that shuffle.
-    """
-    keyed = pages.filter(F.col("url").startswith(url_prefix)).withColumn(
-        "item_key", key_from_href(F.col("url"), url_prefix)
-    ).filter(F.col("item_key") != "")
-    newest = keyed.groupBy("item_key").agg(F.max("page_id").alias("page_id"))
-    return keyed.join(newest, ["item_key", "page_id"], "left_semi").select("item_key", "html")
+    """(item_key, html) of the pages under ``url_prefix``, the highest page_id winning per key."""
+    keyed = pages.filter(F.col("url").startswith(url_prefix)).select(
+        key_from_href(F.col("url"), url_prefix).alias("item_key"), "html",
+        F.col("page_id").alias("_version"),
+    )
+    return latest_rows(keyed.filter(F.col("item_key") != ""))
 
 
 def listing_pages(pages: DataFrame, listing_url: str) -> DataFrame:

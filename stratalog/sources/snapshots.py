@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalog.operators.joins import is_small
+from stratalog.operators.joins import BROADCAST_ROWS
 
 _LOG_SCHEMA = "name string, version int, dir string, tag string, metrics string"
 
@@ -118,23 +118,29 @@ class SnapshotStore:
         )
 
 
-def latest_rows(archive: DataFrame) -> DataFrame:
-    """Newest row of every key from an append-only table (item_key, ..., _version).
+def latest_rows(rows: DataFrame) -> DataFrame:
+    """Newest row of every key of (item_key, ..., _version).
 
-    What is outdated is found on the two narrow columns. As long as that is a small set (a count
-    decides), it is broadcast and the long columns are not shuffled; after a forced crawl of
-    everything it is not, and the table is joined with the newest version of each key.
+    What is outdated is found on the two narrow columns, which a count per key reduces before the
+    shuffle. Mostly nothing is, and the rows come back untouched. A small set (its size is known by
+    then) is broadcast and taken out, and the long columns are not shuffled either. Only if much is
+    outdated, as after a forced crawl of everything, are the rows joined with the newest version of
+    each key, on key and version: the versions of one key spread over many tasks.
     """
-    pairs = archive.select("item_key", "_version")
-    newest = pairs.groupBy("item_key").agg(F.max("_version").alias("_newest"))
+    pairs = rows.select("item_key", "_version")
+    per_key = pairs.groupBy("item_key").agg(
+        F.max("_version").alias("_newest"), F.count(F.lit(1)).alias("_n")
+    )
+    contested = per_key.filter("_n > 1")
+    surplus = contested.agg(F.sum(F.col("_n") - 1)).first()[0] or 0
+    if surplus == 0:
+        return rows.drop("_version")
+    if surplus > BROADCAST_ROWS:
+        newest = per_key.select("item_key", F.col("_newest").alias("_version"))
+        return rows.join(newest, ["item_key", "_version"], "left_semi").drop("_version")
     outdated = (
-        pairs.join(newest, "item_key")
+        pairs.join(F.broadcast(contested), "item_key")
         .filter(F.col("_version") < F.col("_newest"))
-        .select("item_key", "_version").distinct()
+        .select("item_key", "_version")
     )
-    if is_small(outdated):
-        kept = archive.join(F.broadcast(outdated), ["item_key", "_version"], "left_anti")
-    else:
-        newest = newest.withColumnRenamed("_newest", "_version")
-        kept = archive.join(newest, ["item_key", "_version"], "left_semi")
-    return kept.drop("_version")
+    return rows.join(F.broadcast(outdated), ["item_key", "_version"], "left_anti").drop("_version")

@@ -228,3 +228,40 @@ def test_mentions(spark):
     assert column(spark, [text], "string", mentions.score_mentions) == [
         ["MMLU: 85.2%", "GSM8K 7 "]
     ]
+
+
+def test_adjacent_pairs_against_brute_force(spark):
+    rng = random.Random(5)
+    lists = [[rng.choice(["a", "b", "run x", "run y"]) for _ in range(rng.randint(0, 12))]
+             for _ in range(300)]
+
+    def pairs(tokens):
+        # A command token is used exactly if the token before it was not.
+        used, out = False, []
+        for name, token in zip([None, *tokens], tokens):
+            used = name is not None and token.startswith("run") and not used
+            if used:
+                out.append((name, token))
+        return out
+
+    got = column(spark, lists, "array<string>", lambda c: adjacent_pairs(c, "run"))
+    assert [[tuple(p) for p in row] for row in got] == [pairs(t) for t in lists]
+
+
+def test_spec_dedup_against_brute_force(spark):
+    rng = random.Random(6)
+    triples = [[(rng.choice("abcd"), rng.choice([0, 1, 2]), rng.choice("12"))
+                for _ in range(rng.randint(1, 9))] for _ in range(300)]
+    texts = ["\n".join(f"{t} {g} GB {c}K" for t, g, c in row) for row in triples]
+
+    def kept(row):
+        out = []
+        for t, g, c in row:
+            if all(t != u and (g, c) != (h, d) for u, h, d in out):
+                out.append((t, g, c))
+        return sorted(out, key=lambda r: r[1] or 999)
+
+    got = column(spark, texts, "string", spec_rows)
+    assert [[(r["tag"], int(r["size_gb"]), r["context"]) for r in row] for row in got] == [
+        [(t, g, c + "K") for t, g, c in kept(row)] for row in triples
+    ]

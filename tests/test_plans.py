@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from checks.registry import QUERIES
+from __spark_entry__ import queries
 from stratalog.operators import catalog as cat
 from stratalog.operators.detail import detail_extract, html_sections
 from stratalog.operators.listing import listing_extract
@@ -12,10 +12,12 @@ from stratalog.operators.prompts import build_prompts
 from stratalog.operators.quality import validation_transition
 from stratalog.operators.responses import merge_answers
 from stratalog.schema import CATALOG_SCHEMA, PAGE_ARCHIVE_SCHEMA, RESPONSES_SCHEMA
-from stratalog.sources.pages import detail_pages
+from stratalog.sources import snapshots
 from stratalog.sources.snapshots import SnapshotStore, latest_rows
 from tests.test_catalog import CRAWL
 
+QUERIES = queries()
+
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -80,15 +82,35 @@ def test_unwanted_details_do_not_share_a_null_key(spark, tmp_path, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_markup_stays_out_of_key_searches(spark, tmp_path):
-    pages = stored(spark, tmp_path, "page_id bigint, url string, html string")
-    text = plan(detail_pages(pages, "https://e.org/"))
-    assert len(re.findall(r"FileScan parquet \[page_id#\d+L,url#\d+\]", text)) == 1
-    store = SnapshotStore(spark, str(tmp_path / "s"))
-    for html in ("1", "2"):
-        store.write("pages", spark.createDataFrame([("a", html)], PAGE_ARCHIVE_SCHEMA))
-    text = plan(latest_rows(store.read_all("pages", PAGE_ARCHIVE_SCHEMA)))
-    assert "BroadcastHashJoin" in text and "LeftAnti" in text
+def versions(spark, tmp_path, n, keys):
+    store = SnapshotStore(spark, str(tmp_path))
+    for version in range(n):
+        store.write("pages", spark.createDataFrame(
+            [(k, f"{k}{version}") for k in keys(version)], PAGE_ARCHIVE_SCHEMA))
+    return store.read_all("pages", PAGE_ARCHIVE_SCHEMA)
+
+
+def newest(df):
+    return sorted((r["item_key"], r["html"]) for r in df.collect())
+
+
+def test_markup_is_not_shuffled_unless_much_is_outdated(spark, tmp_path, monkeypatch):
+    fresh = latest_rows(versions(spark, tmp_path / "a", 2, lambda v: [f"k{v}"]))
+    assert "Join" not in plan(fresh) and newest(fresh) == [("k0", "k00"), ("k1", "k11")]
+    rows = versions(spark, tmp_path / "b", 3, lambda v: ["hot", f"k{v}"])
+    few = latest_rows(rows)
+    text, expected = plan(few), [("hot", "hot2"), ("k0", "k00"), ("k1", "k11"), ("k2", "k22")]
+    assert "LeftAnti" in text and "SortMergeJoin" not in text and newest(few) == expected
+    monkeypatch.setattr(snapshots, "BROADCAST_ROWS", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        many = latest_rows(rows)
+        text = plan(many)
+        # Both sides are spread over key and version, not over the key alone.
+        assert len(re.findall(r"hashpartitioning\(item_key#\d+, _version#\d+", text)) == 2
+        assert "LeftSemi" in text and newest(many) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_comparison_ships_keys_and_digests_only(spark, sf_dir):
