@@ -48,11 +48,10 @@ class _Node:
         self.only = child if self.contents == 1 else None
 
 
-class _Page(HTMLParser):
+class _Page:
     """Elements in document order and text nodes in document order."""
 
-    def __init__(self, markup):
-        super().__init__(convert_charrefs=False)
+    def __init__(self, feed, markup):
         self.nodes = [_Node("", {}, None, 0)]
         self.texts = []
         self.owners = []  # per text node, name of the own-text element around it or ""
@@ -61,8 +60,7 @@ class _Page(HTMLParser):
         self._own = []
         self._keep = 0
         self._parts = []
-        self.feed(markup)
-        self.close()
+        self.complete = feed(self, markup)
         self._flush()
         while self._open:
             self._close_top()
@@ -91,10 +89,11 @@ class _Page(HTMLParser):
         if node.name in _KEEP_BLANKS:
             self._keep -= 1
 
-    def handle_starttag(self, tag, attrs):
-        self._flush()
+    def start(self, tag, attrs, closed=False):
+        if self._parts:
+            self._flush()
         parent = self._open[-1]
-        node = _Node(tag, {k: v or "" for k, v in attrs}, parent, len(self.texts))
+        node = _Node(tag, attrs, parent, len(self.texts))
         self.nodes[parent].add(node)
         self._open.append(len(self.nodes))
         self.nodes.append(node)
@@ -103,43 +102,35 @@ class _Page(HTMLParser):
             self._own.append(tag)
         if tag in _KEEP_BLANKS:
             self._keep += 1
-        if tag in _VOID:
+        if closed or tag in _VOID:
             self._close_top()
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
-            self._close_top()
-
-    def handle_endtag(self, tag):
-        self._flush()
+    def end(self, tag):
+        if self._parts:
+            self._flush()
         if self._counts.get(tag):
             name = None
             while name != tag:
                 name = self.nodes[self._open[-1]].name
                 self._close_top()
 
-    def handle_data(self, data):
+    def text(self, data):
         self._parts.append(data)
 
-    def handle_entityref(self, name):
+    def named(self, name):
         self._parts.append(html5.get(name + ";") or "&" + name)
 
-    def handle_charref(self, name):
-        self._parts.append(html.unescape(f"&#{name};"))
+    def numbered(self, number):
+        self._parts.append(html.unescape(f"&#{number};"))
 
-    def _aside(self, data):
+    def aside(self, data):
+        """A comment or declaration: it parts the texts around it and is none itself."""
         self._flush()
         self.nodes[self._open[-1]].add(data)
 
-    handle_comment = handle_decl = handle_pi = _aside
-
-    def unknown_decl(self, data):
+    def section(self, data):
         self._flush()
-        if data.upper().startswith("CDATA["):
-            self._emit(data[6:], "")
-        else:
-            self._aside(data)
+        self._emit(data, "")
 
     # ---- reading -------------------------------------------------------------------------
 
@@ -165,11 +156,107 @@ class _Page(HTMLParser):
         return None
 
 
+class _Lenient(HTMLParser):
+    """The standard library's tokenizer, which makes something of any markup."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=False)
+        self.page = page
+        self.handle_endtag = page.end
+        self.handle_data = page.text
+        self.handle_entityref = page.named
+        self.handle_charref = page.numbered
+        self.handle_comment = self.handle_decl = self.handle_pi = page.aside
+
+    def handle_starttag(self, tag, attrs):
+        self.page.start(tag, {k: v or "" for k, v in attrs})
+
+    def handle_startendtag(self, tag, attrs):
+        self.page.start(tag, {k: v or "" for k, v in attrs}, closed=True)
+
+    def unknown_decl(self, data):
+        if data.upper().startswith("CDATA["):
+            self.page.section(data[6:])
+        else:
+            self.page.aside(data)
+
+
+def _feed_lenient(page, markup):
+    parser = _Lenient(page)
+    parser.feed(markup)
+    parser.close()
+    return True
+
+
+# Tokens that can be read in one way only. Most pages consist of nothing else, and one expression
+# takes them apart several times faster than the lenient tokenizer.
+_TOKEN = re.compile(
+    r"""
+    ([^<&]++)
+    |&([a-zA-Z][a-zA-Z0-9]*+)(?:;|(?=[^-.;]))
+    |&\#([0-9]++);
+    |(&)(?=[^a-zA-Z#])
+    |<([a-zA-Z][-a-zA-Z0-9]*+)
+        ((?:[ \t\n\r\f]++[a-zA-Z_:@][-\w:.@]*+
+            (?:=(?:"[^"]*+"|'[^']*+'|[^\s"'=<>`/&]++))?(?=[ \t\n\r\f/>]))*+)
+        [ \t\n\r\f]*+(/?)>
+    |</([a-zA-Z][-a-zA-Z0-9]*+)[ \t\n\r\f]*+>
+    |<!--([^-]*+(?:-(?!-)[^-]*+)*+)-->
+    |<!(doctype[^>]*+)>
+    """,
+    re.X | re.I | re.A,
+)
+_ATTRIBUTE = re.compile(r"""([^\s=]+)(?:=(?:"([^"]*)"|'([^']*)'|(\S+)))?""", re.A)
+_RAW_END = {name: re.compile(rf"</\s*{name}", re.I) for name in ("script", "style")}
+
+
+def _feed_plain(page, markup):
+    """Feed unambiguous markup; False as soon as something else comes up."""
+    at, end, token = 0, len(markup), _TOKEN.match
+    start, close, text = page.start, page.end, page.text
+    while at < end:
+        m = token(markup, at)
+        if m is None:
+            return False
+        at, kind = m.end(), m.lastindex
+        if kind == 1:
+            text(m[1])
+        elif kind == 8:
+            close(m[8].lower())
+        elif kind == 7:
+            tag, attrs = m[5].lower(), {}
+            if m[6]:
+                for name, a, b, c in _ATTRIBUTE.findall(m[6]):
+                    value = a or b or c
+                    attrs[name.lower()] = html.unescape(value) if "&" in value else value
+            start(tag, attrs, closed=bool(m[7]))
+            if tag in _RAW_END and not m[7]:
+                stop = _RAW_END[tag].search(markup, at)
+                if stop is None or not markup.startswith(">", stop.end()):
+                    return False
+                if stop.start() > at:
+                    text(markup[at:stop.start()])
+                at = stop.end() + 1
+                close(tag)
+        elif kind == 2:
+            page.named(m[2])
+        elif kind == 3:
+            page.numbered(m[3])
+        elif kind == 4:
+            text("&")
+        else:
+            page.aside(m[kind])
+    return True
+
+
 def _parse(markup):
     if not markup:
         return None
+    page = _Page(_feed_plain, markup)
+    if page.complete:
+        return page
     try:
-        return _Page(markup)
+        return _Page(_feed_lenient, markup)
     except (AssertionError, ValueError):  # markup the tokenizer rejects: a page without content
         return None
 
