@@ -59,6 +59,11 @@ def _spec_row(r: Column) -> Column:
 
 
 def spec_rows(page_text: Column) -> Column:
+    """Specification rows of a page text; texts that name no unit are not searched further."""
+    return F.when(page_text.rlike("[gG][bB]"), _rows(page_text))
+
+
+def _rows(page_text: Column) -> Column:
     """All specification rows of a page, deduplicated in page order, smallest size first.
 
     A row is kept when neither its tag nor its (size, context) belongs to a row kept before it; a

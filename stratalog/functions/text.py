@@ -33,7 +33,8 @@ def strip(col: Column) -> Column:
 
 def squeeze(col: Column) -> Column:
     """Collapse white space runs to one blank and trim."""
-    return F.trim(F.regexp_replace(col, rf"(?U){SPACE}+", " "))
+    # A single blank stays as it is: only runs and other white space are replaced.
+    return F.trim(F.regexp_replace(col, rf"(?U)[{SPACE}&&[^ ]]{SPACE}*+| {SPACE}++", " "))
 
 
 def clean_text(col: Column, max_chars: int = fv.CLEAN_CAP) -> Column:
