@@ -1,9 +1,33 @@
-"""Session for local runs; on a cluster the caller's session is used as it is."""
+"""Sessions: one for local runs, and this code made known to the workers of any other."""
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession, *packages: str) -> None:
+    """Send the Python code of this package, and of its neighbours named, to the workers.
+
+    Needed wherever it is not installed on them. Done once per application.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent.parent
+    target = Path(tempfile.mkdtemp(prefix="stratalog-")) / "stratalog.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for package in ("stratalog", *packages):
+            for source in sorted((root / package).rglob("*.py")):
+                archive.write(source, source.relative_to(root))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
+
 
 def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
     builder = (
