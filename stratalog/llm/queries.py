@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratalog.llm.common import new_folder
 from stratalog.llm.exact_dedup import exact_dedup
+from stratalog.llm.near_dedup import OP_SETTINGS, near_dedup
 from stratalog.llm.url_filters import judge_urls, rule_table
 from stratalog.llm.warc import parsed, read_archive, write_archive
 
@@ -91,3 +92,8 @@ SELECT s.page_id, host, path, rule, coalesce(v, 'allow') AS verdict
 FROM s LEFT JOIN m ON s.page_id = m.page_id""")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rule_table(spark, RULES))
+
+
+@query("op2_near_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"), OP_SETTINGS)
