@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratalog.llm.common import new_folder
 from stratalog.llm.exact_dedup import exact_dedup
+from stratalog.llm.line_dedup import line_dedup
 from stratalog.llm.near_dedup import OP_SETTINGS, near_dedup
 from stratalog.llm.url_filters import judge_urls, rule_table
 from stratalog.llm.warc import parsed, read_archive, write_archive
@@ -97,3 +98,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_near_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"), OP_SETTINGS)
+
+
+@query("op10_line_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "removed_lines", "text")
