@@ -10,6 +10,7 @@ from stratalog.llm.common import new_folder
 from stratalog.llm.exact_dedup import exact_dedup
 from stratalog.llm.line_dedup import line_dedup
 from stratalog.llm.near_dedup import OP_SETTINGS, near_dedup
+from stratalog.llm.packing import packed
 from stratalog.llm.url_filters import judge_urls, rule_table
 from stratalog.llm.warc import parsed, read_archive, write_archive
 
@@ -104,3 +105,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_dedup(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "removed_lines", "text")
+
+
+@query("op4_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
