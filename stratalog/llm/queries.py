@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratalog.llm.common import new_folder
 from stratalog.llm.exact_dedup import exact_dedup
 from stratalog.llm.line_dedup import line_dedup
 from stratalog.llm.near_dedup import OP_SETTINGS, near_dedup
 from stratalog.llm.packing import packed
+from stratalog.llm.private_data import KINDS, private_data, span_text
 from stratalog.llm.url_filters import judge_urls, rule_table
 from stratalog.llm.warc import parsed, read_archive, write_archive
 
@@ -110,3 +112,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
+
+
+@query("op6_private_data")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = private_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: ~s["disguised"])
+    counts = [F.size(F.filter(base, lambda s, kind=kind: s["kind"] == kind)).cast("bigint")
+              .alias(f"n_{kind}") for kind in KINDS]
+    return found.select("doc_id", *counts,
+                        F.sha2(span_text(base).cast("binary"), 256).alias("base_sha256"),
+                        span_text(F.col("spans")).alias("spans"))
