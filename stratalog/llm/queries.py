@@ -11,6 +11,7 @@ from stratalog.llm.common import new_folder
 from stratalog.llm.exact_dedup import exact_dedup
 from stratalog.llm.line_dedup import line_dedup
 from stratalog.llm.near_dedup import OP_SETTINGS, near_dedup
+from stratalog.llm.neighbours import nearest
 from stratalog.llm.packing import packed
 from stratalog.llm.private_data import KINDS, private_data, span_text
 from stratalog.llm.url_filters import judge_urls, rule_table
@@ -123,3 +124,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts,
                         F.sha2(span_text(base).cast("binary"), 256).alias("base_sha256"),
                         span_text(F.col("spans")).alias("spans"))
+
+
+@query("op7_neighbours")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
