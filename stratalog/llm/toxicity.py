@@ -1,7 +1,7 @@
 """Toxicity by a subsequence string kernel, Nyström landmarks and a support vector machine.
 
 The strings are the words of sentences of labelled documents. The kernel compares two words by the
-subsequences of three symbols that they share, each weighted by ``DECAY`` to the power of the length it
+subsequences of three and of four symbols that they share, each weighted by ``DECAY`` to the power of the length it
 spans, up to ``SPAN``; a character put in between, or a dot after each letter, leaves most of them. A set
 of words are the landmarks: a word's kernel values with them, times the inverse root of the landmarks'
 own kernel matrix, are its features. A linear support vector machine on them tells words of toxic
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,10 @@ TOP = 3
 THRESHOLD = 0.3
 _PUNCTUATION = ".,;:!?\"'()[]{}<>*_-~`|/\\"
 _SINGLES = re.compile(r"(?<!\S)\S[.,;:!?*_-]?(?:[ \t]\S[.,;:!?*_-]?){2,}(?!\S)")
-_PAIRS = [(d, e) for d in range(1, SPAN) for e in range(1, SPAN - d)]
+#: Where the further symbols of a subsequence stand, counted from its first.
+_PLACES = [places for n in (2, 3) for places in combinations(range(1, SPAN), n)]
+#: Subsequences of three symbols have numbers of their own, those of four share the rest by hash.
+TABLE = 1 << 20
 _GAP = "\0" * SPAN
 
 
@@ -71,34 +75,42 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(words)), [len(word) + SPAN for word in marked])
     n = len(codes) - SPAN
     parts = []
-    for d, e in _PAIRS:
-        a, b, c = codes[:n], codes[d:n + d], codes[d + e:n + d + e]
-        at = np.flatnonzero((a > 0) & (b > 0) & (c > 0))
-        at = at[owner[at] == owner[at + d + e]]
-        parts.append((owner[at], (a[at] * SYMBOLS + b[at]) * SYMBOLS + c[at],
-                      np.full(len(at), DECAY ** (d + e - 2), np.float32)))
+    for places in _PLACES:
+        at = np.flatnonzero((codes[:n] > 0) & (owner[:n] == owner[places[-1]:n + places[-1]])
+                            & (codes[places[-1]:n + places[-1]] > 0))
+        key = codes[at].astype(np.int64)
+        for place in places:
+            key = key * SYMBOLS + codes[at + place]
+        if len(places) == 3:
+            key = SYMBOLS ** 3 + (key * 0x9E3779B1 >> 7) % (TABLE - SYMBOLS ** 3)
+        parts.append((owner[at], key, np.full(
+            len(at), DECAY ** (places[-1] - len(places)), np.float32)))
     word, key, weight = (np.concatenate(part) for part in zip(*parts, strict=True))
     norm = np.sqrt(np.bincount(word, weight ** 2, minlength=len(words)))
     return word, key, weight / norm[word]
 
 
-def _dense(words: list[str]) -> np.ndarray:
-    word, key, weight = subsequences(words)
-    out = np.zeros((len(words), SYMBOLS ** 3), np.float32)
-    np.add.at(out, (word, key), weight)
-    return out
-
+class Landmarks:
+    """Words to compare others with: their subsequences and the weights each word has for them."""
 
-def _kernel(words: list[str], landmarks: np.ndarray) -> np.ndarray:
-    """Kernel values of words with the landmarks, given by subsequence (SYMBOLS**3 rows)."""
-    out = np.zeros((len(words), landmarks.shape[1]), np.float32)
-    for at in range(0, len(words), 500):
-        word, key, weight = subsequences(words[at:at + 500])
-        order = np.argsort(word, kind="stable")
-        first = np.searchsorted(word[order], np.arange(len(words[at:at + 500])))
-        out[at:at + 500] = np.add.reduceat(
-            landmarks[key[order]] * weight[order][:, None], first, axis=0)
-    return out
+    def __init__(self, words: list[str]):
+        word, key, weight = subsequences(words)
+        self.keys, at = np.unique(key, return_inverse=True)
+        self.weights = np.zeros((len(self.keys), len(words)), np.float32)
+        np.add.at(self.weights, (at, word), weight)
+
+    def kernel(self, words: list[str]) -> np.ndarray:
+        out = np.zeros((len(words), self.weights.shape[1]), np.float32)
+        for start in range(0, len(words), 500):
+            word, key, weight = subsequences(words[start:start + 500])
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            same = np.flatnonzero(self.keys[at] == key)
+            same = same[np.argsort(word[same], kind="stable")]
+            owners, first = np.unique(word[same], return_index=True)
+            if len(owners):
+                out[start + owners] = np.add.reduceat(
+                    self.weights[at[same]] * weight[same][:, None], first, axis=0)
+        return out
 
 
 def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) -> np.ndarray:
@@ -134,16 +146,18 @@ class WordModel:
 def fit_words(words: list[str], toxic: np.ndarray, clean: np.ndarray, marks: list[str],
               ridge: float = 1e-5) -> WordModel:
     """A model of words with the weights they have as toxic and as clean ones."""
-    landmarks = _dense(marks)
-    values, vectors = np.linalg.eigh((landmarks @ landmarks.T).astype(np.float64))
+    landmarks = Landmarks(marks)
+    values, vectors = np.linalg.eigh((landmarks.weights.T @ landmarks.weights).astype(np.float64))
     good = values > 1e-4 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
-    x = _kernel(words, np.ascontiguousarray(landmarks.T)) @ root
+    x = landmarks.kernel(words) @ root
     y = np.repeat([1.0, -1.0], len(words))
     weight = np.concatenate([toxic, clean])
     used = weight > 0
     w = _machine(np.vstack([x, x])[used], y[used], weight[used], ridge)
-    return WordModel((landmarks.T @ (root @ w[:-1])).astype(np.float32), float(w[-1]))
+    weights = np.zeros(TABLE, np.float32)
+    weights[landmarks.keys] = landmarks.weights @ (root @ w[:-1])
+    return WordModel(weights, float(w[-1]))
 
 
 def plain_word(token: str) -> str:
@@ -305,8 +319,9 @@ def fit(docs: DataFrame, labels: DataFrame, training: Training = Training()) ->
             _mapped_words(model), "word string, clean bigint, score double").orderBy(
             F.desc("score"), "word").limit(n // 4).collect()
         scores = model.scores(words)
+        # A word of one toxic row only may be there by chance, unless the machine knows its like.
         positive = [word for word, t, c, s in zip(words, toxic, clean, scores, strict=True)
-                    if s > 0 and t > 5 * c]
+                    if t > 5 * c and s > (0 if t * sizes[1] > 1.5 else 0.5)]
         if not positive:
             break
         more = _gapped(positive, rng)
@@ -316,8 +331,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Training = Training()) ->
         is_toxic = np.repeat([1.0, 0.0], [2 * len(positive), len(negative) + len(hard_words)])
         share = dict(zip(words, toxic, strict=True))
         weight = np.array([share[w] for w in positive] * 2)
-        good = np.sqrt(weight)
-        up = np.concatenate([good / good.sum(), np.zeros(len(negative) + len(hard_words))])
+        up = np.concatenate([weight / weight.sum(), np.zeros(len(negative) + len(hard_words))])
         down = np.concatenate([np.zeros(2 * len(positive)), np.full(
             len(negative), 1 / len(negative)), np.full(len(hard_words), 2 / max(1, len(hard_words)))])
         top = sorted(positive, key=lambda w: (-share[w], w))[:third]
@@ -367,7 +381,7 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
     rows = docs.select("doc_id", "text")
     if model is None:
         return rows.select("doc_id", F.lit(0.0).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # one table of SYMBOLS**3 numbers
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # one table of TABLE numbers
     return rows.mapInArrow(_scored(shared), "doc_id bigint, score double")
 
 
