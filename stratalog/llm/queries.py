@@ -11,6 +11,7 @@ from stratalog.llm import toxicity
 from stratalog.llm.common import new_folder
 from stratalog.llm.exact_dedup import exact_dedup
 from stratalog.llm.line_dedup import line_dedup
+from stratalog.llm.mixing import mixed
 from stratalog.llm.near_dedup import OP_SETTINGS, near_dedup
 from stratalog.llm.neighbours import nearest
 from stratalog.llm.packing import packed
@@ -120,7 +121,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = private_data(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: ~s["disguised"])
-    counts = [F.size(F.filter(base, lambda s, kind=kind: s["kind"] == kind)).cast("bigint")
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("bigint")
               .alias(f"n_{kind}") for kind in KINDS]
     return found.select("doc_id", *counts,
                         F.sha2(span_text(base).cast("binary"), 256).alias("base_sha256"),
@@ -139,3 +141,22 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, model).select(
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def domain_labels(labels: DataFrame) -> DataFrame:
+    """The domain of each labelled document: toxic, else low or good by its quality."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low").when(
+        F.col("quality") == 1, "good")
+    return labels.select("doc_id", domain.alias("domain"))
+
+
+#: Target weights of the domains.
+WEIGHTS = {"good": 0.8, "low": 0.15, "toxic": 0.05}
+
+
+@query("op8_mixing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = mixed(table(spark, sf_dir, "documents"),
+                  domain_labels(table(spark, sf_dir, "labels")), WEIGHTS)
+    shares = [F.get("p", F.lit(i)).alias(f"p_{name}") for i, name in enumerate(WEIGHTS)]
+    return rates.select("doc_id", "tokens", *shares, "rate", "copies")
