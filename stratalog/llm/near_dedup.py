@@ -137,10 +137,10 @@ def _signed(settings: Settings):
                 edges = pa.array(np.arange(end - at + 1, dtype=np.int32) * bands)
                 rest = batch.slice(at, end - at)
                 yield pa.RecordBatch.from_arrays(
-                    [rest.column("doc_id"), rest.column("digest"), pa.array(distinct),
+                    [*rest.columns[:3], pa.array(distinct),
                      pa.array([row.tobytes() for row in signature], pa.binary()),
                      pa.ListArray.from_arrays(edges, flat)],
-                    ["doc_id", "digest", "n_shingles", "signature", "bands"])
+                    [*rest.schema.names[:3], "n_shingles", "signature", "bands"])
 
     return sign
 
@@ -155,21 +155,22 @@ def _class_digest(words: Column) -> Column:
 
 
 def classes(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
-    """(rows, classes), written. Rows: doc_id, digest, n_shingles. Classes: a row for each different
+    """(rows, classes), written. Rows: doc_id, text_hash, digest, n_shingles. Classes: a row for each different
     sequence of words with its smallest doc_id, a number of its own (node), signature and bands."""
     ship(docs.sparkSession)
-    tokens = docs.select("doc_id", _tokens(F.col("text")).alias("tokens"))
-    hashed = tokens.select("doc_id", _class_digest(F.col("tokens")).alias("digest"),
+    tokens = docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
+                         _tokens(F.col("text")).alias("tokens"))
+    hashed = tokens.select("doc_id", "text_hash", _class_digest(F.col("tokens")).alias("digest"),
                            F.transform("tokens", lambda w: F.xxhash64(w)).alias("words"))
     signed = written(hashed.mapInArrow(
-        _signed(settings), "doc_id bigint, digest binary, n_shingles bigint, signature binary, "
-                           "bands array<bigint>"), "signed")
+        _signed(settings), "doc_id bigint, text_hash bigint, digest binary, n_shingles bigint, "
+                           "signature binary, bands array<bigint>"), "signed")
     groups = signed.groupBy("digest").agg(
         F.min("doc_id").alias("min_id"), F.count("*").alias("copies"),
         F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"),
         F.first("bands").alias("bands"))
     nodes = written(groups.withColumn("node", F.monotonically_increasing_id()), "classes")
-    return signed.select("doc_id", "digest", "n_shingles"), nodes
+    return signed.select("doc_id", "text_hash", "digest", "n_shingles"), nodes
 
 
 def least_matches(settings: Settings) -> list[int]:
@@ -270,7 +271,7 @@ def _close(n: str, m: str, percent: int) -> Column:
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def _hub_pairs(buckets: DataFrame, percent: int) -> DataFrame:
+def _hub_pairs(buckets: DataFrame) -> DataFrame:
     hubs = buckets.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("members"))
     pairs = buckets.join(hubs.filter("members > 1"), "band").filter("node <> a")
     return pairs.select("a", F.col("node").alias("b")).distinct()
@@ -291,7 +292,7 @@ def _mixed_pairs(buckets: DataFrame, owners: DataFrame, percent: int) -> DataFra
 
 
 def near_dedup(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:  # noqa: B008
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept, text_hash.
 
     Words are taken from the whole text, A-Z as a-z. ``component_id`` is the smallest doc_id that can
     be reached over links, ``kept`` says that it is the row's own. NULL text and text without words has
@@ -302,7 +303,7 @@ def near_dedup(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     rows, nodes = classes(docs, settings)
     sized = nodes.filter("n_shingles > 0")
     buckets = sized.select("node", "n_shingles", F.explode("bands").alias("band"))
-    pairs = _survivors(_hub_pairs(buckets, settings.percent), nodes, settings)
+    pairs = _survivors(_hub_pairs(buckets), nodes, settings)
     links = _links(pairs, docs, nodes, settings)
     owners = components(links)
     rest = _survivors(_mixed_pairs(buckets, owners, settings.percent), nodes, settings)
@@ -314,4 +315,11 @@ def near_dedup(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return rows.join(by_class, "digest").select(
         "doc_id", "n_shingles", own.alias("component_id"),
-        own.eqNullSafe(F.col("doc_id")).alias("kept"))
+        own.eqNullSafe(F.col("doc_id")).alias("kept"), "text_hash")
+
+
+def without_near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:  # noqa: B008
+    """The rows of ``docs`` (doc_id, text, any others) that ``near_dedup`` keeps, as they are."""
+    gone = near_dedup(docs, settings).filter("NOT kept").select("doc_id", "text_hash").distinct()
+    same = docs["doc_id"].eqNullSafe(gone["doc_id"]) & (F.xxhash64(docs["text"]) == gone["text_hash"])
+    return docs.join(gone, same, "left_anti")
