@@ -2,9 +2,10 @@
 
 Texts with the same words are one class. Each class has a signature of ``Settings.hashes`` minimum
 hashes over its word shingles; those that agree in a band of ``Settings.rows`` of them share a bucket.
-A bucket doesn't give all its pairs: its members meet its smallest one, links found merge them into
-components, and in a second round only members of one bucket that are in different components still
-meet. So every pair that shares a bucket is compared or already known to be connected.
+A bucket doesn't give all its pairs: in each of ``Settings.hub_rounds`` rounds its members meet one of
+them, and links found merge them into components. Last, the classes of buckets that still hold several
+components meet through their rarest shingles, those of different components alone. So every pair that
+shares a bucket and can be linked is compared or already known to be connected.
 
 Candidates are compared by batches of their signatures. After n hashes with m equal, the similarity has
 the posterior Beta(m + 1, n - m + 1); a pair whose chance to reach the threshold is under
@@ -40,6 +41,7 @@ class Settings:
     rows: int = 4
     batch: int = 16
     miss: float = 1e-9
+    hub_rounds: int = 2
 
 
 OP_SETTINGS = Settings(words=3, percent=85)
@@ -222,21 +224,38 @@ def _full_sets(settings: Settings):
             for at, end in _runs(np.diff(offsets), _WORDS_AT_ONCE):
                 value, doc = shingles(words, offsets[at:end], offsets[at + 1:end + 1], settings.words)
                 bounds = np.searchsorted(doc, np.arange(end - at + 1))
-                sets = [np.unique(value[bounds[i]:bounds[i + 1]]).tobytes() for i in range(end - at)]
+                sets = [np.unique(value[bounds[i]:bounds[i + 1]]) for i in range(end - at)]
+                ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+                flat = np.concatenate(sets).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("node").slice(at, end - at), pa.array(sets, pa.binary())],
+                    [batch.column("node").slice(at, end - at),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
                     ["node", "shingles"])
 
     return collect
 
 
+def _shingle_sets(ids: DataFrame, docs: DataFrame, nodes: DataFrame,
+                  settings: Settings) -> DataFrame:
+    """(node, shingles), written: the full shingle sets, sorted, of the classes ``ids`` (node)."""
+    wanted = nodes.join(ids, "node").select(
+        "node", F.col("min_id").alias("class_id"), F.col("digest").alias("class"))
+    texts = docs.select("doc_id", "text").join(
+        wanted, docs["doc_id"].eqNullSafe(wanted["class_id"])).select(
+        "node", "class", _tokens(F.col("text")).alias("tokens"))
+    texts = texts.filter(_class_digest(F.col("tokens")) == F.col("class"))
+    hashed = texts.select("node", F.transform("tokens", lambda w: F.xxhash64(w)).alias("words"))
+    return written(hashed.mapInArrow(_full_sets(settings), "node bigint, shingles array<bigint>")
+                   .dropDuplicates(["node"]), "sets")
+
+
 def _confirmed(settings: Settings):
     def confirm(batches):
         for batch in batches:
+            (left, a), (right, b) = (_lists(batch.column(name)) for name in ("left", "right"))
             keep = []
-            for i, (x, y) in enumerate(zip(batch.column("left").to_pylist(),
-                                           batch.column("right").to_pylist(), strict=True)):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for i in range(batch.num_rows):
+                x, y = left[a[i]:a[i + 1]], right[b[i]:b[i + 1]]
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * both >= settings.percent * (len(x) + len(y) - both):
                     keep.append(i)
@@ -246,18 +265,8 @@ def _confirmed(settings: Settings):
     return confirm
 
 
-def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
+def _links(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     """Of surviving pairs those that reach the threshold on full shingle sets, written."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = nodes.join(ids, "node").select(
-        "node", F.col("min_id").alias("doc_id"), F.col("digest").alias("class"))
-    tokens = docs.select("doc_id", _tokens(F.col("text")).alias("tokens"))
-    texts = tokens.join(wanted, tokens["doc_id"].eqNullSafe(wanted["doc_id"])).filter(
-        _class_digest(F.col("tokens")) == F.col("class"))
-    hashed = texts.select("node", F.transform("tokens", lambda w: F.xxhash64(w)).alias("words"))
-    sets = written(hashed.mapInArrow(_full_sets(settings), "node bigint, shingles binary")
-                   .dropDuplicates(["node"]), "sets")
-
     def side(node: str, name: str) -> DataFrame:
         return sets.select(F.col("node").alias(node), F.col("shingles").alias(name))
 
@@ -266,27 +275,52 @@ def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, settings: Settin
                    .mapInArrow(_confirmed(settings), "a bigint, b bigint"), "confirmed")
 
 
-def _close(n: str, m: str, percent: int) -> Column:
-    """Sets of these sizes can reach the threshold."""
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+def _owned(buckets: DataFrame, owners: DataFrame) -> DataFrame:
+    """Members of buckets that hold several components, with their component."""
+    owned = buckets.join(owners.withColumnRenamed("component", "owner"), "node", "left").withColumn(
+        "owner", F.coalesce("owner", "node"))
+    mixed = owned.groupBy("band").agg(F.min("owner").alias("low"), F.max("owner").alias("high"))
+    return owned.join(mixed.filter("low < high").select("band"), "band")
 
 
-def _hub_pairs(buckets: DataFrame) -> DataFrame:
-    hubs = buckets.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("members"))
-    pairs = buckets.join(hubs.filter("members > 1"), "band").filter("node <> a")
-    return pairs.select("a", F.col("node").alias("b")).distinct()
+def _hub_pairs(owned: DataFrame, seed: int) -> DataFrame:
+    """Each member of a bucket with the bucket's hub, unless they are connected. Every bucket draws its
+    hub anew, so a member of many buckets of one group meets many members of the group."""
+    draw = F.xxhash64("node", "band", F.lit(seed))
+    hubs = owned.groupBy("band").agg(F.min_by("node", draw).alias("hub"),
+                                     F.min_by("owner", draw).alias("hub_owner"))
+    pairs = owned.join(hubs, "band").filter("owner <> hub_owner")
+    return pairs.select(F.least("node", "hub").alias("a"),
+                        F.greatest("node", "hub").alias("b")).distinct()
 
 
-def _mixed_pairs(buckets: DataFrame, owners: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket that are in different components, of sizes that can be linked."""
-    owned = buckets.join(owners.withColumnRenamed("component", "owner"), "node", "left").withColumn(
-        "owner", F.coalesce("owner", "node"))
-    mixed = owned.groupBy("band").agg(F.min("owner").alias("low"), F.max("owner").alias("high"),
-                                      F.min("node").alias("hub")).filter("low < high")
-    owned = owned.join(mixed, "band").filter("node <> hub")  # the hub has met all
-    x, y = owned.alias("x"), owned.alias("y")
-    pairs = x.join(y, F.expr("x.band = y.band AND x.owner < y.owner")
-                   & _close("x.n_shingles", "y.n_shingles", percent))
+def _mixed_pairs(owned: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs of different components that can be linked, of classes whose buckets hold several.
+
+    Buckets shared because of a common passage would give very many pairs. So the pairs come from the
+    sets themselves: with shingles in one order, rarest first, two sets of n and more elements that
+    reach the threshold t share one of the first n - ceil(t * n) + 1 of each, and from the first one
+    they share on, both have enough left for the overlap that t asks for. What a common passage adds
+    stands at the end of that order.
+    """
+    members = owned.select("node", "owner", "n_shingles").distinct()
+    rows = written(sets.join(members, "node").select(
+        "node", "owner", "n_shingles", F.explode("shingles").alias("shingle")), "shingles")
+    held = rows.groupBy("shingle").agg(
+        F.count("*").alias("holders"), (F.min("owner") < F.max("owner")).alias("shared"))
+    needed = F.expr(f"(n_shingles * {settings.percent} + 99) div 100")
+    first = F.slice(F.sort_array(F.collect_list(F.struct("holders", "shingle", "shared"))), F.lit(1),
+                    F.first(F.col("n_shingles") - needed + 1).cast("int"))
+    rarest = rows.join(held, "shingle").groupBy("node", "owner", "n_shingles").agg(
+        first.alias("first")).select("node", "owner", "n_shingles",
+                                     F.posexplode("first").alias("place", "item"))
+    rarest = written(rarest.filter("item.shared").select(
+        "node", "owner", "n_shingles", F.col("item.shingle").alias("shingle"),
+        (F.col("n_shingles") - F.col("place")).alias("rest")), "rarest")
+    x, y = rarest.alias("x"), rarest.alias("y")
+    close = F.expr(f"{100 + settings.percent} * least(x.rest, y.rest) >= "
+                   f"{settings.percent} * (x.n_shingles + y.n_shingles)")
+    pairs = x.join(y, F.expr("x.shingle = y.shingle AND x.owner < y.owner") & close)
     return pairs.select(F.least("x.node", "y.node").alias("a"),
                         F.greatest("x.node", "y.node").alias("b")).distinct()
 
@@ -303,12 +337,19 @@ def near_dedup(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     rows, nodes = classes(docs, settings)
     sized = nodes.filter("n_shingles > 0")
     buckets = sized.select("node", "n_shingles", F.explode("bands").alias("band"))
-    pairs = _survivors(_hub_pairs(buckets), nodes, settings)
-    links = _links(pairs, docs, nodes, settings)
-    owners = components(links)
-    rest = _survivors(_mixed_pairs(buckets, owners, settings.percent), nodes, settings)
-    more = _links(rest, docs, nodes, settings)
-    owners = components(links.unionByName(more))
+    owners = nodes.select("node", F.col("node").alias("component")).limit(0)
+    owned = written(_owned(buckets, owners), "shared_buckets")
+    sets = _shingle_sets(owned.select("node").distinct(), docs, nodes, settings)
+    buckets, links = owned.drop("owner"), None
+    for seed in range(settings.hub_rounds + 1):
+        if seed < settings.hub_rounds:
+            pairs = _hub_pairs(owned, seed)
+        else:
+            pairs = _mixed_pairs(owned, sets, settings)
+        more = _links(_survivors(pairs, nodes, settings), sets, settings)
+        links = more if links is None else links.unionByName(more)
+        owners = components(links)
+        owned = written(_owned(buckets, owners), "mixed_buckets")
     named = nodes.join(owners, "node", "left").withColumn("owner", F.coalesce("component", "node"))
     smallest = named.groupBy("owner").agg(F.min("min_id").alias("component_id"))
     by_class = named.join(smallest, "owner").select("digest", "component_id")
