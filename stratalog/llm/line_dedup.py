@@ -16,6 +16,7 @@ import zlib
 from bisect import bisect_left
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -80,37 +81,52 @@ def _hashed_lines(batches):
             ["doc_id", "text_hash", "hashes", "words"])
 
 
+def _flat(batch: pa.RecordBatch, *names: str) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(offsets, values of each column) of list columns of equal lengths and without NULLs."""
+    columns = [batch.column(name) for name in names]
+    return (np.asarray(columns[0].offsets, np.int64), [np.asarray(c.values) for c in columns])
+
+
 def _runs(block_words: int):
     """Runs of shared lines that follow each other, one row for each first document in them."""
 
     def split(batches):
         for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                lines = sorted(row["lines"], key=lambda line: line["pos"])
-                start = 0
-                for at in range(1, len(lines) + 1):
-                    if at < len(lines) and lines[at]["pos"] == lines[at - 1]["pos"] + 1:
-                        continue
-                    run, start = lines[start:at], at
-                    if sum(line["words"] for line in run) < block_words:
-                        continue
-                    for first in sorted({line["first"] for line in run} - {row["doc_id"]}):
-                        out.append({
-                            "doc_id": row["doc_id"], "text_hash": row["text_hash"], "first": first,
-                            "pos": run[0]["pos"], "hashes": [line["hash"] for line in run],
-                            "words": [line["words"] for line in run]})
-            if out:
-                yield from pa.Table.from_pylist(out, _RUN_SCHEMA).to_batches()
+            offsets, (pos, hashes, words, first) = _flat(batch, "pos", "hash", "words", "first")
+            doc_ids = np.asarray(batch.column("doc_id"))
+            row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+            base = offsets[0]
+            pos, hashes, words, first = (v[base:base + len(row)] for v in (pos, hashes, words, first))
+            if not len(row):
+                continue
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (pos[1:] != pos[:-1] + 1)
+            starts = np.flatnonzero(new)
+            ends = np.append(starts[1:], len(row))
+            rows, firsts, at, held = [], [], [], []
+            for k in np.flatnonzero(np.add.reduceat(words, starts) >= block_words):
+                run = slice(starts[k], ends[k])
+                for earlier in np.unique(first[run]):
+                    if earlier != doc_ids[row[starts[k]]]:
+                        rows.append(row[starts[k]])
+                        firsts.append(earlier)
+                        at.append(pos[starts[k]])
+                        held.append(np.arange(run.start, run.stop))
+            if rows:
+                lengths = np.cumsum([0, *map(len, held)]).astype(np.int32)
+                lines = np.concatenate(held)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(name).take(pa.array(rows)) for name in ("doc_id", "text_hash")]
+                    + [pa.array(firsts, pa.int64()), pa.array(at, pa.int32())]
+                    + [pa.ListArray.from_arrays(pa.array(lengths), pa.array(v[lines]))
+                       for v in (hashes, words)],
+                    ["doc_id", "text_hash", "first", "pos", "hashes", "words"])
 
     return split
 
 
 _RUN_DDL = ("doc_id bigint, text_hash bigint, first bigint, pos int, hashes array<bigint>, "
             "words array<int>")
-_RUN_SCHEMA = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("first", pa.int64()),
-                         ("pos", pa.int32()), ("hashes", pa.list_(pa.int64())),
-                         ("words", pa.list_(pa.int32()))])
 
 
 def patience(a: list, b: list) -> list[tuple[int, int]]:
@@ -178,13 +194,17 @@ def _aligned(block_words: int):
     def align(batches):
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
-                lines = sorted(row["lines"], key=lambda line: line["pos"])
-                for start, end in common_blocks(
-                        row["hashes"], row["words"], [line["hash"] for line in lines],
-                        [line["pos"] for line in lines], block_words):
-                    out.append((row["doc_id"], row["text_hash"], row["pos"] + start,
-                                row["pos"] + end))
+            ends, (later, words) = _flat(batch, "hashes", "words")
+            bounds, (earlier, places) = _flat(batch, "earlier", "places")
+            doc_ids, text_hashes, at = (batch.column(name).to_pylist()
+                                        for name in ("doc_id", "text_hash", "pos"))
+            for i in range(batch.num_rows):
+                a, b = slice(ends[i], ends[i + 1]), slice(bounds[i], bounds[i + 1])
+                if words[a][np.isin(later[a], earlier[b])].sum() < block_words:
+                    continue  # all they have in common is less than a block
+                for start, end in common_blocks(later[a].tolist(), words[a].tolist(),
+                                                earlier[b].tolist(), places[b].tolist(), block_words):
+                    out.append((doc_ids[i], text_hashes[i], at[i] + start, at[i] + end))
             if out:
                 doc_id, text_hash, start, end = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays(
@@ -209,15 +229,16 @@ def repeated_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     shared = shared.filter("first < last").drop("last")
     found = rows.select("doc_id", "text_hash", "pos", "hash",
                         F.get("words", F.col("pos")).alias("words")).join(shared, "hash")
-    sequences = written(found.groupBy("doc_id", "text_hash").agg(
-        F.collect_set(F.struct("pos", "hash", "words", "first")).alias("lines")), "sequences")
+    lists = found.groupBy("doc_id", "text_hash").agg(F.sort_array(
+        F.collect_set(F.struct("pos", "hash", "words", "first"))).alias("lines"))
+    sequences = written(lists.select("doc_id", "text_hash", *[
+        F.col(f"lines.{name}").alias(name) for name in ("pos", "hash", "words", "first")]),
+        "sequences")
     runs = sequences.mapInArrow(_runs(block_words), _RUN_DDL)
     # Rows of one id stand for one document; one of its texts is enough to align with.
     firsts = sequences.groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"))
-    earlier = (sequences.join(firsts, ["doc_id", "text_hash"])
-               .select(F.col("doc_id").alias("first"), F.transform(
-                   "lines", lambda line: F.struct(line["pos"].alias("pos"),
-                                                  line["hash"].alias("hash"))).alias("lines")))
+    earlier = sequences.join(firsts, ["doc_id", "text_hash"]).select(
+        F.col("doc_id").alias("first"), F.col("hash").alias("earlier"), F.col("pos").alias("places"))
     blocks = runs.join(earlier, "first").mapInArrow(
         _aligned(block_words), "doc_id bigint, text_hash bigint, from_line int, to_line int")
     return blocks.groupBy("doc_id", "text_hash").agg(
