@@ -117,12 +117,20 @@ def substring_classify(spark, sf_dir):
 # ---- key split, detail, upsert ---------------------------------------------------------------
 
 def _known(spark, sf_dir):
-    """The catalog side: customers in credit."""
-    return table(spark, sf_dir, "customer").filter("c_acctbal >= 0")
+    """The catalog side: all customers."""
+    return table(spark, sf_dir, "customer")
+
+
+def _orders(spark, sf_dir):
+    """The crawl side: all orders, their keys moved on so that some are not in the catalog."""
+    return table(spark, sf_dir, "orders").withColumn("o_custkey", F.col("o_custkey") + 100)
+
+
+_ORDERS_SQL = "(SELECT o_custkey + 100 AS o_custkey, o_orderdate FROM orders)"
 
 
 def _listed(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'")
+    orders = _orders(spark, sf_dir)
     return orders.select(F.concat(F.lit("c"), "o_custkey").alias("item_key")).distinct()
 
 
@@ -130,8 +138,8 @@ def _known_keys(spark, sf_dir):
     return _known(spark, sf_dir).select(F.concat(F.lit("c"), "c_custkey").alias("item_key"))
 
 
-_LISTED_SQL = "SELECT DISTINCT concat('c', o_custkey) AS item_key FROM orders WHERE o_orderstatus = 'P'"
-_KNOWN_SQL = "SELECT concat('c', c_custkey) FROM customer WHERE c_acctbal >= 0"
+_LISTED_SQL = f"SELECT DISTINCT concat('c', o_custkey) AS item_key FROM {_ORDERS_SQL}"
+_KNOWN_SQL = "SELECT concat('c', c_custkey) FROM customer"
 
 
 @check("new_keys", f"SELECT * FROM ({_LISTED_SQL}) WHERE item_key NOT IN ({_KNOWN_SQL})")
@@ -192,8 +200,8 @@ def _stored_catalog(spark, sf_dir):
 
 
 def _crawl(spark, sf_dir):
-    """One crawl row per customer with a pending order; the counts are reduced before the shuffle."""
-    orders = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'")
+    """One crawl row per customer with an order; the counts are reduced before the shuffle."""
+    orders = _orders(spark, sf_dir)
     n = orders.groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n"), F.max("o_orderdate").cast("date").alias("d")
     )
@@ -214,10 +222,10 @@ def _crawl(spark, sf_dir):
     )
 
 
-_MERGE_SQL = """
-    n AS (SELECT o_custkey, count(*) AS n, CAST(max(o_orderdate) AS DATE) AS d FROM orders
-          WHERE o_orderstatus = 'P' GROUP BY o_custkey),
-    c AS (SELECT * FROM customer WHERE c_acctbal >= 0),
+_MERGE_SQL = f"""
+    n AS (SELECT o_custkey, count(*) AS n, CAST(max(o_orderdate) AS DATE) AS d FROM {_ORDERS_SQL}
+          GROUP BY o_custkey),
+    c AS (SELECT * FROM customer),
     m AS (SELECT c_custkey AS c, o_custkey AS k, coalesce(c_custkey, o_custkey) AS key, * FROM c
           FULL JOIN n ON c_custkey = o_custkey)"""
 
@@ -556,7 +564,8 @@ _QUALITY_ITEM = {
     "use_cases": "CASE n_chars % 3 WHEN 0 THEN {empty} WHEN 1 THEN {one} END",
     "ai_languages": "{one}",
     "complexity": "nullif(source, 'src1')",
-    "best_for": "substring(text, 1, CAST(n_chars % 30 AS INT))",
+    # The whole text without small letters: short enough for the length rule in part of the rows.
+    "best_for": "translate(text, 'abcdefghijklmnopqrstuvwxyz ,', '')",
     "strengths": "CASE WHEN n_chars % 7 <> 0 THEN {one} END",
     "limitations": "CASE WHEN doc_id % 11 <> 0 THEN {empty} END",
     "model_family": "CASE WHEN doc_id % 13 <> 0 THEN lang END",

@@ -39,6 +39,7 @@ def _all(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
+# The patterns of this module say what counts as a mention.
 def url_mentions(text: Column, host: str = fv.MENTION_HOST, cap: int = 5) -> Column:
     return _distinct_capped(_all(text, rf"(?U)https?://{re.escape(host)}/[^\s\"'>]+"), cap)
 

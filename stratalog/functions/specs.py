@@ -17,6 +17,7 @@ from stratalog.schema import SPEC_ROW
 # match starts where a run starts or where the last match ended: a long run without white space is
 # scanned once, not once per character.
 _TAG = rf"{WORD}.:\-"
+# How a specification row is written.
 _ROW = (
     rf"(?iU)(?:\G|(?<![{_TAG}]))([{_TAG}]++)\s++([\d.]+\s*GB)\s*[·\-]?\s*"
     r"([\d.]+[KM]?\s*(?:context|K|M)?)"

@@ -272,11 +272,13 @@ class Refresh:
 
 def local_or_shared_root(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate snapshots: below the session's checkpoint folder if the
-    cluster names one, else a temporary folder of this machine (single-machine runs)."""
+    cluster names one, else a temporary folder of this machine, which a local master alone may use."""
     import tempfile
     import uuid
 
     shared: Any = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"{name}-")

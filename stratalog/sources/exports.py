@@ -43,7 +43,9 @@ def read_export(
     schema = export_schema(None if names is None else dict(names))
     try:
         rows = spark.read.schema(schema).json(path, multiLine=array_file)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     back = export_schema({})
     return rows.toDF(*back.names)

@@ -26,8 +26,12 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def detail_pages(pages: DataFrame, url_prefix: str) -> DataFrame:
-    """(item_key, html) of the pages under ``url_prefix``, the highest page_id winning per key."""
-    keyed = pages.filter(F.col("url").startswith(url_prefix)).select(
+    """(item_key, html) of the pages under ``url_prefix``, the highest page_id winning per key.
+
+    A failed fetch (NULL html) never wins over a page that was read.
+    """
+    read = pages.filter(F.col("url").startswith(url_prefix) & F.col("html").isNotNull())
+    keyed = read.select(
         key_from_href(F.col("url"), url_prefix).alias("item_key"), "html",
         F.col("page_id").alias("_version"),
     )

@@ -114,12 +114,31 @@ class SnapshotStore:
             return self.spark.createDataFrame([], with_version)
         base = F.element_at(F.split(F.col("_metadata.file_path"), "/v="), -1)
         return self.spark.read.schema(schema).parquet(*dirs).withColumn(
-            "_version", F.substring(base, 1, 6).cast("int")
+            "_version", F.regexp_extract(base, "^[0-9]+", 0).cast("int")
         )
 
 
 def latest_rows(rows: DataFrame) -> DataFrame:
-    """Newest row of every key of (item_key, ..., _version).
+    """Newest row of every key of (item_key, ..., _version), one for each key.
+
+    A NULL version is the oldest. Of rows with one key and version, the one with the smallest hash of
+    all its columns stays, so the choice is the same in every run.
+    """
+    return _one_per_key(_newest_rows(rows.withColumn("_version", F.coalesce("_version", F.lit(-1)))))
+
+
+def _one_per_key(rows: DataFrame) -> DataFrame:
+    """Rows of keys that are there once as they are, and one row of each other key."""
+    tied = rows.groupBy("item_key").count().filter("count > 1").select("item_key")
+    if tied.isEmpty():
+        return rows
+    first = F.min_by(F.struct(*rows.columns), F.xxhash64(*rows.columns)).alias("row")
+    picked = rows.join(tied, "item_key", "left_semi").groupBy("item_key").agg(first)
+    return rows.join(tied, "item_key", "left_anti").unionByName(picked.select("row.*"))
+
+
+def _newest_rows(rows: DataFrame) -> DataFrame:
+    """Rows that have the newest version of their key.
 
     What is outdated is found on the two narrow columns, which a count per key reduces before the
     shuffle. Mostly nothing is, and the rows come back untouched. A small set (its size is known by

@@ -126,8 +126,9 @@ def test_page_sources(spark):
     df = spark.createDataFrame([
         (1, "https://e.org/lib?sort=new", "l"), (2, "https://e.org/lib/a", "old"),
         (3, "https://e.org/lib/a", None), (4, "https://e.org/lib/b", "b"),
-        (5, "https://e.org/x", "x"),
+        (5, "https://e.org/x", "x"), (4, "https://e.org/lib/b", "b"), (6, "https://e.org/lib/c", None),
     ], "page_id bigint, url string, html string")
     assert [r["page_id"] for r in listing_pages(df, "https://e.org/lib").collect()] == [1]
     got = detail_pages(df, "https://e.org/lib/").orderBy("item_key").collect()
-    assert [tuple(r) for r in got] == [("a", None), ("b", "b")]
+    # A failed fetch doesn't win over a page, and a page landed twice is one.
+    assert [tuple(r) for r in got] == [("a", "old"), ("b", "b")]
