@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from stratalog.functions.amounts import magnitude_to_long
 from stratalog.functions.dates import relative_date
-from stratalog.operators.detail import detail_extract
+from stratalog.operators.detail import detail_and_sections, detail_extract
 from stratalog.schema import (
     CATALOG_SCHEMA, CONTENT_COLUMNS, ENRICHMENT_COLUMNS, ROLLUP_COLUMNS,
 )
@@ -37,8 +37,8 @@ def detail_attach(
 ) -> DataFrame:
     """Attach the page of every new key, or of every key with ``force``.
 
-    ``has_detail`` says that a page was really fetched: a failed fetch (no row, or NULL html) must
-    not wipe what the catalog already holds.
+    ``has_detail`` says that a page was really fetched: a failed fetch (no row, NULL or empty html)
+    must not wipe what the catalog already holds.
 
     Keys without a wanted page keep their own join key and are told apart by the join condition.
     Nulling the key instead would send all of them to one task.
@@ -55,7 +55,7 @@ def detail_attach(
         joined = flagged.join(
             page, (F.col("item_key") == F.col("_page_key")) & F.col("_new"), "left"
         ).drop("_known", "_new", "_page_key")
-    return joined.withColumn("has_detail", F.col("html").isNotNull())
+    return joined.withColumn("has_detail", F.coalesce(F.length("html") > 0, F.lit(False)))
 
 
 def typed_listing(records: DataFrame, as_of: Column) -> DataFrame:
@@ -77,9 +77,11 @@ def crawl_rows(attached: DataFrame, command_prefix: str, as_of: Column) -> DataF
 def attach_rollups(records: DataFrame, content: DataFrame) -> DataFrame:
     """Crawl rows from records and content that is already extracted: ``has_detail`` and roll-ups.
 
-    Short columns only; the content itself is stored where it was extracted.
+    Short columns only; the content itself is stored where it was extracted. Content may say by a
+    ``has_detail`` of its own which rows are fresh; the others count for new keys alone.
     """
-    read = content.select("item_key", *ROLLUP_COLUMNS, F.lit(True).alias("has_detail"))
+    fresh = F.col("has_detail") if "has_detail" in content.columns else F.lit(True)
+    read = content.select("item_key", *ROLLUP_COLUMNS, fresh.alias("has_detail"))
     return records.join(read, "item_key", "left").withColumn(
         "has_detail", F.coalesce("has_detail", F.lit(False))
     )
@@ -176,8 +178,16 @@ def reparse(catalog: DataFrame, pages: DataFrame, command_prefix: str) -> DataFr
 
 def read_content(pages: DataFrame, command_prefix: str) -> DataFrame:
     """Content and roll-ups of pages (item_key, html); pages without markup are left out."""
-    stored = pages.select("item_key", "html").filter(F.coalesce(F.length("html"), F.lit(0)) > 0)
-    return detail_extract(stored, command_prefix)
+    return detail_extract(_with_markup(pages), command_prefix)
+
+
+def read_whole(pages: DataFrame, command_prefix: str) -> DataFrame:
+    """What ``read_content`` gives, and the sections the prompts need, in the same pass."""
+    return detail_and_sections(_with_markup(pages), command_prefix)
+
+
+def _with_markup(pages: DataFrame) -> DataFrame:
+    return pages.select("item_key", "html").filter(F.coalesce(F.length("html"), F.lit(0)) > 0)
 
 
 def merge_content(catalog: DataFrame, content: DataFrame) -> DataFrame:

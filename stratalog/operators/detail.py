@@ -58,18 +58,42 @@ def detail_extract(
     detail = read_page(
         F.col(html), ("detail",), readme_id=readme_id, applications_title=applications_title
     )["detail"]
+    rest = [c for c in pages.columns if c != html]
+    read = pages.select(*rest, detail.alias("_d"))
+    return with_rollup(read.select(*rest, *_detail_columns("_d", command_prefix)))
+
+
+def _detail_columns(detail: str, command_prefix: str) -> list[Column]:
     pairs = F.flatten(F.transform(
-        F.col("_d.application_tokens"), lambda tokens: adjacent_pairs(tokens, command_prefix)
+        F.col(f"{detail}.application_tokens"), lambda tokens: adjacent_pairs(tokens, command_prefix)
     ))
-    rest = [c for c in pages.columns if c != html]
-    return with_rollup(
-        pages.select(*rest, detail.alias("_d")).select(
-            *rest,
-            readme_text(F.col("_d")).alias("readme"),
-            spec_rows(F.col("_d.page_text")).alias("memory_requirements"),
-            null_if_empty(pairs).alias("applications"),
-        )
+    return [
+        readme_text(F.col(detail)).alias("readme"),
+        spec_rows(F.col(f"{detail}.page_text")).alias("memory_requirements"),
+        null_if_empty(pairs).alias("applications"),
+    ]
+
+
+def detail_and_sections(
+    pages: DataFrame,
+    command_prefix: str,
+    html: str = "html",
+    readme_id: str = "readme",
+    applications_title: str = "Applications",
+    main_class: str = "readme|markdown|content",
+    heading_word: str = "application",
+) -> DataFrame:
+    """``detail_extract`` and ``html_sections`` of the same pages in one pass over the markup."""
+    read = read_page(
+        F.col(html), ("detail", "sections"), readme_id=readme_id,
+        applications_title=applications_title, main_id=readme_id, main_class=main_class,
+        heading_word=heading_word,
     )
+    rest = [c for c in pages.columns if c != html]
+    parts = pages.select(*rest, read.alias("_p"))
+    return with_rollup(parts.select(
+        *rest, *_detail_columns("_p.detail", command_prefix), *_section_columns("_p.sections")
+    ))
 
 
 def rollup_by_key(specs: DataFrame, key: str) -> DataFrame:
@@ -101,14 +125,18 @@ def html_sections(
         F.col(html), ("sections",),
         main_id=main_id, main_class=main_class, heading_word=heading_word,
     )["sections"]
-    text = F.col("_s.full_text")
     rest = [c for c in pages.columns if c != html]
-    return pages.select(*rest, sections.alias("_s")).select(
-        *rest,
-        F.substring(squeeze(F.col("_s.main_text")), 1, fv.SECTION_CAP).alias("main_content"),
+    return pages.select(*rest, sections.alias("_s")).select(*rest, *_section_columns("_s"))
+
+
+def _section_columns(sections: str) -> list[Column]:
+    text = F.col(f"{sections}.full_text")
+    main, headed = F.col(f"{sections}.main_text"), F.col(f"{sections}.headed_texts")
+    return [
+        F.substring(squeeze(main), 1, fv.SECTION_CAP).alias("main_content"),
         null_if_empty(mentions.url_mentions(text)).alias("hf_links"),
         null_if_empty(mentions.context_mentions(text)).alias("context_mentions"),
         null_if_empty(mentions.license_mentions(text)).alias("license_mentions"),
         null_if_empty(mentions.score_mentions(text)).alias("benchmark_mentions"),
-        null_if_empty(F.slice(F.col("_s.headed_texts"), 1, 8)).alias("applications_raw"),
-    )
+        null_if_empty(F.slice(headed, 1, 8)).alias("applications_raw"),
+    ]

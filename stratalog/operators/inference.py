@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import threading
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any, Protocol
 
 import pyarrow as pa
@@ -24,13 +26,24 @@ class Client(Protocol):
         """Raw answer text of one call; raises if the call fails."""
 
 
+def _refused(constant: str) -> None:
+    raise ValueError(f"{constant} is no JSON")
+
+
+def _distinct(pairs: list[tuple[str, Any]]) -> dict:
+    """An object whose names are all different, as the parser of the record wants it."""
+    if len({name for name, _ in pairs}) < len(pairs):
+        raise ValueError("a name is repeated")
+    return dict(pairs)
+
+
 def _acceptable(answer: Answer, raw: str) -> bool:
     """Whether an answer is worth keeping or must be asked for again.
 
     Only the retry decision is taken here; ``responses.parse_answer`` judges for the record.
     """
     try:
-        data = json.loads(raw)
+        data = json.loads(raw, parse_constant=_refused, object_pairs_hook=_distinct)
     except (TypeError, ValueError):
         return False
     if not isinstance(data, dict):
@@ -65,10 +78,12 @@ def run_calls(
     answers: Sequence[Answer] = ANSWERS,
     attempts: int = 2,
     partitions: int | None = None,
+    calls_per_task: int = 1,
 ) -> DataFrame:
     """Ask all calls of every item: (item_key, responses).
 
-    One client per task. A call gets ``attempts`` tries; a required call that gets no acceptable
+    A task works on ``calls_per_task`` items at a time, each thread with a client of its own; the
+    calls of one item follow each other. A call gets ``attempts`` tries; a required call that gets no acceptable
     answer ends its item, an optional one is left out. Items spread over ``partitions`` tasks by
     key, which evens out uneven input files and sets how many calls run at a time.
 
@@ -91,17 +106,22 @@ def run_calls(
         return {"call_no": answer.call_no, "raw": raw, "attempts": attempt, "error": error}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        client = client_factory()
-        for batch in batches:
-            rows = []
-            for item in batch.to_pylist():
-                responses = []
-                for call in sorted(item["prompts"], key=lambda c: c["call_no"]):
-                    responses.append(ask(client, call))
-                    if responses[-1]["error"] and specs[call["call_no"]].required:
-                        break
-                rows.append({"item_key": item["item_key"], "responses": responses})
-            yield pa.RecordBatch.from_pylist(rows, schema=_OUT)
+        own = threading.local()
+
+        def answered(item: dict) -> dict:
+            if not hasattr(own, "client"):
+                own.client = client_factory()
+            responses = []
+            for call in sorted(item["prompts"], key=lambda c: c["call_no"]):
+                responses.append(ask(own.client, call))
+                if responses[-1]["error"] and specs[call["call_no"]].required:
+                    break
+            return {"item_key": item["item_key"], "responses": responses}
+
+        with ThreadPoolExecutor(calls_per_task) as pool:
+            for batch in batches:
+                rows = list(pool.map(answered, batch.to_pylist()))
+                yield pa.RecordBatch.from_pylist(rows, schema=_OUT)
 
     spread = prompts.repartition(partitions, "item_key") if partitions else prompts
     return spread.select("item_key", "prompts").mapInArrow(run, RESPONSES_SCHEMA)

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from stratalog import fixed_values as fv
 from stratalog.operators import catalog as cat
-from stratalog.operators.detail import html_sections
 from stratalog.operators.inference import Client, infer_counts, run_calls
 from stratalog.operators.joins import is_small, semi_by_key
 from stratalog.operators.listing import listing_extract
@@ -28,7 +27,7 @@ from stratalog.operators.responses import merge_answers
 from stratalog.operators.staleness import select_stale
 from stratalog.schema import (
     CATALOG_SCHEMA, CONTENT_COLUMNS, CONTENT_SCHEMA, PAGE_ARCHIVE_SCHEMA, RESPONSES_SCHEMA,
-    STATE_SCHEMA,
+    ROLLUP_COLUMNS, SECTIONS_SCHEMA, STATE_SCHEMA,
 )
 from stratalog.sources.exports import export_name, read_export, write_export
 from stratalog.sources.snapshots import SnapshotStore, latest_rows
@@ -66,6 +65,8 @@ class Options:
     # Model calls are written in this many lots, so a lost run repeats one lot at most.
     lots: int = 1
     partitions: int | None = None
+    # Items a task asks about at a time.
+    calls_per_task: int = 1
     model_label: str | None = None
     rules: Sequence[Rule] = DEFAULT_RULES
     max_retries: int = fv.MAX_VALIDATION_RETRIES
@@ -115,9 +116,11 @@ class Refresh:
     def _crawl(self, listing: DataFrame, details: DataFrame, tag: str | None) -> dict:
         """One crawl.
 
-        The detail pages are by far the largest input. Which of them are wanted is known before
-        they are touched, so they are read once, filtered by a broadcast of the wanted keys if
-        those are few, and only the wanted ones are kept, parsed and shuffled.
+        The detail pages are by far the largest input. A page is taken, listed or not, unless its
+        key has stored content (with ``force_crawl`` always): it is archived and read in one pass,
+        and only short columns of what it says are joined. Content of a key that no listing has
+        shown yet waits; content of a known key without any is put on it. So the catalog does not
+        depend on the batches in which listings and pages arrive.
         """
         site, force = self.site, self.options.force_crawl
         state = self.state()
@@ -125,20 +128,38 @@ class Refresh:
         self.store.write(LISTING, found, tag=tag)
         records = self.store.read(LISTING, found.schema)
 
-        wanted = records if force else cat.new_keys(records, state)
-        fetched = semi_by_key(
-            details.filter(F.col("html").isNotNull()), wanted, "item_key", is_small(wanted)
-        )
-        self.store.write(PAGES, fetched.select("item_key", "html"), tag=tag)
-        content = self._read_pages(self.store.read(PAGES, PAGE_ARCHIVE_SCHEMA), tag)
+        landed = details.filter("item_key IS NOT NULL AND length(html) > 0")
+        taken = landed if force else self._unread(landed)
+        self.store.write(PAGES, taken.select("item_key", "html"), tag=tag)
+        self._read_pages(self.store.read(PAGES, PAGE_ARCHIVE_SCHEMA), tag)
 
+        short = self._all(CONTENT).select("item_key", *ROLLUP_COLUMNS, "_version")
+        content = latest_rows(short.withColumn(
+            "has_detail", F.col("_version") == self.store.version(CONTENT)))
+        late = cat.merge_content(state, content.filter("has_detail")).drop(cat.ACTION)
         typed = cat.typed_listing(records, F.to_date(self._stamp))
         merged = cat.catalog_upsert(
-            state, cat.attach_rollups(typed, content), site.base_url, self._stamp,
+            late, cat.attach_rollups(typed, content), site.base_url, self._stamp,
             site.item_type, small_crawl=is_small(records),
         )
         return self._save(merged, cat.action_counts("inserted", "updated"), tag)
 
+    def _unread(self, landed: DataFrame) -> DataFrame:
+        """Landed pages of keys without stored content.
+
+        Decided on keys. The markup is filtered in place by a broadcast of the keys to leave out or
+        of those to keep, whichever are few; it is shuffled only where one landing has many of both.
+        """
+        if not self.store.version(CONTENT):
+            return landed
+        stored = self._all(CONTENT).select("item_key").distinct()
+        keys = landed.select("item_key").distinct()
+        known = keys.join(stored, "item_key", "left_semi")
+        if is_small(known):
+            return landed.join(F.broadcast(known), "item_key", "left_anti")
+        fresh = keys.join(stored, "item_key", "left_anti")
+        return semi_by_key(landed, fresh, "item_key", is_small(fresh))
+
     def reparse(self) -> dict:
         """Read all stored pages again."""
         with self.store.together():
@@ -148,30 +169,51 @@ class Refresh:
 
     def _read_pages(self, pages: DataFrame, tag: str | None) -> DataFrame:
         """Append what the pages say, without a shuffle, and return it."""
-        content = cat.read_content(pages, self.site.command_prefix)
+        content = cat.read_whole(pages, self.site.command_prefix)
         self.store.write(CONTENT, content.select(*CONTENT_SCHEMA.names), tag=tag)
         return self.store.read(CONTENT, CONTENT_SCHEMA)
 
     def enrich(self) -> dict:
         """Ask the model about stale items and write the answers back."""
-        counts, written = self._enriched(0, None)
-        self._save(written, [])
-        return counts
+        tag = self._tag(0)
+        if not self.store.has_tag(CATALOG, f"{tag}/enriched"):
+            self._save(self._enriched(0, None), [], f"{tag}/enriched")
+        return self._enrich_counts(tag)
 
     def validate(self) -> dict:
-        return self._save(self._checked(self.state()), validation_counts())
+        """Validate every item; once for a ``run_ts``."""
+        tag = f"{self.run_ts}/validated"
+        if self.store.has_tag(CATALOG, tag):
+            return self._counts(CATALOG, tag)
+        return self._save(self._checked(self.state()), validation_counts(), tag)
 
     def enrich_and_validate(
         self, pass_no: int = 0, keys: DataFrame | None = None
     ) -> tuple[dict, dict]:
-        """Both stages, with the catalog written once instead of twice."""
-        counts, written = self._enriched(pass_no, keys)
-        return counts, self._save(self._checked(written), validation_counts())
+        """Both stages, with the catalog written once instead of twice.
+
+        A pass that this ``run_ts`` has finished is not repeated: retries would be counted again.
+        """
+        tag = self._tag(pass_no)
+        done = f"{tag}/checked"
+        if not self.store.has_tag(CATALOG, done):
+            written = self._enriched(pass_no, keys)
+            self._save(self._checked(written), validation_counts(), done)
+        return self._enrich_counts(tag), self._counts(CATALOG, done)
 
     def _checked(self, catalog: DataFrame) -> DataFrame:
         return validation_transition(catalog, self.options.rules, self.options.max_retries)
 
-    def _enriched(self, pass_no: int, keys: DataFrame | None) -> tuple[dict, DataFrame]:
+    def _tag(self, pass_no: int) -> str:
+        return f"{self.run_ts}/{pass_no}/{self.options.lots}"
+
+    def _counts(self, name: str, tag: str) -> dict:
+        return {k: v for k, v in self.store.metrics(name, tag).items() if k != "rows_in"}
+
+    def _enrich_counts(self, tag: str) -> dict:
+        return self._counts(ENRICHMENT, tag)
+
+    def _enriched(self, pass_no: int, keys: DataFrame | None) -> DataFrame:
         o = self.options
         if pass_no == 0:
             stale = select_stale(self.state(), o.enrich_version, o.force_enrich, o.single_key)
@@ -179,7 +221,7 @@ class Refresh:
             stale = select_stale(self.state(), o.enrich_version)
             if keys is not None:
                 stale = semi_by_key(stale, keys, "item_key", is_small(keys))
-        tag = f"{self.run_ts}/{pass_no}"
+        tag = self._tag(pass_no)
         stale = stale.select("item_key", "description", "labels")
         for lot in range(o.lots):
             lot_tag = f"{tag}/{lot}"
@@ -188,32 +230,33 @@ class Refresh:
             items = stale
             if o.lots > 1:
                 items = stale.filter(F.pmod(F.xxhash64("item_key"), F.lit(o.lots)) == lot)
-            keys_small = is_small(items)
-            sections = html_sections(self._rows_of(PAGES, items, keys_small))
-            readme = self._rows_of(CONTENT, items, keys_small).select("item_key", "readme")
-            items = items.join(sections, "item_key", "left").join(readme, "item_key", "left")
-            prompts = build_prompts(items, o.templates)
+            content = self._rows_of(CONTENT, items, is_small(items)).select(
+                "item_key", "readme", *SECTIONS_SCHEMA.names)
+            prompts = build_prompts(items.join(content, "item_key", "left"), o.templates)
             answers = run_calls(
-                prompts, self.client_factory, attempts=o.attempts, partitions=o.partitions
+                prompts, self.client_factory, attempts=o.attempts, partitions=o.partitions,
+                calls_per_task=o.calls_per_task,
             )
             self.store.write(RESPONSES, answers, tag=lot_tag)
         merged = merge_answers(self._answers(tag))
-        counts = self.store.write(ENRICHMENT, merged, infer_counts(F.col("ok")), tag)
-        counts.pop("rows_in")
+        self.store.write(ENRICHMENT, merged, infer_counts(F.col("ok")), tag)
         enriched = self.store.read(ENRICHMENT, merged.schema).filter("ok")
-        return counts, cat.enrichment_writeback(self.state(), enriched, o.enrich_version)
+        return cat.enrichment_writeback(self.state(), enriched, o.enrich_version)
 
     def export(self) -> dict:
-        """Write the export; tell how it differs from the one before."""
+        """Write the export, once for a ``run_ts``; tell how it differs from the one before."""
         o = self.options
         root = f"{self.store.root}/exports/{export_name(o.model_label)}"
         # One series of exports per model label.
         name = f"export/{export_name(o.model_label)}"
-        number = self.store.version(name)
+        done = self.store.has_tag(name, self.run_ts)
+        number = self.store.log(name, self.run_ts)[-1]["version"] - 1 if done else (
+            self.store.version(name))
         previous = read_export(self.store.spark, f"{root}/{number:06d}") if number else None
         path = f"{root}/{number + 1:06d}"
-        stats = write_export(self.catalog(), path)
-        self.store.announce_export(name, path, stats)
+        if not done:
+            self.store.announce_export(name, path, write_export(self.catalog(), path), self.run_ts)
+        stats = self.store.metrics(name, self.run_ts)
         new = read_export(self.store.spark, path)
         old = new.limit(0) if previous is None else previous
         diff = snapshot_diff(new, old).first().asDict()

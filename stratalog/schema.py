@@ -81,8 +81,16 @@ CATALOG_SCHEMA = T.StructType([
 CONTENT_COLUMNS = ["readme", "applications", "memory_requirements"]
 ROLLUP_COLUMNS = ["min_ram_gb", "context_window", "speed_tier"]
 STATE_SCHEMA = T.StructType([f for f in CATALOG_SCHEMA if f.name not in CONTENT_COLUMNS])
+# What the prompts need of a page, stored where the page is read.
+SECTIONS_SCHEMA = T.StructType([
+    T.StructField("main_content", T.StringType()),
+    *[T.StructField(name, STRINGS) for name in (
+        "hf_links", "context_mentions", "license_mentions", "benchmark_mentions",
+        "applications_raw")],
+])
 CONTENT_SCHEMA = T.StructType([
-    CATALOG_SCHEMA[c] for c in ["item_key", *CONTENT_COLUMNS, *ROLLUP_COLUMNS]
+    *[CATALOG_SCHEMA[c] for c in ["item_key", *CONTENT_COLUMNS, *ROLLUP_COLUMNS]],
+    *SECTIONS_SCHEMA.fields,
 ])
 
 PAGE_ARCHIVE_SCHEMA = T.StructType([

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalog.functions.text import key_from_href
@@ -28,19 +28,25 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 def detail_pages(pages: DataFrame, url_prefix: str) -> DataFrame:
     """(item_key, html) of the pages under ``url_prefix``, the highest page_id winning per key.
 
-    A failed fetch (NULL html) never wins over a page that was read.
+    A failed fetch (NULL html) never wins over a page that was read. A query, a fragment or a slash
+    at the end of an address is no part of the key.
     """
     read = pages.filter(F.col("url").startswith(url_prefix) & F.col("html").isNotNull())
     keyed = read.select(
-        key_from_href(F.col("url"), url_prefix).alias("item_key"), "html",
+        key_from_href(_bare(F.col("url")), url_prefix).alias("item_key"), "html",
         F.col("page_id").alias("_version"),
     )
-    return latest_rows(keyed.filter(F.col("item_key") != ""))
+    listing = _bare(F.lit(url_prefix))
+    return latest_rows(keyed.filter((F.col("item_key") != "") & (F.col("item_key") != listing)))
 
 
 def listing_pages(pages: DataFrame, listing_url: str) -> DataFrame:
     """Pages whose address is the listing itself, with or without a query."""
-    bare = F.regexp_replace("url", r"[?#].*$", "")
-    return pages.filter(bare == listing_url.rstrip("/")).select("page_id", "html")
+    return pages.filter(_bare(F.col("url")) == listing_url.rstrip("/")).select("page_id", "html")
+
+
+def _bare(url: Column) -> Column:
+    """An address without query, fragment and slashes at its end."""
+    return F.regexp_replace(url, r"(?s)/*([?#].*)?\z", "")
 
 

@@ -7,6 +7,7 @@ state in place, and a plan can read version n while it writes version n+1.
 
 from __future__ import annotations
 
+import ast
 import uuid
 from contextlib import contextmanager
 
@@ -44,6 +45,10 @@ class SnapshotStore:
     def has_tag(self, name: str, tag: str) -> bool:
         return bool(self.log(name, tag))
 
+    def metrics(self, name: str, tag: str) -> dict:
+        """The metrics of the version written under ``tag``."""
+        return ast.literal_eval(self.log(name, tag)[-1]["metrics"])
+
     def read(self, name: str, schema: T.StructType) -> DataFrame:
         """Latest version; an empty table if there is none."""
         rows = self.log(name)
@@ -100,9 +105,9 @@ class SnapshotStore:
         finally:
             self._held = None
 
-    def announce_export(self, name: str, path: str, found: dict) -> None:
+    def announce_export(self, name: str, path: str, found: dict, tag: str | None = None) -> None:
         """Log a version that was written elsewhere, such as an export."""
-        self._announce(name, self.version(name) + 1, path, None, found)
+        self._announce(name, self.version(name) + 1, path, tag, found)
 
     # ---- append-only tables ----------------------------------------------------------------
 

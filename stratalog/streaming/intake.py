@@ -22,7 +22,8 @@ def intake(
     """Stream over new files in ``landing``; each batch is one crawl. Start it with ``.start()``.
 
     Every batch tags the snapshots it writes. A batch that is replayed after a failure finds its
-    tag and does nothing, so each page is taken exactly once.
+    tag and does nothing, so each page is taken exactly once. A page may land before or after its
+    listing: the catalog is the same for every ``files_per_batch``.
     """
     pages = (
         spark.readStream.schema(PAGES_DDL)

@@ -1,6 +1,7 @@
 """Prompts, model calls, structured answers, whole runs."""
 
 import json
+import time
 from collections import Counter
 
 import pytest
@@ -196,7 +197,9 @@ def test_two_runs(spark, tmp_path):
     assert out["export"]["diff"] == dict(total=1, new=1, common=0, removed=0)
     row = by_key(first.catalog())["alpha"]
     assert (row["min_ram_gb"], row["domain"], row["validated"]) == (2.0, "Code", True)
-    assert [r["item_key"] for r in first.pages().collect()] == ["alpha"]
+    # A page that no listing shows yet is kept for later, but is no item.
+    assert set(by_key(first.pages())) == {"alpha", "other"}
+    assert set(by_key(first.catalog())) == {"alpha", "mute"}
 
     second = refresh(spark, tmp_path, "2024-02-08 00:00:00")
     out = second.run(listing(spark, "alpha", "beta"), details(spark, alpha="<p/>", beta="<p/>"))
@@ -266,6 +269,68 @@ def test_resumed_run_asks_missing_lots_only(spark, tmp_path):
     assert run.enrich()["total"] == 3 and run.store.version(RESPONSES) == before == 2
 
 
+def test_repeated_run_changes_nothing(spark, tmp_path):
+    rules = (*DEFAULT_RULES, Rule("license", "license IS NOT NULL", "license must be known"))
+    pages = details(spark, bare="<p/>", alpha="<p/>")
+
+    def once():
+        run = refresh(spark, tmp_path, rules=rules, lots=2)
+        if not run.store.version(CATALOG):
+            run.crawl(listing(spark, "alpha", "bare", "mute"), pages)
+        run = refresh(spark, tmp_path, rules=rules, lots=2, skip_crawl=True)
+        out = run.run()
+        names = ["export/models", CATALOG, PAGES, RESPONSES, "content", "enrichment"]
+        return out, sorted(map(str, run.catalog().collect())), {
+            n: run.store.version(n) for n in names}
+
+    first, second = once(), once()
+    assert first == second and first[0]["validation"]["re_queued"] == 1
+
+
+def test_run_broken_after_a_stage_goes_on(spark, tmp_path, monkeypatch):
+    pages = details(spark, alpha='<p id="readme">x</p>')
+    whole = refresh(spark, tmp_path / "whole")
+    expected = whole.run(listing(spark, "alpha", "mute"), pages)
+    broken = refresh(spark, tmp_path / "broken")
+    broken.crawl(listing(spark, "alpha", "mute"), pages)
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError):
+        patch.setattr(Refresh, "export", lambda self: (_ for _ in ()).throw(RuntimeError()))
+        refresh(spark, tmp_path / "broken", skip_crawl=True).run()
+    out = refresh(spark, tmp_path / "broken", skip_crawl=True).run()
+    assert out["validation"] == expected["validation"] and out["enrich"] == expected["enrich"]
+    assert by_key(whole.catalog()) == by_key(refresh(spark, tmp_path / "broken").catalog())
+
+
+def test_parallel_calls_give_the_same_answers(spark):
+    one, eight = ({r["item_key"]: r["responses"] for r in calls(
+        spark, StubClient, range(1, 40), calls_per_task=n).collect()} for n in (1, 8))
+    assert one == eight
+
+
+class SlowClient(StubClient):
+    def complete(self, call_no, label, prompt):
+        time.sleep(0.05)
+        return super().complete(call_no, label, prompt)
+
+
+def test_parallel_calls_overlap(spark):
+    def seconds(n):
+        start = time.monotonic()
+        calls(spark, SlowClient, range(1, 25), partitions=1, calls_per_task=n).collect()
+        return time.monotonic() - start
+
+    seconds(8)
+    assert seconds(1) > 3 * seconds(8)
+
+
+@pytest.mark.parametrize("raw", ['{"domain": "x", "model_family": "y", "z": NaN}',
+                                 '{"domain": "x", "model_family": "y", "domain": "z"}'])
+def test_answers_that_the_record_refuses_are_asked_again(raw):
+    from stratalog.operators.inference import _acceptable
+
+    assert not _acceptable(ANSWERS[0], raw)
+
+
 def test_store(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path))
     assert store.version(CATALOG) == 0 and store.read(PAGES, PAGE_ARCHIVE_SCHEMA).count() == 0
@@ -322,3 +387,21 @@ def test_intake(spark, tmp_path):
     take()
     run = refresh(spark, root)
     assert set(by_key(run.catalog())) == {"a", "b"} and run.store.version(CATALOG) == 2
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_intake_in_any_batches(spark, tmp_path, files_per_batch):
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "store")
+    ddl = "page_id bigint, url string, html string"
+    anchors = '<a href="/lib/a"><h2>A</h2></a><a href="/lib/b">b</a>'
+    for row in [(1, "https://e.org/lib/b", "<p id='readme'>early 2 GB 8K</p>"),
+                (2, "https://e.org/lib/", anchors),
+                (3, "https://e.org/lib/a?x=1", "<p id='readme'>late 4 GB 8K</p>")]:
+        spark.createDataFrame([row], ddl).coalesce(1).write.mode("append").parquet(landing)
+        time.sleep(0.02)  # files are taken in the order of their times
+    query = intake(spark, landing, lambda: refresh(spark, root), "https://e.org/lib",
+                   str(tmp_path / "cp"), files_per_batch).start()
+    query.awaitTermination()
+    rows = by_key(refresh(spark, root).catalog())
+    got = {k: (r["readme"], r["min_ram_gb"]) for k, r in rows.items()}
+    assert got == {"a": ("late 4 GB 8K", 4.0), "b": ("early 2 GB 8K", 2.0)}
