@@ -27,6 +27,11 @@ from pyspark.sql import functions as F
 from stratalog.llm.common import written
 from stratalog.session import ship
 
+#: Every so many queries of a block one begins at the first level.
+RESTART = 32
+#: More than sums of products of one vector can differ by the order of adding, as part of its length.
+ROUNDING = 1e-9
+
 
 @dataclass(frozen=True)
 class Search:
@@ -76,12 +81,19 @@ class SortedBlock:
         m = len(self.directions)
         chance = erf(search.window / sqrt(2))
         self.threshold = m * chance - search.slack * sqrt(m * chance * (1 - chance))
+        # One array for all projections: each is moved behind the one before it.
+        self.step = 4 * longest + 1
+        self.behind = np.arange(m) * self.step
+        self.flat = (self.sorted + self.behind[:, None]).ravel()
+        self.first = np.arange(m) * n
+        self.level = self.asked = 0
 
     def _candidates(self, centre: np.ndarray, radius: float) -> np.ndarray:
         half = self.search.window * radius / sqrt(self.directions.shape[1])
-        low = np.array([np.searchsorted(s, c - half) for s, c in zip(self.sorted, centre, strict=True)])
-        high = np.array([np.searchsorted(s, c + half, "right")
-                         for s, c in zip(self.sorted, centre, strict=True)])
+        # No value is further than the longest vector from zero; ends beyond it keep to their array.
+        low, high = (np.searchsorted(self.flat, np.clip(
+            centre + end, -1.5 * self.longest, 1.5 * self.longest) + self.behind, side) - self.first
+            for end, side in ((-half, "left"), (half, "right")))
         # Unsigned: a rank under the window's low end wraps round and is over its width.
         inside = (self.ranks - low.astype(np.uint16)[:, None]) < (high - low).astype(
             np.uint16)[:, None]
@@ -91,7 +103,14 @@ class SortedBlock:
         """(places, inner products) of the k nearest found, without row number ``own``."""
         size = np.sqrt((query ** 2).sum())
         centre = self.directions @ np.append(query * (self.longest / size), 0.0)
-        for part in self.search.radii:
+        # A wider level's candidates include a narrower one's: begin where the query before ended, and
+        # at the first level now and then.
+        if self.asked % RESTART == 0:
+            self.level = 0
+        self.asked += 1
+        for level in range(self.level, len(self.search.radii)):
+            self.level = level
+            part = self.search.radii[level]
             found = self._candidates(centre, part * self.longest)
             best, scores = self._best(found, query, own)
             if len(best) == self.search.k:
@@ -102,12 +121,12 @@ class SortedBlock:
 
     def _best(self, found: np.ndarray, query: np.ndarray, own: int):
         found = found[self.ids["uid"][found] != own]
+        if len(found) > self.search.k:
+            rough = self.vectors[found] @ query
+            least = np.partition(rough, len(rough) - self.search.k)[-self.search.k]
+            found = found[rough >= least - ROUNDING * self.longest ** 2]
         # Row by row, so that equal vectors have equal sums.
         scores = (self.vectors[found] * query).sum(axis=1)
-        if len(found) > self.search.k:
-            least = np.partition(scores, len(scores) - self.search.k)[-self.search.k]
-            top = scores >= least
-            found, scores = found[top], scores[top]
         order = np.lexsort((self.ids["uid"][found], self.ids["vec_id"][found],
                             self.ids["none"][found], -scores))[:self.search.k]
         return found[order], scores[order]
