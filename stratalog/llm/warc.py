@@ -95,13 +95,15 @@ def write_archive(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z
         "page_id", "url", "sha256", warc.alias("warc_header"), "http_header",
         F.when(F.col("again"), F.col("first_id")).alias("refers_to"),
         F.pmod(F.xxhash64("page_id", "url"), "shards").cast("int").alias("shard"))
-     .write.parquet(f"{path}/headers"))
-    # The rows that stay go by id, and repeated ones by digest, so no key is common here.
-    stored = (records.join(groups.withColumnRenamed("sha256", "first_sha256"),
-                           F.col("page_id").eqNullSafe(F.col("first_id"))
-                           & (F.col("sha256") == F.col("first_sha256")))
-              .dropDuplicates(["sha256"]).select("sha256", "payload", "copies", "shards"))
-    stored.write.parquet(f"{path}/payloads")
+     .write.option("compression", "zstd").parquet(f"{path}/headers"))
+    # By id and digest no key is common. Dealt so, the rows that stay are joined and, where one is
+    # repeated, reduced to one where they are: payloads travel once.
+    owner = [F.coalesce("id", F.lit(0)).alias("owner"), F.col("id").isNull().alias("none"), "sha256"]
+    firsts = groups.withColumnRenamed("first_id", "id").select(*owner, "copies", "shards")
+    stored = (records.withColumnRenamed("page_id", "id").select(*owner, "payload")
+              .join(firsts, ["owner", "none", "sha256"]).dropDuplicates(["owner", "none", "sha256"])
+              .select("sha256", "payload", "copies", "shards"))
+    stored.write.option("compression", "zstd").parquet(f"{path}/payloads")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
