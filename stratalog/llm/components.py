@@ -25,6 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
     links = edges.filter("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     links = written(links, "links")
+    before = _sums(links)
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = (_with_smallest(both).filter("b > a").select(F.col("b").alias("a"),
@@ -33,16 +34,14 @@ def components(edges: DataFrame) -> DataFrame:
         small = small.select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(
             small.select("a", F.col("low").alias("b"))).filter("a <> b").distinct()
         after = written(small, "links")
-        if _same(links, after):
+        sums = _sums(after)
+        if sums == before:
             return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        links = after
+        links, before = after, sums
 
 
-def _same(before: DataFrame, after: DataFrame) -> bool:
-    """Whether two tables of distinct edges are equal, by count and by the sums of two hashes."""
-    def sums(df: DataFrame):
-        a, b = (F.xxhash64(*columns).cast("decimal(38,0)") for columns in (("a", "b"), ("b", "a")))
-        return tuple(df.agg(F.count("*"), F.sum(a), F.sum(b)).first())
-
-    return sums(before) == sums(after)
+def _sums(edges: DataFrame) -> tuple:
+    """Count and the sums of two hashes: equal for equal tables of distinct edges."""
+    a, b = (F.xxhash64(*columns).cast("decimal(38,0)") for columns in (("a", "b"), ("b", "a")))
+    return tuple(edges.agg(F.count("*"), F.sum(a), F.sum(b)).first())

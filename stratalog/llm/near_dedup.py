@@ -325,6 +325,23 @@ def _mixed_pairs(owned: DataFrame, sets: DataFrame, settings: Settings) -> DataF
                         F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
+def _merged(owners: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, component), written, once ``links`` (a, b) are added to ``owners``: only components that
+    the new links join are looked at again."""
+    if owners is None:
+        return components(links)
+
+    def side(name: str) -> DataFrame:
+        return owners.select(F.col("node").alias(name), F.col("component").alias(f"{name}_owner"))
+
+    between = components(links.join(side("a"), "a", "left").join(side("b"), "b", "left").select(
+        F.coalesce("a_owner", "a").alias("a"), F.coalesce("b_owner", "b").alias("b")))
+    moved = owners.join(between.select(F.col("node").alias("component"), F.col("component").alias(
+        "joined")), "component", "left").select("node", F.coalesce("joined", "component").alias(
+            "component"))
+    return written(moved.unionByName(between.join(owners, "node", "left_anti")), "owners")
+
+
 def near_dedup(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:  # noqa: B008
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept, text_hash.
 
@@ -340,16 +357,15 @@ def near_dedup(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     owners = nodes.select("node", F.col("node").alias("component")).limit(0)
     owned = written(_owned(buckets, owners), "shared_buckets")
     sets = _shingle_sets(owned.select("node").distinct(), docs, nodes, settings)
-    buckets, links = owned.drop("owner"), None
+    buckets, owners = owned.drop("owner"), None
     for seed in range(settings.hub_rounds + 1):
         if seed < settings.hub_rounds:
             pairs = _hub_pairs(owned, seed)
         else:
             pairs = _mixed_pairs(owned, sets, settings)
-        more = _links(_survivors(pairs, nodes, settings), sets, settings)
-        links = more if links is None else links.unionByName(more)
-        owners = components(links)
-        owned = written(_owned(buckets, owners), "mixed_buckets")
+        owners = _merged(owners, _links(_survivors(pairs, nodes, settings), sets, settings))
+        if seed < settings.hub_rounds:
+            owned = written(_owned(buckets, owners), "mixed_buckets")
     named = nodes.join(owners, "node", "left").withColumn("owner", F.coalesce("component", "node"))
     smallest = named.groupBy("owner").agg(F.min("min_id").alias("component_id"))
     by_class = named.join(smallest, "owner").select("digest", "component_id")
