@@ -395,6 +395,7 @@ def sections(spark, sf_dir):
 # ---- specification rows and pairs ------------------------------------------------------------
 
 SPEC_TEXT = """concat(
+    'http-', l_linenumber, ' 7 GB · 4K context\n',
     l_returnflag, l_linenumber, ' ', CAST(l_quantity AS INT), ' GB · ', l_linenumber * 4,
     'K context\n',
     l_linestatus, l_linenumber, ' ', CAST(l_quantity AS INT), ' GB · ', l_linenumber * 4,

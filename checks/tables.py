@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from checks.extraction import ANCHORS_SQL, DETAIL_EXTRA, joined
@@ -24,9 +24,12 @@ from stratalog.operators.quality import (
 )
 from stratalog.operators.responses import merge_answers, parse_answer
 from stratalog.operators.staleness import select_stale
-from stratalog.operators.vocab import map_audience, map_family, normalise_by_table
+from stratalog.operators.vocab import (
+    classify_by_table, map_audience, map_family, normalise_arrays_by_table, normalise_by_table,
+)
 from stratalog.plans.refresh import Options, Refresh, Site, local_or_shared_root
 from stratalog.schema import ANSWERS
+from stratalog.sources.exports import read_export, write_export
 from stratalog.sources.snapshots import SnapshotStore
 
 # ---- vocabularies ----------------------------------------------------------------------------
@@ -114,6 +117,50 @@ def substring_classify(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", family.alias("family"))
 
 
+PART_TERMS = """
+    a AS (SELECT p_name AS alias, concat('T-', min(p_brand)) AS term, min(p_partkey) AS rank
+        FROM part GROUP BY p_name)"""
+
+
+def _part_terms(spark, sf_dir):
+    return table(spark, sf_dir, "part").groupBy(F.col("p_name").alias("alias")).agg(
+        F.concat(F.lit("T-"), F.min("p_brand")).alias("term"), F.min("p_partkey").alias("rank"))
+
+
+@check("vocab_array_table", f"""WITH {PART_TERMS},
+    v AS (SELECT p_partkey, unnest([upper(p_name), concat('T-', p_brand), p_type, p_name])
+        AS v, unnest([0, 1, 2, 3]) AS i FROM part),
+    t AS (SELECT p_partkey, i, coalesce(e.term, b.term) AS term FROM v
+        LEFT JOIN (SELECT DISTINCT term FROM a) e ON e.term = v
+        LEFT JOIN a b ON b.alias = lower(trim(v))),
+    d AS (SELECT p_partkey, term, min(i) AS i FROM t WHERE term IS NOT NULL GROUP BY ALL)
+    SELECT p_partkey, coalesce(string_agg(term, '|' ORDER BY i), 'none') AS terms
+    FROM part LEFT JOIN d USING (p_partkey) GROUP BY p_partkey""")
+def vocab_array_table(spark, sf_dir):
+    values = table(spark, sf_dir, "part").select("p_partkey", F.array(
+        F.upper("p_name"), F.concat(F.lit("T-"), "p_brand"), "p_type", "p_name").alias("v"))
+    out = normalise_arrays_by_table(
+        values, "p_partkey", "v", _part_terms(spark, sf_dir), "none", "terms")
+    return out.select("p_partkey", joined("terms").alias("terms"))
+
+
+@check("substring_classify_table", f"""WITH {PART_TERMS},
+    v AS (SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN concat('T-', p_brand)
+        WHEN 1 THEN concat('my ', upper(p_name), '!') WHEN 2 THEN p_type
+        ELSE concat(p_type, p_name) END AS v FROM part),
+    f AS (SELECT v, min_by(term, rank) AS term FROM (SELECT DISTINCT v FROM v) JOIN a
+        ON contains(lower(v), alias) GROUP BY v)
+    SELECT p_partkey, CASE WHEN v IN (SELECT term FROM a) THEN v ELSE coalesce(term, 'Other') END
+        AS term FROM v LEFT JOIN f USING (v)""")
+def substring_classify_table(spark, sf_dir):
+    value = F.expr("CASE p_size % 4 WHEN 0 THEN concat('T-', p_brand) WHEN 1 THEN "
+                   "concat('my ', upper(p_name), '!') WHEN 2 THEN p_type "
+                   "ELSE concat(p_type, p_name) END")
+    values = table(spark, sf_dir, "part").select("p_partkey", value.alias("v"))
+    return classify_by_table(values, "v", _part_terms(spark, sf_dir), "Other", "term").select(
+        "p_partkey", "term")
+
+
 # ---- key split, detail, upsert ---------------------------------------------------------------
 
 def _known(spark, sf_dir):
@@ -562,14 +609,14 @@ def writeback(spark, sf_dir):
 _QUALITY_ITEM = {
     "domain": "nullif(lang, 'de')",
     "use_cases": "CASE n_chars % 3 WHEN 0 THEN {empty} WHEN 1 THEN {one} END",
-    "ai_languages": "{one}",
+    "ai_languages": "CASE WHEN doc_id % 17 <> 0 THEN {one} ELSE {empty} END",
     "complexity": "nullif(source, 'src1')",
     # The whole text without small letters: short enough for the length rule in part of the rows.
     "best_for": "translate(text, 'abcdefghijklmnopqrstuvwxyz ,', '')",
     "strengths": "CASE WHEN n_chars % 7 <> 0 THEN {one} END",
     "limitations": "CASE WHEN doc_id % 11 <> 0 THEN {empty} END",
     "model_family": "CASE WHEN doc_id % 13 <> 0 THEN lang END",
-    "target_audience": "{one}",
+    "target_audience": "CASE WHEN doc_id % 19 <> 0 THEN {one} END",
     "enrich_version": "CASE WHEN doc_id % 10 <> 9 THEN 2 END",
     "validated": "CASE doc_id % 6 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END",
     "validation_failed": "CASE doc_id % 9 WHEN 2 THEN TRUE WHEN 3 THEN FALSE END",
@@ -590,12 +637,16 @@ _ITEMS_SQL = "q AS (SELECT CAST(doc_id AS VARCHAR) AS item_key, " + ", ".join(
         CASE WHEN domain IS NULL THEN 'domain: domain must not be null' END,
         CASE WHEN coalesce(len(use_cases), 0) < 1
             THEN 'use_cases: use_cases must have at least 1 item' END,
+        CASE WHEN coalesce(len(ai_languages), 0) < 1
+            THEN 'ai_languages: ai_languages must have at least 1 item' END,
         CASE WHEN complexity IS NULL THEN 'complexity: complexity must not be null' END,
         CASE WHEN length(best_for) < 10 THEN 'best_for: best_for must be at least 10 chars' END,
         CASE WHEN coalesce(len(strengths), 0) < 1
             THEN 'strengths: strengths must have at least 1 item' END,
         CASE WHEN limitations IS NULL THEN 'limitations: limitations must not be null' END,
-        CASE WHEN model_family IS NULL THEN 'model_family: model_family must not be null' END],
+        CASE WHEN model_family IS NULL THEN 'model_family: model_family must not be null' END,
+        CASE WHEN coalesce(len(target_audience), 0) < 1
+            THEN 'target_audience: target_audience must have at least 1 item' END],
         lambda x: x IS NOT NULL) AS f FROM q),
     o AS (SELECT *, CASE WHEN enrich_version IS NULL THEN NULL WHEN validated THEN 'skip_valid'
         WHEN validation_failed THEN 'skip_failed' WHEN len(f) = 0 THEN 'valid'
@@ -679,6 +730,29 @@ def export_ranked(spark, sf_dir):
     )
 
 
+@check("export_file", """
+    SELECT concat('p', p_partkey) AS item_key, CAST(trunc(p_retailprice * 10) AS BIGINT) AS pulls,
+        CASE p_size % 4 WHEN 0 THEN p_name WHEN 1 THEN '' END AS readme,
+        CASE WHEN p_size % 3 <> 0 THEN concat(p_brand, '|', p_type) ELSE '' END AS labels,
+        row_number() OVER (ORDER BY trunc(p_retailprice * 10) DESC, concat('p', p_partkey)) AS rank
+    FROM part WHERE p_size % 10 <> 0""")
+def export_file(spark, sf_dir):
+    """The export written, read back, and ranked by where each row stands in its files."""
+    path = local_or_shared_root(spark, "export")
+    write_export(_export_catalog(spark, sf_dir), path)
+    rows = read_export(spark, path).select(
+        "item_key", "pulls", "readme", joined("labels").alias("labels"),
+        F.col("_metadata.file_name").alias("file"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"))
+    in_file = rows.withColumn("row", F.row_number().over(
+        Window.partitionBy("file").orderBy("place")))
+    # One row per file: files come in rank order.
+    before = rows.groupBy("file").agg(F.count("*").alias("n")).select("file", (F.sum("n").over(
+        Window.orderBy("file")) - F.col("n")).alias("before"))
+    return in_file.join(before, "file").select(
+        "item_key", "pulls", "readme", "labels", (F.col("row") + F.col("before")).alias("rank"))
+
+
 @check("export_stats", """
     SELECT count(*) AS total, count(*) AS enriched, count(*) FILTER (p_size % 3 = 0) AS validated,
         count(*) FILTER (p_size % 6 = 0) AS validation_failed, count(*) AS exported,

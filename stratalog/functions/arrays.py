@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stratalog.functions.text import let, strip
 
 # A vocabulary inlined as a map literal is part of the plan; larger ones belong in a table
-# (see operators.vocab.normalise_by_table).
+# (see the functions ``..._by_table`` of operators.vocab).
 MAX_INLINE_TERMS = 1000
 
 

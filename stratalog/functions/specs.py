@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stratalog import fixed_values as fv
 from stratalog.functions.arrays import null_if_empty
-from stratalog.functions.mentions import WORD
 from stratalog.functions.amounts import round_tenth
-from stratalog.functions.text import blank_to_null, strip
-from stratalog.schema import SPEC_ROW
+from stratalog.functions.mentions import WORD
+from stratalog.functions.text import blank_to_null, let, strip
 
 # Fixed value: what a specification row looks like. A tag is a whole run of tag characters, so a
 # match starts where a run starts or where the last match ended: a long run without white space is
@@ -19,31 +19,49 @@ from stratalog.schema import SPEC_ROW
 _TAG = rf"{WORD}.:\-"
 # How a specification row is written.
 _ROW = (
-    rf"(?iU)(?:\G|(?<![{_TAG}]))([{_TAG}]++)\s++([\d.]+\s*GB)\s*[·\-]?\s*"
-    r"([\d.]+[KM]?\s*(?:context|K|M)?)"
+    rf"(?iU)(?:\G|(?<![{_TAG}]))([{_TAG}]++)\s++(([\d.]+)\s*GB)\s*[·\-]?\s*"
+    r"(([\d.]+)([KM]?)\s*(?:context|(K|M))?)"
 )
 _QUANT = rf"(?iU)(q\d+[_k]?[ms]?[{WORD}]*|fp16|bf16|int\d)"
-_CONTEXT = r"([\d.]+)\s*([KMk])"
+_THOUSAND, _MILLION = ["K", "k"], ["M"]
 
+# All groups of a match in one pass; the separator is no part of what a row can hold.
+_BETWEEN = "\x01"
+_GROUPS = _BETWEEN.join(f"${i}" for i in range(1, 8))
 
-def _parts(match: Column) -> Column:
-    return F.struct(
-        F.regexp_extract(match, _ROW, 1).alias("tag"),
-        F.regexp_extract(match, _ROW, 2).alias("size"),
-        strip(F.regexp_extract(match, _ROW, 3)).alias("context"),
-    )
+_FOUND = "array<struct<tag:string,size:string,context:string,gb:double,window:bigint>>"
 
 
-def _figures(r: Column) -> Column:
-    # Both amounts hold digits and points only, so a cast that fails means "not a number".
-    amount = F.regexp_extract(r["context"], _CONTEXT, 1).try_cast("double")
-    unit = F.upper(F.regexp_extract(r["context"], _CONTEXT, 2))
-    return F.struct(
-        r["tag"].alias("tag"), r["size"].alias("size"), r["context"].alias("context"),
-        F.regexp_extract(r["size"], r"([\d.]+)", 1).try_cast("double").alias("gb"),
-        (amount * F.when(unit == "M", 1e6).when(unit == "K", 1e3))
-        .try_cast("bigint").alias("window"),
-    )
+def _parts(match: Column) -> Column:
+    def named(g: Column) -> Column:
+        # Both amounts hold digits and points only, so a cast that fails means "not a number".
+        unit = F.coalesce(blank_to_null(g[5]), g[6])
+        factor = F.when(unit.isin(_MILLION), 1e6).when(unit.isin(_THOUSAND), 1e3)
+        return F.struct(
+            g[0].alias("tag"), g[1].alias("size"), strip(g[3]).alias("context"),
+            g[2].try_cast("double").alias("gb"),
+            (g[4].try_cast("double") * factor).try_cast("bigint").alias("window"),
+        )
+
+    return let(F.split(F.regexp_replace(match, _ROW, _GROUPS), _BETWEEN), named)
+
+
+def _first_of_each(rows: pa.Array) -> pa.Array:
+    """The rows of each list that share neither tag nor (gb, context) with a row kept before."""
+    starts, ends = np.asarray(rows.offsets)[:-1], np.asarray(rows.offsets)[1:]
+    tags, gbs, contexts = (rows.values.field(n).to_pylist() for n in ("tag", "gb", "context"))
+    kept, bounds = [], [0]
+    for start, end in zip(starts, ends, strict=True):
+        seen_tags, seen_figures = set(), set()
+        for i in range(start, end):
+            figures = (gbs[i], contexts[i])
+            if tags[i] not in seen_tags and figures not in seen_figures:
+                seen_tags.add(tags[i])
+                seen_figures.add(figures)
+                kept.append(i)
+        bounds.append(len(kept))
+    return pa.ListArray.from_arrays(
+        pa.array(bounds, pa.int32()), rows.values.take(pa.array(kept, pa.int64())))
 
 
 def _spec_row(r: Column) -> Column:
@@ -60,37 +78,24 @@ def _spec_row(r: Column) -> Column:
 
 
 def spec_rows(page_text: Column) -> Column:
-    """Specification rows of a page text; texts that name no unit are not searched further."""
-    return F.when(page_text.rlike("[gG][bB]"), _rows(page_text))
-
-
-def _rows(page_text: Column) -> Column:
     """All specification rows of a page, deduplicated in page order, smallest size first.
 
     A row is kept when neither its tag nor its (size, context) belongs to a row kept before it; a
-    rejected row blocks nothing, so two independent "first of" windows would lose rows. Sizes that
-    are missing or zero sort after everything up to 999 GB. No row gives NULL.
+    rejected row blocks nothing, so two independent "first of" windows would lose rows. Only this
+    choice is made in Python, with sets over the rows found: array functions would compare every
+    row of a page with every other. Texts that name no unit are not searched. Sizes that are
+    missing or zero sort after everything up to 999 GB. No row gives NULL.
     """
     found = F.transform(F.regexp_extract_all(page_text, F.lit(_ROW), F.lit(0)), _parts)
     found = F.filter(found, lambda r: ~F.lower(r["tag"]).contains("http"))
-    # A full repeat can never be kept, so dropping repeats first keeps the fold short.
-    found = F.transform(F.array_distinct(found), _figures)
-    kept = F.aggregate(
-        F.transform(found, _spec_row),
-        F.array().cast(T.ArrayType(SPEC_ROW)),
-        lambda rows, r: F.when(
-            F.exists(rows, lambda k: (k["tag"] == r["tag"]) | (
-                k["size_gb"].eqNullSafe(r["size_gb"]) & (k["context"] == r["context"])
-            )),
-            rows,
-        ).otherwise(F.concat(rows, F.array(r))),
-    )
+    found = F.when(page_text.rlike("[gG][bB]"), found).otherwise(F.array().cast(_FOUND))
+    kept = F.arrow_udf(_first_of_each, _FOUND)(found)
     keyed = F.transform(kept, lambda r, i: F.struct(
-        F.coalesce(F.nullif(r["size_gb"], F.lit(0.0)), F.lit(fv.UNSIZED_SORT_KEY)).alias("k"),
+        F.coalesce(F.nullif(r["gb"], F.lit(0.0)), F.lit(fv.UNSIZED_SORT_KEY)).alias("k"),
         i.alias("i"),
         r.alias("r"),
     ))
-    return null_if_empty(F.transform(F.array_sort(keyed), lambda s: s["r"]))
+    return null_if_empty(F.transform(F.array_sort(keyed), lambda s: _spec_row(s["r"])))
 
 
 def size_tier(min_gb: Column) -> Column:

@@ -50,6 +50,7 @@ def _value(variant: Column, field: AnswerField) -> Column:
             F.try_variant_get(v, "$.name", "string").alias("name"),
             F.try_variant_get(v, "$.score", "double").alias("score"),
             F.try_variant_get(v, "$.unit", "string").alias("unit"),
+            F.to_json(v).alias("given"),
         ),
     )
 

@@ -25,6 +25,8 @@ BENCHMARK_SCORE = T.StructType([
     T.StructField("name", T.StringType()),
     T.StructField("score", T.DoubleType()),
     T.StructField("unit", T.StringType()),
+    # The object as JSON text: scores are open, so other fields and scores such as "85%" stay.
+    T.StructField("given", T.StringType()),
 ])
 STRINGS = T.ArrayType(T.StringType())
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,13 +10,16 @@ from pyspark.sql import functions as F
 from stratalog import fixed_values as fv
 from stratalog.functions import mentions
 from stratalog.functions.amounts import magnitude_to_long, round_tenth
-from stratalog.functions.arrays import adjacent_pairs, split_badges
+from stratalog.functions.arrays import (
+    adjacent_pairs, canonical_terms, first_contained, split_badges,
+)
 from stratalog.functions.dates import relative_date
 from stratalog.functions.specs import size_tier, spec_max_context, spec_min_gb, spec_rows
 from stratalog.functions.text import (
     SPACE_CHARS, clean_text, key_from_href, keyword_flag, null_like, strip,
 )
 from stratalog.operators import vocab
+from stratalog.operators.vocab import classify_by_table, normalise_arrays_by_table
 
 
 def column(spark, values, kind, build):
@@ -211,6 +215,34 @@ def test_normalise_by_table_large_vocabulary(spark, monkeypatch):
     assert [r["t"] for r in rows] == ["Alpha", "Alpha", "Beta", "Other", "Other", "Beta", "Other"]
 
 
+def test_arrays_and_substrings_by_table(spark):
+    """The table forms give what the inlined ones give, for values that are NULL and short too."""
+    rng = random.Random(12)
+    pairs = [("dev", "Dev"), ("a", "Ay"), ("developer tools", "Tools"), ("ml", "ML"), ("lop", "Lop")]
+    aliases, terms = dict(pairs), sorted({t for _, t in pairs})
+    texts = [None, "", "A", " ml ", "Dev", "the developer tools", "xlopx"] + [
+        "".join(rng.choice("adevlopm t") for _ in range(rng.randrange(12))) for _ in range(60)]
+    rows = [(i, text, [rng.choice(texts) for _ in range(rng.randrange(6))] if i % 9 else None)
+            for i, text in enumerate(texts * 2)]
+    df = spark.createDataFrame(rows, "n int, v string, vs array<string>")
+    table = spark.createDataFrame([(a, t, r) for r, (a, t) in enumerate(pairs)],
+                                  "alias string, term string, rank int")
+    for cap in (None, 2):
+        got = normalise_arrays_by_table(df, "n", "vs", table, "none", "got", cap).withColumn(
+            "want", canonical_terms(F.col("vs"), terms, aliases, "none", cap)).collect()
+        assert len(got) == len(rows) and all(r.got == r.want for r in got)
+    got = classify_by_table(df, "v", table, "none", "got").withColumn(
+        "want", first_contained(F.col("v"), terms, pairs, "none")).collect()
+    assert len(got) == len(rows) and all(r.got == r.want for r in got)
+
+
+def test_spec_rows_of_a_long_page(spark):
+    text = "\n".join(f"t{i} {i + 1} GB · {i % 50}K context" for i in range(20_000))
+    start = time.perf_counter()
+    [rows] = column(spark, [text], "string", spec_rows)
+    assert len(rows) == 20_000 and time.perf_counter() - start < 10
+
+
 def test_mentions(spark):
     text = (
         "see https://huggingface.co/a/b, https://huggingface.co/a/b> MITx émit Apache 2.0 "

@@ -91,10 +91,11 @@ def test_parse_answer(spark, call_no, value, violations):
 def test_parse_answer_values(spark):
     a, b, c, d = parse(
         spark, 6, json.dumps({"is_multimodal": "yes", "benchmark_scores": [
-            {"name": "M", "score": "85.2", "unit": "%"}, {"score": 1}]}), "no json", "[1]", None)
+            {"name": "M", "score": "85.2", "unit": "%"}, {"score": "85.2%", "shots": 5}]}), "no json", "[1]", None)
     assert a["value"]["is_multimodal"] is True
     assert [tuple(s) for s in a["value"]["benchmark_scores"]] == [
-        ("M", 85.2, "%"), (None, 1.0, None)
+        ("M", 85.2, "%", '{"name":"M","score":"85.2","unit":"%"}'),
+        (None, None, None, '{"score":"85.2%","shots":5}'),
     ]
     assert [x["violations"] for x in (b, c, d)] == [["not an object"]] * 3
 
