@@ -285,11 +285,14 @@ def _owned(buckets: DataFrame, owners: DataFrame) -> DataFrame:
 
 def _hub_pairs(owned: DataFrame, seed: int) -> DataFrame:
     """Each member of a bucket with the bucket's hub, unless they are connected. Every bucket draws its
-    hub anew, so a member of many buckets of one group meets many members of the group."""
+    hub anew, so a member of many buckets of one group meets many members of the group. In the first
+    round, which joins most of a group, a class meets the hub of one of its buckets alone."""
     draw = F.xxhash64("node", "band", F.lit(seed))
     hubs = owned.groupBy("band").agg(F.min_by("node", draw).alias("hub"),
                                      F.min_by("owner", draw).alias("hub_owner"))
     pairs = owned.join(hubs, "band").filter("owner <> hub_owner")
+    if seed == 0:
+        pairs = pairs.groupBy("node").agg(F.min_by("hub", F.xxhash64("band")).alias("hub"))
     return pairs.select(F.least("node", "hub").alias("a"),
                         F.greatest("node", "hub").alias("b")).distinct()
 
