@@ -1,12 +1,13 @@
-"""Line deduplication by pairwise alignment of documents that share lines.
-
-A text is cut into lines: at line breaks, behind sentence ends once a line has ``MIN_WORDS`` words, and
-in lines over ``LONG_WORDS`` words behind words that a hash picks, so that a passage without marks is cut
-alike wherever it stands. A line's hash is looked up over all documents; each document that has a line
-meets the first document that has it, so a line that very many documents share makes one pair for each
-of them and no more. Each pair is aligned with patience diff, and aligned blocks of at least
-``block_words`` words go from the later document. A line never goes from the first document that has it:
-no earlier document has the line to align it with.
+"""Line deduplication by runs of words that an earlier document has as well.
+
+Every run of ``block_words`` words that some document with a smaller id holds goes, wherever it begins and
+ends: the words count, not the lines around them. A run is looked up by its own hash, so its first holder
+is a document that has the whole of it. Only runs that can be shared are looked up: a run's anchor is
+the least hash among the shorter runs of words in it, about one in seven of those is an anchor at all,
+and equal runs have equal anchors; a run whose anchor no other document has is passed over.
+
+Words are what white space divides; which white space it is does not count. ``cut_lines`` says what a line
+is where removed lines are counted.
 """
 
 from __future__ import annotations
@@ -22,13 +23,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from stratalog.llm.common import written
 from stratalog.session import ship
 
 MIN_WORDS, LONG_WORDS, CUT_ONE_IN = 4, 24, 8
 BLOCK_WORDS = 25
+#: Words whose hashes a task remembers, and words that are hashed in one go.
+HELD_WORDS, CHUNK_WORDS = 1 << 18, 1 << 17
 
 _SENTENCE = re.compile(r"[^\n.!?]*(?:[.!?]+[^\S\n]*\n?|\n|\Z)")
 _WORD = re.compile(r"\S+\s*")
@@ -65,68 +67,101 @@ def _cut_long(line: str) -> list[tuple[str, int]]:
     return parts
 
 
-def _hashed_lines(batches):
-    for batch in batches:
-        hashes, words, ends = [], [], [0]
-        for text in batch.column("text").to_pylist():
-            for line, count in cut_lines(text):
-                hashes.append(xxhash.xxh3_64_intdigest(line.strip()) - (1 << 63))
-                words.append(count)
-            ends.append(len(hashes))
-        ends = pa.array(ends, pa.int32())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_hash"),
-             pa.ListArray.from_arrays(ends, pa.array(hashes, pa.int64())),
-             pa.ListArray.from_arrays(ends, pa.array(words, pa.int32()))],
-            ["doc_id", "text_hash", "hashes", "words"])
-
-
-def _flat(batch: pa.RecordBatch, *names: str) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(offsets, values of each column) of list columns of equal lengths and without NULLs."""
-    columns = [batch.column(name) for name in names]
-    return (np.asarray(columns[0].offsets, np.int64), [np.asarray(c.values) for c in columns])
+class _Hashes(dict):
+    """Hashes of words, remembered."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= HELD_WORDS:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word) - (1 << 63)
+        return value
+
+
+_BASE = 0x9E3779B97F4A7C15
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def _rolled(hashes: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each run of ``n`` elements: a polynomial modulo 2**64, whose base can be divided by."""
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * _powers(_BASE, len(hashes)), out=sums[1:])
+    return (sums[n:] - sums[:-n]) * _powers(pow(_BASE, -1, 1 << 64), len(hashes) - n + 1)
+
+
+def _keys(hashes: np.ndarray, block_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(anchor, hash) of each run of ``block_words`` words; both depend on the run's words alone."""
+    gram = block_words // 2 + 1
+    least = _rolled(hashes, gram)
+    least ^= least >> np.uint64(32)
+    least *= np.uint64(0xD6E8FEB86659FD93)
+    least ^= least >> np.uint64(32)
+    held, span = 1, block_words - gram + 1
+    while held < span:
+        step = min(held, span - held)
+        least = np.minimum(least[:-step], least[step:])
+        held += step
+    return least.view(np.int64), _rolled(hashes, block_words).view(np.int64)
+
+
+def _runs(texts: list[str], known: _Hashes, block_words: int):
+    """(text numbers, first words, anchors, hashes) of all runs, some texts at a time."""
+    parts, numbers, held = [], [], 0
+    for number, text in enumerate(texts):
+        words = text.split()
+        if len(words) >= block_words:
+            parts.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
+            numbers.append(number)
+            held += len(words)
+        if parts and (held >= CHUNK_WORDS or number + 1 == len(texts)):
+            counts = np.array([len(part) for part in parts])
+            anchors, hashes = _keys(np.concatenate(parts).view(np.uint64), block_words)
+            at = np.arange(held) - np.repeat(np.cumsum(counts) - counts, counts)
+            whole = np.flatnonzero(at + block_words <= np.repeat(counts, counts))
+            yield (np.repeat(numbers, counts)[whole], at[whole].astype(np.int32), anchors[whole],
+                   hashes[whole])
+            parts, numbers, held = [], [], 0
+
+
+def _listed(batch: pa.RecordBatch, rows: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
+    """One row for each number in ``rows``, which rise, with its values of the columns as lists."""
+    starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+    offsets = pa.array(np.append(starts, len(rows)), pa.int32())
+    ids = [batch.column(name).take(pa.array(rows[starts])) for name in ("doc_id", "text_hash")]
+    return pa.RecordBatch.from_arrays(
+        ids + [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in columns.values()],
+        ["doc_id", "text_hash", *columns])
+
+
+def _anchors(block_words: int):
+    def anchors_of(batches):
+        known = _Hashes()
+        for batch in batches:
+            for rows, _, anchors, _ in _runs(batch.column("text").to_pylist(), known, block_words):
+                new = np.ones(len(rows), bool)
+                new[1:] = (rows[1:] != rows[:-1]) | (anchors[1:] != anchors[:-1])
+                yield _listed(batch, rows[new], anchors=anchors[new])
 
+    return anchors_of
 
-def _runs(block_words: int):
-    """Runs of shared lines that follow each other, one row for each first document in them."""
 
-    def split(batches):
+def _shared_runs(block_words: int):
+    def runs_of(batches):
+        known = _Hashes()
         for batch in batches:
-            offsets, (pos, hashes, words, first) = _flat(batch, "pos", "hash", "words", "first")
-            doc_ids = np.asarray(batch.column("doc_id"))
-            row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            base = offsets[0]
-            pos, hashes, words, first = (v[base:base + len(row)] for v in (pos, hashes, words, first))
-            if not len(row):
-                continue
-            new = np.ones(len(row), bool)
-            new[1:] = (row[1:] != row[:-1]) | (pos[1:] != pos[:-1] + 1)
-            starts = np.flatnonzero(new)
-            ends = np.append(starts[1:], len(row))
-            rows, firsts, at, held = [], [], [], []
-            for k in np.flatnonzero(np.add.reduceat(words, starts) >= block_words):
-                run = slice(starts[k], ends[k])
-                for earlier in np.unique(first[run]):
-                    if earlier != doc_ids[row[starts[k]]]:
-                        rows.append(row[starts[k]])
-                        firsts.append(earlier)
-                        at.append(pos[starts[k]])
-                        held.append(np.arange(run.start, run.stop))
-            if rows:
-                lengths = np.cumsum([0, *map(len, held)]).astype(np.int32)
-                lines = np.concatenate(held)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(name).take(pa.array(rows)) for name in ("doc_id", "text_hash")]
-                    + [pa.array(firsts, pa.int64()), pa.array(at, pa.int32())]
-                    + [pa.ListArray.from_arrays(pa.array(lengths), pa.array(v[lines]))
-                       for v in (hashes, words)],
-                    ["doc_id", "text_hash", "first", "pos", "hashes", "words"])
-
-    return split
-
-
-_RUN_DDL = ("doc_id bigint, text_hash bigint, first bigint, pos int, hashes array<bigint>, "
-            "words array<int>")
+            bounds = batch.column("shared").offsets.to_numpy()
+            shared = batch.column("shared").values.to_numpy()
+            for rows, at, anchors, hashes in _runs(batch.column("text").to_pylist(), known, block_words):
+                # An anchor that one text shares is shared in all texts that have it.
+                keep = np.isin(anchors, shared[bounds[rows[0]]:bounds[rows[-1] + 1]])
+                if keep.any():
+                    yield _listed(batch, rows[keep], at=at[keep], runs=hashes[keep])
+
+    return runs_of
 
 
 def patience(a: list, b: list) -> list[tuple[int, int]]:
@@ -174,91 +209,84 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return chain[::-1]
 
 
-def common_blocks(later: list, words: list[int], earlier: list, places: list[int],
-                  block_words: int) -> list[tuple[int, int]]:
-    """Ranges of ``later`` that are aligned with lines that follow each other in the earlier document
-    (``places`` has their line numbers) and have at least ``block_words`` words."""
-    blocks, start, last = [], None, None
-    for i, j in [*patience(later, earlier), (None, None)]:
-        joined = (last is not None and i is not None and i == last[0] + 1
-                  and places[j] == places[last[1]] + 1)
-        if not joined:
-            if last is not None and sum(words[start:last[0] + 1]) >= block_words:
-                blocks.append((start, last[0] + 1))
-            start = i
-        last = (i, j)
-    return blocks
-
-
-def _aligned(block_words: int):
-    def align(batches):
+def _merged(block_words: int):
+    """First words of runs as ranges of words that neither meet nor touch."""
+
+    def merge(batches):
         for batch in batches:
-            out = []
-            ends, (later, words) = _flat(batch, "hashes", "words")
-            bounds, (earlier, places) = _flat(batch, "earlier", "places")
-            doc_ids, text_hashes, at = (batch.column(name).to_pylist()
-                                        for name in ("doc_id", "text_hash", "pos"))
-            for i in range(batch.num_rows):
-                a, b = slice(ends[i], ends[i + 1]), slice(bounds[i], bounds[i + 1])
-                if words[a][np.isin(later[a], earlier[b])].sum() < block_words:
-                    continue  # all they have in common is less than a block
-                for start, end in common_blocks(later[a].tolist(), words[a].tolist(),
-                                                earlier[b].tolist(), places[b].tolist(), block_words):
-                    out.append((doc_ids[i], text_hashes[i], at[i] + start, at[i] + end))
-            if out:
-                doc_id, text_hash, start, end = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_id, pa.int64()), pa.array(text_hash, pa.int64()),
-                     pa.array(start, pa.int32()), pa.array(end, pa.int32())],
-                    ["doc_id", "text_hash", "from_line", "to_line"])
-
-    return align
+            blocks = []
+            for starts in batch.column("starts").to_pylist():
+                starts = np.unique(starts)
+                first = np.append(True, np.diff(starts) > block_words)
+                last = np.append(first[1:], True)
+                blocks.append([{"from_word": a, "to_word": b + block_words} for a, b in zip(
+                    starts[first].tolist(), starts[last].tolist(), strict=True)])
+            kind = pa.list_(pa.struct([("from_word", pa.int32()), ("to_word", pa.int32())]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(blocks, kind)],
+                ["doc_id", "text_hash", "blocks"])
+
+    return merge
+
+
+def _in_two_documents(rows: DataFrame, key: str) -> DataFrame:
+    """(key, first): keys that documents of several ids have, with the smallest id."""
+    both = rows.groupBy(key).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    return both.filter("first < last").drop("last")
 
 
 def repeated_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(doc_id, text_hash, blocks): for each text with blocks that an earlier document has, their line
-    ranges. ``text_hash`` tells texts with one id apart."""
+    """(doc_id, text_hash, blocks): for each text with runs of words that an earlier document has, the
+    ranges of its words. ``text_hash`` tells texts with one id apart."""
     ship(docs.sparkSession)
     texts = docs.filter("doc_id IS NOT NULL AND text <> ''").select(
         "doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    lines = written(texts.mapInArrow(
-        _hashed_lines, "doc_id bigint, text_hash bigint, hashes array<bigint>, words array<int>"),
-        "lines")
-    rows = lines.select("doc_id", "text_hash", F.posexplode("hashes").alias("pos", "hash"), "words")
-    shared = rows.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    shared = shared.filter("first < last").drop("last")
-    found = rows.select("doc_id", "text_hash", "pos", "hash",
-                        F.get("words", F.col("pos")).alias("words")).join(shared, "hash")
-    lists = found.groupBy("doc_id", "text_hash").agg(F.sort_array(
-        F.collect_set(F.struct("pos", "hash", "words", "first"))).alias("lines"))
-    sequences = written(lists.select("doc_id", "text_hash", *[
-        F.col(f"lines.{name}").alias(name) for name in ("pos", "hash", "words", "first")]),
-        "sequences")
-    runs = sequences.mapInArrow(_runs(block_words), _RUN_DDL)
-    # Rows of one id stand for one document; one of its texts is enough to align with.
-    firsts = sequences.groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"))
-    earlier = sequences.join(firsts, ["doc_id", "text_hash"]).select(
-        F.col("doc_id").alias("first"), F.col("hash").alias("earlier"), F.col("pos").alias("places"))
-    blocks = runs.join(earlier, "first").mapInArrow(
-        _aligned(block_words), "doc_id bigint, text_hash bigint, from_line int, to_line int")
-    return blocks.groupBy("doc_id", "text_hash").agg(
-        F.collect_set(F.struct("from_line", "to_line")).alias("blocks"))
-
-
-def _without(texts: pd.Series, blocks: pd.Series) -> pd.Series:
-    out = []
-    for text, ranges in zip(texts, blocks, strict=True):
-        if text is None or ranges is None:
-            out.append(None)
-            continue
-        gone = {at for r in ranges for at in range(r["from_line"], r["to_line"])}
-        out.append("".join(line for at, (line, _) in enumerate(cut_lines(text)) if at not in gone))
-    return pd.Series(out, dtype=object)
+    anchors = written(texts.mapInArrow(
+        _anchors(block_words), "doc_id bigint, text_hash bigint, anchors array<bigint>"), "anchors")
+    rows = anchors.select("doc_id", "text_hash", F.explode("anchors").alias("anchor"))
+    shared = rows.join(_in_two_documents(rows, "anchor").select("anchor"), "anchor").groupBy(
+        "doc_id", "text_hash").agg(F.collect_list("anchor").alias("shared"))
+    lists = written(texts.join(shared, ["doc_id", "text_hash"]).mapInArrow(
+        _shared_runs(block_words),
+        "doc_id bigint, text_hash bigint, at array<int>, runs array<bigint>"), "runs")
+    runs = lists.select("doc_id", "text_hash", "at", F.posexplode("runs").alias("k", "run")).select(
+        "doc_id", "text_hash", F.get("at", F.col("k")).alias("at"), "run")
+    firsts = _in_two_documents(runs, "run")
+    later = runs.join(firsts, "run").filter("first < doc_id")
+    return later.groupBy("doc_id", "text_hash").agg(F.collect_list("at").alias("starts")).mapInArrow(
+        _merged(block_words),
+        "doc_id bigint, text_hash bigint, blocks array<struct<from_word: int, to_word: int>>")
+
+
+def without_words(text: str, blocks: list[tuple[int, int]]) -> tuple[str, int]:
+    """A text without ranges of its words, and how many of its lines are cut wholly or in part.
+    White space goes with the word before it, and with the first word where none is before."""
+    bounds = [match.start() for match in _WORD.finditer(text)] + [len(text)]
+    bounds[0] = 0
+    gone = [(bounds[a], bounds[b]) for a, b in blocks]
+    kept, at = [], 0
+    for start, end in gone:
+        kept.append(text[at:start])
+        at = end
+    ends = np.cumsum([len(line) for line, _ in cut_lines(text)])
+    touched = np.zeros(len(ends) + 1, int)
+    for start, end in gone:
+        touched[np.searchsorted(ends, start, "right")] += 1
+        touched[np.searchsorted(ends, end, "left") + 1] -= 1
+    return "".join([*kept, text[at:]]), int((np.cumsum(touched) > 0).sum())
+
+
+def _without(texts: pd.Series, blocks: pd.Series) -> pd.DataFrame:
+    out = [(None, None) if text is None or ranges is None else without_words(
+        text, [(r["from_word"], r["to_word"]) for r in ranges])
+        for text, ranges in zip(texts, blocks, strict=True)]
+    return pd.DataFrame(out, columns=["text", "lines"]).astype({"text": object, "lines": "Int32"})
 
 
 def line_dedup(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` (doc_id, text, any others) with each text without the blocks of lines that a document
-    with a smaller id has, and the column ``removed_lines`` (0 where the text is as it was).
+    """``docs`` (doc_id, text, any others) with each text without the runs of ``block_words`` words and
+    more that a document with a smaller id has, and the column ``removed_lines``: how many lines are
+    cut wholly or in part (0 where the text is as it was).
 
     Repeats within one document stay, and so do those between rows of one id. Rows with a NULL id, NULL
     text or empty text are returned as they are; a copy of an earlier document becomes the empty text.
@@ -270,12 +298,10 @@ def line_dedup(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     rows = docs.select(F.struct(*kept).alias("row"), F.col("doc_id"),
                        F.xxhash64("text").alias("text_hash"))
     both = rows.join(blocks, ["doc_id", "text_hash"], "left")
-    cut = F.pandas_udf(_without, StringType())
+    cut = F.pandas_udf(_without, "text string, lines int")
     hit = F.col("blocks").isNotNull()
     both = both.withColumn("cut", cut(F.when(hit, F.col("row.text")), "blocks"))
-    gone = F.array_distinct(F.flatten(F.transform(
-        "blocks", lambda b: F.sequence(b["from_line"], b["to_line"] - 1))))
-    text = F.when(hit, F.col("cut")).otherwise(F.col("row.text"))
+    text = F.when(hit, F.col("cut.text")).otherwise(F.col("row.text"))
     return both.select(
         *[text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in kept],
-        F.when(hit, F.size(gone)).otherwise(0).alias("removed_lines"))
+        F.when(hit, F.col("cut.lines")).otherwise(0).alias("removed_lines"))

@@ -146,3 +146,37 @@ def test_line_dedup_cuts_the_later_copy(spark):
         assert passage[40:-40] not in got[i].text and own[i][:-40] in got[i].text
     assert got[20].text == "" and got[21].text is None and got[22].text == ""
     assert lines.line_dedup(frame.limit(0)).collect() == []
+
+
+def brute_cut(docs, n=lines.BLOCK_WORDS):
+    """Texts without runs of n words that a document with a smaller id has, words joined by blanks."""
+    runs = {}
+    for i, text in docs:
+        words = text.split()
+        for at in range(len(words) - n + 1):
+            run = tuple(words[at:at + n])
+            runs[run] = min(i, runs.get(run, i))
+    out = {}
+    for i, text in docs:
+        words = text.split()
+        gone = {k for at in range(len(words) - n + 1) if runs[tuple(words[at:at + n])] < i
+                for k in range(at, at + n)}
+        out[i] = " ".join(word for k, word in enumerate(words) if k not in gone)
+    return out
+
+
+def test_line_dedup_meets_the_holder_of_the_whole_block(spark):
+    rng = random.Random(12)
+
+    def line(n):
+        return " ".join(f"w{rng.randrange(99999)}" for _ in range(n)) + "."
+
+    a, b, c, d = (line(12) for _ in range(4))
+    docs = [(1, f"{line(9)} {a} {b} {line(9)}"), (2, f"{line(9)} {c} {d} {line(9)}"),
+            (5, f"{line(40)} {a} {b} {c} {d} {line(40)}"), (9, f"{line(30)} {a} {b} {c} {d} {line(30)}")]
+    docs += [(10, f"{c} {d} {line(20)} {a} {b} {c}")]
+    got = {r.doc_id: r for r in lines.line_dedup(
+        spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert [got[i].removed_lines == 0 for i in (1, 2, 5, 9, 10)] == [True, True, True, False, False]
+    assert not any(passage in got[9].text for passage in (a, b, c, d))
+    assert {i: " ".join(r.text.split()) for i, r in got.items()} == brute_cut(docs)
