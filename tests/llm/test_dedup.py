@@ -180,3 +180,20 @@ def test_line_dedup_meets_the_holder_of_the_whole_block(spark):
     assert [got[i].removed_lines == 0 for i in (1, 2, 5, 9, 10)] == [True, True, True, False, False]
     assert not any(passage in got[9].text for passage in (a, b, c, d))
     assert {i: " ".join(r.text.split()) for i, r in got.items()} == brute_cut(docs)
+
+
+def test_line_dedup_cuts_passages_that_begin_and_end_mid_sentence(spark):
+    rng = random.Random(13)
+
+    def prose(n):
+        return " ".join(f"w{rng.randrange(99999)}" + "." * (rng.random() < .1) for _ in range(n))
+
+    docs = []
+    for k, n in enumerate([24, 25, 26, 51, 51, 60, 80, 200] * 5):
+        passage = prose(n)
+        docs += [(2 * k, f"{prose(33)} {passage} {prose(17)}"),
+                 (2 * k + 1, f"{prose(12)}\n{passage}  {prose(41)}")]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {r.doc_id: " ".join(r.text.split()) for r in lines.line_dedup(frame).collect()}
+    assert got == brute_cut(docs)
+    assert len(got[3].split()) == 12 + 41 and len(got[1].split()) == 12 + 24 + 41
