@@ -2,16 +2,17 @@
 
 A labelled table names the domain of some documents. A naive Bayes classifier over hashed words, learnt
 from it, gives every document its domain posteriors. Document i with n tokens and posterior p adds
-``rate * n * p[k]`` expected tokens to domain k; the rates are found by projected gradient on the squared
-distance of the expected totals from the targets. A document's step is the inner product of its posterior
-with one vector per step, so what goes through the driver is a number for each domain and step.
-
-The distance is taken in the metric of the domains' own second moments, in which the step size is 1
-whatever the data. Everything is built-in functions.
+``rate * n * p[k]`` expected tokens to domain k; the rates bring the expected totals as near to the targets
+as rates can, by the squared distance. Among rates with the same totals they are those nearest to 1, which
+are 1 less the product of p with one vector, never under the least rate. That vector is found by projected
+gradient in the metric of the second moments of the documents that are not at the least rate, with the
+best of some step sizes, until the gradient is gone. What goes through the driver is a few numbers for
+each pair of domains and step. Everything is built-in functions.
 """
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,13 +26,20 @@ from stratalog.llm.common import lower_ascii, words_of, written
 class Mixture:
     """``train_rows`` labelled documents at most are learnt from, in the order of a hash of the id;
     ``buckets`` is the number of word classes. ``keep_all`` gives no document a rate under 1 and takes
-    the smallest total with which that is possible."""
+    the smallest total with which that is possible. ``nearness`` weighs the squared distance of the rates
+    from 1 against that of the totals from the targets: small enough to decide between equal totals only.
+    """
 
     train_rows: int = 20_000
     buckets: int = 4096
     steps: int = 40
     tolerance: float = 1e-6
     keep_all: bool = False
+    nearness: float = 1e-8
+
+
+#: Parts of a step that are tried at once.
+_PARTS = (1.0, 0.5, 0.25, 0.125, 2.0 ** -4, 2.0 ** -6, 2.0 ** -9, 2.0 ** -13)
 
 
 def _buckets(text: Column, n: int) -> Column:
@@ -89,49 +97,73 @@ def posteriors(docs: DataFrame, prior: np.ndarray, chances: np.ndarray) -> DataF
     return written(rows, "posteriors")
 
 
-def _rate(steps: list[np.ndarray], least: float, k: int) -> Column:
-    """The rate after all steps: from 1, less the product of p with a step, never under ``least``."""
-    if not steps:
-        return F.lit(1.0)
-    moves = F.split(F.lit(",".join(f"{v:.12g}" for step in steps for v in step)), ",").cast(
-        "array<double>")
-    series = F.sequence(F.lit(0), F.lit(len(steps) - 1))
-
-    def after(rate: Column, step: Column) -> Column:
-        move = sum((F.get(F.col("p"), F.lit(i)) * F.get(moves, step * k + i) for i in range(1, k)),
-                   F.get(F.col("p"), F.lit(0)) * F.get(moves, step * k))
-        return F.greatest(F.lit(float(least)), rate - move)
-
-    return F.aggregate(series, F.lit(1.0), after)
+def _along(vector: np.ndarray) -> Column:
+    """1 less the product of p with a vector: the rate before it is held at the least one."""
+    moves = [F.get("p", F.lit(i)) * F.lit(float(v)) for i, v in enumerate(vector)]
+    return F.lit(1.0) - sum(moves[1:], moves[0])
+
+
+def _pieces(rows: DataFrame, vectors: list[np.ndarray], least: float, k: int) -> list[tuple]:
+    """For each vector: (sum of the squares that fall, totals, second moments of rows above ``least``)."""
+    pairs = [(i, j) for i in range(k) for j in range(i + 1)]
+    sums = []
+    for n in range(len(vectors)):
+        free, rate = F.col(f"u{n}") > least, F.greatest(F.col(f"u{n}"), F.lit(least))
+        sums.append(F.sum(F.col("tokens") * rate * (F.col(f"u{n}") - rate / 2)))
+        sums += [F.sum(F.col("tokens") * rate * F.get("p", F.lit(i))) for i in range(k)]
+        sums += [F.sum(F.when(free, F.col("tokens") * F.get("p", F.lit(i)) * F.get("p", F.lit(j)))
+                       .otherwise(0.0)) for i, j in pairs]
+    held = rows.select("tokens", "p", *[_along(v).alias(f"u{n}") for n, v in enumerate(vectors)])
+    got = np.array([v or 0.0 for v in held.agg(*sums).first()], float).reshape(len(vectors), -1)
+    out = []
+    for line in got:
+        moments = np.zeros((k, k))
+        for (i, j), v in zip(pairs, line[1 + k:], strict=True):
+            moments[i, j] = moments[j, i] = v
+        out.append((line[0], line[1:1 + k], moments))
+    return out
 
 
 def fit_rates(members: DataFrame, weights: list[float], mixture: Mixture) -> Column:
     """The rate of a row of ``members`` (tokens, p) as an expression, for domain weights that are
-    normalised to sum 1. Where no rates reach the targets the nearest totals are met."""
+    normalised to sum 1. Where no rates reach the targets the nearest totals are met, and a warning says
+    how far they are; another says so where the steps end before the gradient is gone."""
     k = len(weights)
     share = np.array(weights, float) / sum(weights)
-    pair = [F.sum(F.col("tokens") * F.get("p", F.lit(i)) * F.get("p", F.lit(j)))
-            for i in range(k) for j in range(k)]
-    plain = [F.sum(F.col("tokens") * F.get("p", F.lit(i))) for i in range(k)]
-    sums = np.array([v or 0.0 for v in members.agg(*pair, *plain).first()], float)
-    moments, totals = sums[:k * k].reshape(k, k), sums[k * k:]
-    if not totals.sum():
-        return F.lit(1.0)
     least = 1.0 if mixture.keep_all else 0.0
+    vector = np.zeros(k)
+    # At the vector 0 all rates are 1, and all rows count as free.
+    value, reached, free = _pieces(members, [vector], -1.0, k)[0]
+    tokens = reached.sum()
+    if not tokens:
+        return F.lit(1.0)
     wanted = share > 0
-    scale = (totals[wanted] / share[wanted]).max() if mixture.keep_all else totals.sum()
+    scale = (reached[wanted] / share[wanted]).max() if mixture.keep_all else tokens
     targets = share * scale
-    inverse = np.linalg.pinv(moments, rcond=1e-10, hermitian=True)
-    steps: list[np.ndarray] = []
-    reached = totals
-    for _ in range(mixture.steps):
-        if np.abs(reached - targets).max() <= mixture.tolerance * scale:
+    weight = mixture.nearness * tokens
+
+    def height(value: float, at: np.ndarray) -> float:
+        return value + targets @ at + weight / 2 * (at @ at)
+
+    # The height is convex; its gradient is the gap of the targets with what nearness costs.
+    for left in range(mixture.steps, -1, -1):
+        slope = targets - reached + weight * vector
+        if np.abs(slope).max() <= mixture.tolerance * scale:
+            break
+        if not left:
+            warnings.warn(f"mixing: {mixture.steps} steps left a gradient of "
+                          f"{np.abs(slope).max() / scale:.2g} of all tokens", stacklevel=2)
             break
-        steps.append(inverse @ (reached - targets))
-        rate = _rate(steps, least, k)
-        reached = np.array(members.agg(*[
-            F.sum(rate * F.col("tokens") * F.get("p", F.lit(i))) for i in range(k)]).first(), float)
-    return _rate(steps, least, k)
+        step = np.linalg.solve(free + weight * np.eye(k), slope)
+        tried = [vector - part * step for part in _PARTS]
+        found = _pieces(members, tried, least, k)
+        best = min(range(len(tried)), key=lambda n: height(found[n][0], tried[n]))
+        vector, (value, reached, free) = tried[best], found[best]
+    gap = np.abs(reached - targets).max() / scale
+    if gap > 1e-4:
+        warnings.warn(f"mixing: no rates reach the targets; the nearest totals miss one by {gap:.2g} of all "
+                      "tokens", stacklevel=2)
+    return F.greatest(F.lit(least), _along(vector))
 
 
 def mixed(docs: DataFrame, domains: DataFrame, weights: dict[str, float],

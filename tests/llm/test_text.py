@@ -197,6 +197,40 @@ def test_mixing_meets_its_targets(spark, odd):
     assert {r.rate for r in mixing.mixed(odd, known.limit(0), weights).collect()} != set()
 
 
+def made_members(spark, p, seed=10):
+    tokens = np.random.default_rng(seed).integers(5, 500, len(p))
+    rows = [(int(n), [float(v) for v in line]) for n, line in zip(tokens, p, strict=True)]
+    return tokens, spark.createDataFrame(rows, "tokens bigint, p array<double>")
+
+
+@pytest.mark.parametrize("spread,weights", [([2, 2, 2], [.7, .2, .1]), ([1, 1, 1], [.8, .15, .05])])
+def test_mixing_reaches_targets_that_clamp_many_rates(spark, spread, weights):
+    p = np.random.default_rng(11).dirichlet(spread, 2000)
+    tokens, members = made_members(spark, p)
+    rate = np.array([r[0] for r in members.select(
+        mixing.fit_rates(members, weights, mixing.Mixture())).collect()])
+    assert (rate == 0).mean() > .2
+    gap = (rate * tokens) @ p / tokens.sum() - weights
+    assert abs(gap).max() < 5e-6
+
+
+@pytest.mark.parametrize("spread,weights,keep_all", [
+    ([5, 5, .05], [.2, .2, .6], False), ([2, 6], [.5, .5], True), ([2, 6], [.85, .15], True)])
+def test_mixing_says_how_far_the_nearest_totals_are(spark, spread, weights, keep_all):
+    p = np.random.default_rng(12).dirichlet(spread, 2000)
+    tokens, members = made_members(spark, p)
+    with pytest.warns(UserWarning, match="no rates reach"):
+        rate = mixing.fit_rates(members, weights, mixing.Mixture(keep_all=keep_all))
+    rate = np.array([r[0] for r in members.select(rate).collect()])
+    least, totals = float(keep_all), tokens @ p
+    assert rate.min() >= least
+    targets = np.array(weights) * ((totals / weights).max() if keep_all else tokens.sum())
+    gap = (rate * tokens) @ p - targets
+    # Nearest: no row can go up or, above the least rate, down, and bring the totals nearer.
+    slope = p @ gap / targets.sum()
+    assert slope.min() > -1e-3 and abs((rate - least) * tokens * slope).sum() < 1e-3 * targets.sum()
+
+
 def test_pipeline_stages_keep_their_contract(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns, before = docs.columns, docs.count()
