@@ -100,23 +100,28 @@ def _any_case(word: str) -> str:
 _SPELLED = "(?:" + "|".join(_any_case(word) for word in (*_DIGITS, "oh")) + ")"
 _ITEM = rf"(?:\b{_SPELLED}\b|[0-9]++)"
 _POINT = rf"[ ]*[\[({{]?[ ]*(?:{_any_case('dot')}|{_any_case('point')})[ ]*[\])}}]?[ ]*|\."
-_RUN = re.compile(rf"(?:\b{_any_case('plus')}[ ]+|\+[ ]*)?{_ITEM}(?:(?:[ ,-]{{1,3}}|{_POINT}){_ITEM}){{3,}}")
+_RUN = re.compile(rf"(?:\b{_any_case('plus')}[ ]+|\+[ ]*)?{_ITEM}(?:(?:[ ,-]{{1,3}}|{_POINT}){_ITEM})+")
 _TOKEN = re.compile(rf"{_SPELLED}|[0-9]+|{_any_case('plus')}|\+|{_POINT}|[ ,-]+")
 # Hints are searched in lower case; they may say yes too often, never no where there is a disguise.
 _WORD_HINT = "(?:" + "|".join(_VALUES) + ")"
-_SPELLED_HINT = re.compile(rf"{_WORD_HINT}(?:[ ,-]{{1,3}}|[\[({{ ]+(?:dot|point)|\.)[0-9a-z \])}}]")
+_SPELLED_HINT = re.compile(
+    rf"{_WORD_HINT}(?:[ ,-]{{1,3}}|[\[({{ ]+(?:dot|point)|\.)[0-9a-z \])}}]"
+    rf"|[0-9](?:[ ,-]{{1,3}}|[ ]*[\[({{]?[ ]*(?:dot|point)[ ]*[\])}}]?[ ]*|\.){_WORD_HINT}")
 
 _OPEN, _CLOSE = r"[ ]*[\[({<][ ]*", r"[ ]*[\])}>][ ]*"
 _AT, _DOT = _any_case("at"), _any_case("dot")
 _BRACKET_AT = re.compile(rf"{_OPEN}(?:{_AT}|@){_CLOSE}|&#64;|&commat;")
 _BRACKET_DOT = re.compile(rf"{_OPEN}(?:{_DOT}|\.){_CLOSE}|&#46;|&period;")
 _BARE_DOT, _BARE_AT = rf"[ _]+{_DOT}[ _]+", rf"[ _]+{_AT}[ _]+"
+# A bare at before a figure (at 10.30) is no mark.
+_FIGURE = rf"[0-9.]++(?!{_BARE_DOT}|[A-Za-z0-9-])"
 _BARE = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9.%+-]++(?:{_BARE_DOT}[A-Za-z0-9.%+-]++)*"
-                   rf"(?:@|{_BARE_AT})[A-Za-z0-9-]++(?:(?:\.|{_BARE_DOT})[A-Za-z0-9-]++)+")
+                   rf"(?:@|{_BARE_AT}(?!{_FIGURE}))[A-Za-z0-9-]++(?:(?:\.|{_BARE_DOT})[A-Za-z0-9-]++)+")
 _BARE_MARK = re.compile(rf"({_BARE_AT})|({_BARE_DOT})")
 _NUMBER_DOT = re.compile(rf"(?<=[0-9])[ ]*[\[({{]?[ ]*(?:{_DOT}|{_any_case('point')})[ ]*[\])}}]?[ ]*"
                          r"(?=[0-9])")
-_MARK_HINT = re.compile(r"[\[({<][ ]*(?:at|@|\.)[ ]*[\])}>]|&#64|&#46|&commat|&period")
+_MARK_HINT = re.compile(r"[\[({<][ ]*(?:at|@|\.)[ ]*[\])}>]|&#64|&#46|&commat|&period"
+                        r"|[ _]at[ _]+[a-z0-9-]++\.[a-z0-9-]")
 
 
 def _hints(text: str) -> tuple[bool, bool]:
@@ -158,7 +163,7 @@ class Traced:
 
 
 def _spelled_changes(text: str) -> list[tuple[int, int, str]]:
-    """Spelled digits in runs of four items or more; between digits, marks of the run go."""
+    """Spelled digits in runs of two items or more; between digits, marks of the run go."""
     changes = []
     for run in _RUN.finditer(text):
         tokens = list(_TOKEN.finditer(text, *run.span()))

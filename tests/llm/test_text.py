@@ -117,6 +117,32 @@ def test_disguised_spans_point_into_the_source(text, kind, said):
     assert spans == [(kind, said)]
 
 
+@pytest.mark.parametrize("text,kind,said", [
+    ("write to john at example.com now", "email", "john at example.com"),
+    ("call +1 555 123 45 six now", "phone", "+1 555 123 45 six"),
+    ("from 10.0.0.one now", "ip", "10.0.0.one"),
+    ("pay 4111 1111 1111 111 one now", "card", "4111 1111 1111 111 one"),
+    ("pay 411111111111111 one now", "card", "411111111111111 one"),
+])
+def test_disguises_are_found_without_other_words(text, kind, said):
+    for around in ("", " dot point one two"):
+        spans = [(k, (text + around)[s:e]) for k, s, e, d in private_data.find_spans(text + around) if d]
+        assert (kind, said) in spans
+    assert private_data.find_spans("come at 10.30 or look at 3.5 dots") == []
+
+
+def test_the_gate_passes_over_no_disguise(monkeypatch):
+    rng = random.Random(14)
+    parts = ["one", "Seven", "oh", "1", "555", "10.0.0", "4111", "411111111111111", "+1", "plus", " ", " ",
+             "  ", ".", ",", "-", "@", "at", "AT", "_", " at ", " dot ", "dot", "point", "[", "]", "(", ")",
+             "a", "john", "example.com", "&#64;", "о", "\u200b", "１"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(2, 16))) for _ in range(40000)]
+    gated = [private_data.find_spans(text) for text in texts]
+    monkeypatch.setattr(private_data, "_hints", lambda text: (True, True))
+    for text, spans in zip(texts, gated, strict=True):
+        assert private_data.find_spans(text) == spans, repr(text)
+
+
 def test_private_data_of_odd_rows(odd):
     rows = private_data.private_data(odd).collect()
     assert len(rows) == len(ODD) and all(r.spans == [] for r in rows)
