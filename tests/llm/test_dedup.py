@@ -197,3 +197,22 @@ def test_line_dedup_cuts_passages_that_begin_and_end_mid_sentence(spark):
     got = {r.doc_id: " ".join(r.text.split()) for r in lines.line_dedup(frame).collect()}
     assert got == brute_cut(docs)
     assert len(got[3].split()) == 12 + 41 and len(got[1].split()) == 12 + 24 + 41
+
+
+def test_line_stage_of_the_pipeline_is_brute_force(spark):
+    import corpus_pipeline
+
+    rng = random.Random(15)
+
+    def prose(n):
+        return " ".join(f"w{rng.randrange(99999)}" for _ in range(n))
+
+    passages = [prose(n) for n in (30, 55, 90)]
+    docs = [(i, f"{prose(20)} {passages[i % 3]} {prose(9)}. {passages[(i + 1) % 3]}") for i in range(9)]
+    docs += [(20, docs[4][1]), (21, prose(8))]
+    frame = spark.createDataFrame([(i, text, len(text)) for i, text in docs],
+                                  "doc_id bigint, text string, n_chars bigint")
+    rows = corpus_pipeline.line_dedup_stage(spark, frame, "").collect()
+    want = {i: text for i, text in brute_cut(docs).items() if text}
+    assert {r.doc_id: " ".join(r.text.split()) for r in rows} == want and 20 not in want
+    assert all(r.n_chars == len(r.text) for r in rows)
