@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalog.llm import toxicity
+from stratalog.llm.collocations import collocations
 from stratalog.llm.common import new_folder
+from stratalog.llm.divergence import divergence
 from stratalog.llm.exact_dedup import exact_dedup
 from stratalog.llm.line_dedup import line_dedup
 from stratalog.llm.mixing import mixed
@@ -16,6 +18,7 @@ from stratalog.llm.near_dedup import OP_SETTINGS, near_dedup
 from stratalog.llm.neighbours import nearest
 from stratalog.llm.packing import packed
 from stratalog.llm.private_data import KINDS, private_data, span_text
+from stratalog.llm.sharding import shard_documents
 from stratalog.llm.url_filters import judge_urls, rule_table
 from stratalog.llm.warc import parsed, read_archive, write_archive
 
@@ -160,3 +163,89 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
                   domain_labels(table(spark, sf_dir, "labels")), WEIGHTS)
     shares = [F.get("p", F.lit(i)).alias(f"p_{name}") for i, name in enumerate(WEIGHTS)]
     return rates.select("doc_id", "tokens", *shares, "rate", "copies")
+
+
+@query("op11_sharding")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op12_divergence", r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+w AS (SELECT lang, source, unnest(words) AS term FROM d),
+df AS (SELECT lang, term, count(*) AS docs
+       FROM (SELECT lang, unnest(list_distinct(words)) AS term FROM d) GROUP BY lang, term),
+kept AS (SELECT lang, term FROM df WHERE docs >= 30),
+ls AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, (SELECT count(*) FROM kept k WHERE k.lang = l.lang) AS v
+      FROM (SELECT DISTINCT lang FROM ls) l),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, term, coalesce(n, 0) AS n
+      FROM ls JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+gp AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5))
+         // (sum(n) OVER (PARTITION BY lang, source)::HUGEINT + 5 * v) AS p
+       FROM g JOIN v USING (lang)),
+lt AS (SELECT lang, term, sum(n) AS n FROM g GROUP BY ALL),
+lp AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5))
+         // (sum(n) OVER (PARTITION BY lang)::HUGEINT + 5 * v) AS q
+       FROM lt JOIN v USING (lang)),
+far AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f
+        FROM gp a JOIN gp b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0)::BIGINT AS value
+          FROM ls a JOIN ls b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value
+          FROM gp JOIN lp USING (lang, term) WHERE n > 0 AND p > q),
+every AS (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+SELECT * FROM (
+  SELECT *, (row_number() OVER (PARTITION BY lang, source, part
+                                ORDER BY value DESC, item))::INTEGER AS rank FROM every)
+WHERE part = 'pair' OR rank <= 50""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op13_collocations", r"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece_id, piece FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+words AS (SELECT lang, piece_id, unnest(ws) AS w1, unnest(range(len(ws))) AS i FROM (
+  SELECT lang, piece_id, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'),
+                                     lambda x: x <> '') AS ws FROM pieces)),
+three AS (SELECT lang, w1, lead(w1, 1) OVER p AS w2, lead(w1, 2) OVER p AS w3 FROM words
+          WINDOW p AS (PARTITION BY piece_id ORDER BY i)),
+grams AS (SELECT lang, w1 AS phrase, 1 AS len FROM three
+          UNION ALL SELECT lang, w1 || ' ' || w2, 2 FROM three WHERE w2 IS NOT NULL
+          UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, 3 FROM three WHERE w3 IS NOT NULL),
+f AS (SELECT lang, phrase, len, count(*) AS f FROM grams GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE len = 1 GROUP BY lang),
+cand AS (SELECT lang, phrase, len, f AS a, string_split(phrase, ' ') AS words
+         FROM f WHERE len >= 2 AND f >= 10),
+cuts AS (
+  SELECT lang, phrase, len, a, k, array_to_string(words[1:k], ' ') AS head,
+         array_to_string(words[k + 1:len], ' ') AS tail
+  FROM cand, (VALUES (1), (2)) AS ks(k) WHERE k < len),
+scored AS (
+  SELECT c.lang, c.phrase, c.len, c.a, c.k, x.f AS l, y.f AS r,
+         ((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.head
+  JOIN f y ON y.lang = c.lang AND y.phrase = c.tail),
+least AS (SELECT * FROM scored
+          QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT lang, phrase, max(a) AS within FROM (
+    SELECT lang, a, unnest([array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]) AS phrase
+    FROM cand WHERE len = 3) GROUP BY ALL),
+kept AS (SELECT l.* FROM least l LEFT JOIN inner_ i USING (lang, phrase)
+         WHERE within IS NULL OR len = 3 OR 100 * within < 50 * a)
+SELECT * FROM (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+         phrase, a, l, r, n, score FROM kept JOIN n USING (lang)) WHERE rank <= 2000""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
