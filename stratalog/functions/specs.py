@@ -89,7 +89,8 @@ def spec_rows(page_text: Column) -> Column:
     found = F.transform(F.regexp_extract_all(page_text, F.lit(_ROW), F.lit(0)), _parts)
     found = F.filter(found, lambda r: ~F.lower(r["tag"]).contains("http"))
     found = F.when(page_text.rlike("[gG][bB]"), found).otherwise(F.array().cast(_FOUND))
-    kept = F.arrow_udf(_first_of_each, _FOUND)(found)
+    # Declared as not deterministic so that a filter on the result does not make the choice twice.
+    kept = F.arrow_udf(_first_of_each, _FOUND).asNondeterministic()(found)
     keyed = F.transform(kept, lambda r, i: F.struct(
         F.coalesce(F.nullif(r["gb"], F.lit(0.0)), F.lit(fv.UNSIZED_SORT_KEY)).alias("k"),
         i.alias("i"),

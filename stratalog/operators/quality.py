@@ -2,26 +2,46 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalog import fixed_values as fv
+from stratalog.functions.guarded import Guarded
+
+
+def _shown(field: str) -> Column:
+    """A value as a message shows it: text in quotes, NULL as ``None``."""
+    value = F.col(field)
+    text = F.expr(f"CASE WHEN typeof(`{field}`) = 'string' THEN \"'\" ELSE '' END")
+    return F.coalesce(F.concat(text, value.cast("string"), text), F.lit("None"))
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A boolean SQL condition on one field. NULL counts as failed."""
+    """A boolean condition on one field: SQL, or what builds a guarded expression. NULL counts as failed.
+
+    A guarded condition that fails to be evaluated on a row counts as failed there, with a message of its
+    own that shows the field. SQL is taken as it is: what raises in it ends the job.
+    """
 
     field: str
-    condition: str
+    condition: str | Callable[[], Guarded]
     message: str
 
     def failure(self) -> Column:
-        passed = F.coalesce(F.expr(self.condition), F.lit(False))
-        return F.when(~passed, F.lit(f"{self.field}: {self.message}"))
+        if isinstance(self.condition, str):
+            passed, raised = F.expr(self.condition), F.lit(False)
+        else:
+            guarded = self.condition()
+            passed, raised = guarded.value, guarded.failed
+        # Fixed value: the message of a rule that raises.
+        errored = F.concat(F.lit(f"{self.field}: rule check errored (value="), _shown(self.field),
+                           F.lit(")"))
+        return F.when(raised, errored).when(
+            ~F.coalesce(passed, F.lit(False)), F.lit(f"{self.field}: {self.message}"))
 
 
 def not_null(field: str) -> Rule:

@@ -43,10 +43,13 @@ def test_row_wise_stages_do_not_shuffle(spark, tmp_path):
 
 
 def test_a_page_is_read_by_one_python_pass(spark, tmp_path):
+    """Markup is parsed once; the choice among its specification rows is a step of its own, made once."""
     pages = stored(spark, tmp_path, PAGE_ARCHIVE_SCHEMA)
-    for df in (detail_extract(pages, "run"), html_sections(pages),
+    assert plan(html_sections(pages)).count("ArrowEvalPython") == 1
+    for df in (detail_extract(pages, "run"),
                detail_extract(pages, "run").filter("readme IS NOT NULL AND min_ram_gb > 1")):
-        assert plan(df).count("ArrowEvalPython") == 1
+        steps = re.findall(r"ArrowEvalPython \[([^\]]*)\]", plan(df))
+        assert sorted("html" in step for step in steps) == [False, True], steps
 
 
 def test_listing_reduces_before_the_shuffle(spark, tmp_path):
