@@ -16,7 +16,9 @@ from __future__ import annotations
 
 import base64
 import re
+import sys
 import zlib
+from array import array
 from dataclasses import dataclass
 from functools import reduce
 
@@ -31,7 +33,9 @@ from stratalog.session import ship
 CAPACITY, END_ID, CELL = 2048, 0, 4096
 #: Upper ends of the length ranges, as parts of the capacity.
 RANGES = (2, 8, 32)
-CACHED_WORDS, CACHED_LENGTH = 300_000, 64
+CACHED_WORDS, CACHED_LENGTH = 600_000, 64
+# The one special token of the vocabulary, which is no ordinary text, and its id.
+SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 
 # Fixed value: how the public byte-level vocabulary splits text before it merges bytes.
 SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -63,9 +67,18 @@ class WordTokens:
         self._known: dict[str, bytes] = {}
 
     def _direct(self, text: str) -> bytes:
-        return self._encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        ids = array("I", self._encoding.encode_ordinary(text))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def __call__(self, text: str) -> bytes:
+        if SPECIAL in text:
+            between = SPECIAL_ID.to_bytes(4, "little")
+            return between.join([self._plain(part) if part else b"" for part in text.split(SPECIAL)])
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         first, *parts = text.split(" ")
         if any(not part or part[0].isspace() or part[-1].isspace() for part in (first, *parts)):
             first, *parts = _SINGLE_SPACE.split(text)
@@ -201,8 +214,8 @@ def packed(docs: DataFrame, packing: Packing = Packing()) -> DataFrame:  # noqa:
     sequence_id, offset.
 
     NULL and empty texts have the end mark alone. Rows repeated, and rows with a NULL id, are documents
-    of their own. Strings that look like special tokens are ordinary text. Other columns of ``docs`` are
-    not read. No rows: no rows.
+    of their own. The special token's string becomes its one id, wherever it stands. Other columns of
+    ``docs`` are not read. No rows: no rows.
     """
     pieces = token_pieces(docs, packing)
     return pieces.join(pack(pieces, packing.capacity), "pid").select(

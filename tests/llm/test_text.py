@@ -27,9 +27,7 @@ def tokenizer():
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    made = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(public.path("byte_bpe_50k.json"))
 
 
 def test_word_tokens_are_those_of_the_whole_text():
