@@ -29,6 +29,7 @@ from stratalog.schema import (
     CATALOG_SCHEMA, CONTENT_COLUMNS, CONTENT_SCHEMA, PAGE_ARCHIVE_SCHEMA, RESPONSES_SCHEMA,
     ROLLUP_COLUMNS, SECTIONS_SCHEMA, STATE_SCHEMA,
 )
+from stratalog.sources.digests import change_feed, write_digests
 from stratalog.sources.exports import export_name, read_export, write_export
 from stratalog.sources.snapshots import SnapshotStore, latest_rows
 
@@ -239,7 +240,11 @@ class Refresh:
             )
             self.store.write(RESPONSES, answers, tag=lot_tag)
         merged = merge_answers(self._answers(tag))
-        self.store.write(ENRICHMENT, merged, infer_counts(F.col("ok")), tag)
+        # An item that has gone since it was chosen cannot be written back, so it counts as failed.
+        present = self.state().select("item_key", F.lit(True).alias("_present"))
+        counted = merged.join(present, "item_key", "left").withColumn(
+            "ok", F.col("ok") & F.coalesce("_present", F.lit(False))).drop("_present")
+        self.store.write(ENRICHMENT, counted, infer_counts(F.col("ok")), tag)
         enriched = self.store.read(ENRICHMENT, merged.schema).filter("ok")
         return cat.enrichment_writeback(self.state(), enriched, o.enrich_version)
 
@@ -249,20 +254,44 @@ class Refresh:
         root = f"{self.store.root}/exports/{export_name(o.model_label)}"
         # One series of exports per model label.
         name = f"export/{export_name(o.model_label)}"
+        digests = f"{name}/digests"
         done = self.store.has_tag(name, self.run_ts)
         number = self.store.log(name, self.run_ts)[-1]["version"] - 1 if done else (
             self.store.version(name))
         previous = read_export(self.store.spark, f"{root}/{number:06d}") if number else None
         path = f"{root}/{number + 1:06d}"
         if not done:
-            self.store.announce_export(name, path, write_export(self.catalog(), path), self.run_ts)
+            found = write_export(self.catalog(), path)
+            write_digests(read_export(self.store.spark, path), f"{path}-digests", ignore=["timestamp"])
+            with self.store.together():
+                self.store.announce_export(name, path, found, self.run_ts)
+                self.store.announce_export(digests, f"{path}-digests", {}, self.run_ts)
         stats = self.store.metrics(name, self.run_ts)
-        new = read_export(self.store.spark, path)
-        old = new.limit(0) if previous is None else previous
-        diff = snapshot_diff(new, old).first().asDict()
-        gate = no_change_gate(new, old, ignore=["timestamp"]).first().asDict()
+        feed = self.changes()
+        if feed is not None:
+            kinds = {r["kind"]: r["count"] for r in feed.groupBy("kind").count().collect()}
+            new, removed = kinds.get("added", 0), kinds.get("removed", 0)
+            diff = {"total": stats["total"], "new": new, "common": stats["total"] - new,
+                    "removed": removed}
+            return {"stats": stats, "diff": diff, "changed": kinds.get("changed", 0),
+                    "unchanged": not kinds}
+        # The export before has no digests: both are read.
+        now = read_export(self.store.spark, path)
+        diff = snapshot_diff(now, previous).first().asDict()
+        gate = no_change_gate(now, previous, ignore=["timestamp"]).first().asDict()
         return {"stats": stats, "diff": diff, "unchanged": gate["unchanged"]}
 
+    def changes(self) -> DataFrame | None:
+        """(key, kind, columns) of what this run's export changed against the one before, told from the
+        digests stored with both; the run stamp does not count. None where the one before has none."""
+        name = f"export/{export_name(self.options.model_label)}"
+        own = self.store.log(name, self.run_ts)[-1]["version"]
+        paths = {r["dir"] for r in self.store.log(f"{name}/digests")}
+        base = {r["version"]: f"{r['dir']}-digests" for r in self.store.log(name)}
+        if base[own] not in paths or own > 1 and base[own - 1] not in paths:
+            return None
+        return change_feed(self.store.spark, base[own], base.get(own - 1))
+
     def run(self, listing: DataFrame | None = None, details: DataFrame | None = None) -> dict:
         """All stages in order; with ``dry_run`` nothing after enrichment."""
         o, out = self.options, {}
