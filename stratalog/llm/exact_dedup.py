@@ -174,7 +174,7 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     table gives no rows.
     """
     rows = digest_rows(docs)
-    cut = rows.agg(F.expr("min(doc_id) + (max(doc_id) - min(doc_id)) div 2")).first()[0]
+    cut = rows.agg(F.expr("min(doc_id) div 2 + max(doc_id) div 2")).first()[0]
     old = F.coalesce(F.col("doc_id") <= F.lit(cut).cast("bigint"), F.lit(False))
     groups = resolve(rows.filter(~old), build_index(rows.filter(old)))
     return rows.join(groups, "digest").select(
