@@ -284,9 +284,10 @@ def _owned(buckets: DataFrame, owners: DataFrame) -> DataFrame:
 
 
 def _hub_pairs(owned: DataFrame, seed: int) -> DataFrame:
-    """Each member of a bucket with the bucket's hub, unless they are connected. Every bucket draws its
-    hub anew, so a member of many buckets of one group meets many members of the group."""
-    draw = F.xxhash64("node", "band", F.lit(seed))
+    """Each member of a bucket with the bucket's hub, unless they are connected. All buckets draw alike,
+    so the buckets of one group mostly have one hub and a member meets it once; the next round draws
+    anew."""
+    draw = F.xxhash64("node", F.lit(seed))
     hubs = owned.groupBy("band").agg(F.min_by("node", draw).alias("hub"),
                                      F.min_by("owner", draw).alias("hub_owner"))
     pairs = owned.join(hubs, "band").filter("owner <> hub_owner")
