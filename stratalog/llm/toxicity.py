@@ -113,16 +113,32 @@ class Landmarks:
         return out
 
 
-def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) -> np.ndarray:
-    """Weights of a linear support vector machine with squared hinge loss, by Newton steps."""
-    x = np.column_stack([x, np.ones(len(x), x.dtype)]).astype(np.float64)
-    w, weight = np.zeros(x.shape[1]), weight / weight.sum()
-    penalty = ridge * np.eye(len(w))
+#: Rows of a sum over features that are taken at once.
+BLOCK = 2000
+
+
+def _machine(x: np.ndarray, up: np.ndarray, down: np.ndarray, ridge: float) -> np.ndarray:
+    """Weights of a linear support vector machine with squared hinge loss, by Newton steps.
+
+    A row of ``x`` has the label 1 with the weight ``up`` and -1 with the weight ``down``. The sums over
+    rows are taken block by block, so only ``x`` itself is held whole.
+    """
+    width = x.shape[1] + 1
+    total = up.sum() + down.sum()
+    penalty = ridge * np.eye(width)
     penalty[-1, -1] = 1e-9
+    w = np.zeros(width)
     for _ in range(30):
-        inside = y * (x @ w) < 1
-        part = x[inside] * weight[inside][:, None]
-        new = np.linalg.solve(part.T @ x[inside] + penalty, part.T @ y[inside])
+        square, linear = penalty.copy(), np.zeros(width)
+        for at in range(0, len(x), BLOCK):
+            rows = x[at:at + BLOCK].astype(np.float64)
+            rows = np.column_stack([rows, np.ones(len(rows))])
+            score = rows @ w
+            for label, weight in ((1.0, up[at:at + BLOCK]), (-1.0, down[at:at + BLOCK])):
+                weight = np.where(label * score < 1, weight, 0.0) / total
+                square += (rows * weight[:, None]).T @ rows
+                linear += label * (weight @ rows)
+        new = np.linalg.solve(square, linear)
         if np.allclose(new, w, atol=1e-8):
             break
         w = new
@@ -150,11 +166,11 @@ def fit_words(words: list[str], toxic: np.ndarray, clean: np.ndarray, marks: lis
     values, vectors = np.linalg.eigh((landmarks.weights.T @ landmarks.weights).astype(np.float64))
     good = values > 1e-4 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
-    x = landmarks.kernel(words) @ root
-    y = np.repeat([1.0, -1.0], len(words))
-    weight = np.concatenate([toxic, clean])
-    used = weight > 0
-    w = _machine(np.vstack([x, x])[used], y[used], weight[used], ridge)
+    root32 = root.astype(np.float32)
+    x = np.empty((len(words), root.shape[1]), np.float32)
+    for at in range(0, len(words), BLOCK):
+        x[at:at + BLOCK] = landmarks.kernel(words[at:at + BLOCK]) @ root32
+    w = _machine(x, toxic, clean, ridge)
     weights = np.zeros(TABLE, np.float32)
     weights[landmarks.keys] = landmarks.weights @ (root @ w[:-1])
     return WordModel(weights, float(w[-1]))
