@@ -1,10 +1,14 @@
-"""Line deduplication by runs of words that an earlier document has as well.
-
-Every run of ``block_words`` words that some document with a smaller id holds goes, wherever it begins and
-ends: the words count, not the lines around them. A run is looked up by its own hash, so its first holder
-is a document that has the whole of it. Only runs that can be shared are looked up: a run's anchor is
-the least hash among the shorter runs of words in it, about one in seven of those is an anchor at all,
-and equal runs have equal anchors; a run whose anchor no other document has is passed over.
+"""Line deduplication: documents that share rare pieces of lines are aligned, and what a document has in
+common with an earlier one goes from the later of the two.
+
+1. Candidates. Of the shorter runs of words in each run of ``block_words`` words, the one with the least hash
+   is its anchor; equal runs have equal anchors and about one shorter run in seven is an anchor at all. A text
+   meets others through the anchors it shares, and among those through the runs it shares: each run
+   leads to a document that has the whole of it and a smaller id, however many have it.
+2. Alignment. Runs that follow each other in a text and in its holder make one common block. The blocks
+   of each pair of texts are aligned by patience; those that cross the alignment are aligned anew, until
+   nothing that both have is left.
+3. The aligned blocks go from the later text, word by word: a block may begin and end mid-line.
 
 Words are what white space divides; which white space it is does not count. ``cut_lines`` says what a line
 is where removed lines are counted.
@@ -15,7 +19,7 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
@@ -31,6 +35,8 @@ MIN_WORDS, LONG_WORDS, CUT_ONE_IN = 4, 24, 8
 BLOCK_WORDS = 25
 #: Words whose hashes a task remembers, and words that are hashed in one go.
 HELD_WORDS, CHUNK_WORDS = 1 << 18, 1 << 17
+#: Entries that a task compares and deals at once, and characters of text to a bucket of each kind.
+LOT_ENTRIES, ANCHOR_CHARS, RUN_CHARS = 1 << 18, 1 << 26, 1 << 24
 
 _SENTENCE = re.compile(r"[^\n.!?]*(?:[.!?]+[^\S\n]*\n?|\n|\Z)")
 _WORD = re.compile(r"\S+\s*")
@@ -112,7 +118,7 @@ def _runs(texts: list[str], known: _Hashes, block_words: int):
     """(text numbers, first words, anchors, hashes) of all runs, some texts at a time."""
     parts, numbers, held = [], [], 0
     for number, text in enumerate(texts):
-        words = text.split()
+        words = (text or "").split()
         if len(words) >= block_words:
             parts.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
             numbers.append(number)
@@ -127,41 +133,139 @@ def _runs(texts: list[str], known: _Hashes, block_words: int):
             parts, numbers, held = [], [], 0
 
 
-def _listed(batch: pa.RecordBatch, rows: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
-    """One row for each number in ``rows``, which rise, with its values of the columns as lists."""
-    starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    offsets = pa.array(np.append(starts, len(rows)), pa.int32())
-    ids = [batch.column(name).take(pa.array(rows[starts])) for name in ("doc_id", "text_hash")]
-    return pa.RecordBatch.from_arrays(
-        ids + [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in columns.values()],
-        ["doc_id", "text_hash", *columns])
+def _first_holders(keys: np.ndarray, docs: np.ndarray, *places: np.ndarray):
+    """For each entry the number of the entry that is first by id, then place, among those of its key,
+    and whether the ids of those differ."""
+    order = np.lexsort((*places, docs, keys))
+    new = np.append(True, keys[order][1:] != keys[order][:-1])
+    starts = np.flatnonzero(new)
+    lasts = np.append(starts[1:], len(order)) - 1
+    group = np.cumsum(new) - 1
+    first, several = np.empty(len(order), np.int64), np.empty(len(order), bool)
+    first[order] = order[starts][group]
+    several[order] = (docs[order[starts]] != docs[order[lasts]])[group]
+    return first, several
+
+
+def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = keys.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+
+
+class _Lot:
+    """Entries of a task, dealt to buckets when there are enough.
+
+    An entry whose key an earlier document of the lot has needs no other to tell that it is shared:
+    it goes to a bucket by its document. Only a key's first document in a lot goes to the bucket of the
+    key, so a key that a third of all documents have sends its bucket one document a lot.
+    """
+
+    def __init__(self, names: list[str], buckets: int):
+        self.names, self.buckets, self.parts, self.held = names, buckets, [], 0
+
+    def add(self, keys: np.ndarray, docs: np.ndarray, at: np.ndarray, hashes: np.ndarray):
+        self.parts.append((keys, docs, at, hashes))
+        self.held += len(keys)
+        if self.held >= LOT_ENTRIES:
+            yield self.dealt()
+
+    def rest(self):
+        if self.parts:
+            yield self.dealt()
+
+    def dealt(self) -> pa.RecordBatch:
+        keys, docs, at, hashes = map(np.concatenate, zip(*self.parts, strict=True))
+        self.parts, self.held = [], 0
+        first, several = _first_holders(keys, docs, at)
+        bucket = _bucket_of(np.where(docs[first] < docs, docs, keys), self.buckets)
+        order = np.lexsort((docs, bucket))
+        starts = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0))
+        offsets = pa.array(np.append(starts, len(order)), pa.int32())
+        have = {"keys": keys, "docs": docs, "several": several, "at": at, "hashes": hashes,
+                "holders": docs[first], "holder_at": at[first]}
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(have[name][order])) for name in self.names]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket[order][starts]), *lists], ["bucket", *self.names])
+
+
+_ANCHORS = {"keys": "bigint", "docs": "bigint", "several": "boolean"}
+_RUNS = {"keys": "bigint", "docs": "bigint", "at": "int", "hashes": "bigint", "holders": "bigint",
+         "holder_at": "int"}
+
 
+def _dealt_type(columns: dict[str, str]) -> str:
+    return "bucket bigint, " + ", ".join(f"{name} array<{kind}>" for name, kind in columns.items())
 
-def _anchors(block_words: int):
-    def anchors_of(batches):
-        known = _Hashes()
+
+def _anchor_entries(block_words: int, buckets: int):
+    """Each anchor of each text."""
+
+    def entries_of(batches):
+        known, lot = _Hashes(), _Lot(list(_ANCHORS), buckets)
         for batch in batches:
-            for rows, _, anchors, _ in _runs(batch.column("text").to_pylist(), known, block_words):
+            ids = batch.column("doc_id").to_numpy()
+            for rows, at, anchors, _ in _runs(batch.column("text").to_pylist(), known, block_words):
                 new = np.ones(len(rows), bool)
                 new[1:] = (rows[1:] != rows[:-1]) | (anchors[1:] != anchors[:-1])
-                yield _listed(batch, rows[new], anchors=anchors[new])
+                yield from lot.add(anchors[new], ids[rows[new]], at[new], anchors[new])
+        yield from lot.rest()
 
-    return anchors_of
+    return entries_of
 
 
-def _shared_runs(block_words: int):
-    def runs_of(batches):
-        known = _Hashes()
+def _run_entries(block_words: int, buckets: int):
+    """Each run of a text whose anchor another document has too."""
+
+    def entries_of(batches):
+        known, lot = _Hashes(), _Lot(list(_RUNS), buckets)
         for batch in batches:
-            bounds = batch.column("shared").offsets.to_numpy()
-            shared = batch.column("shared").values.to_numpy()
-            for rows, at, anchors, hashes in _runs(batch.column("text").to_pylist(), known, block_words):
+            ids, hashes = batch.column("key").to_numpy(), batch.column("text_hash").to_numpy()
+            shared = batch.column("shared")
+            bounds, shared = shared.offsets.to_numpy(), shared.values.to_numpy()
+            for rows, at, anchors, runs in _runs(batch.column("text").to_pylist(), known, block_words):
                 # An anchor that one text shares is shared in all texts that have it.
                 keep = np.isin(anchors, shared[bounds[rows[0]]:bounds[rows[-1] + 1]])
                 if keep.any():
-                    yield _listed(batch, rows[keep], at=at[keep], runs=hashes[keep])
+                    yield from lot.add(runs[keep], ids[rows[keep]], at[keep], hashes[rows[keep]])
+        yield from lot.rest()
+
+    return entries_of
+
+
+def _entries(bucket: pa.Table) -> dict[str, np.ndarray]:
+    return {name: bucket.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            for name in bucket.column_names if name != "bucket"}
+
 
-    return runs_of
+def _by_document(docs: np.ndarray, **columns: np.ndarray) -> pa.Table:
+    """One row for each id, with its values of the columns as lists."""
+    order = np.argsort(docs, kind="stable")
+    docs = docs[order]
+    new = np.append(True, docs[1:] != docs[:-1])[:len(docs)]
+    starts = np.flatnonzero(new)
+    offsets = pa.array(np.append(starts, len(docs)), pa.int32())
+    lists = {name: pa.ListArray.from_arrays(offsets, pa.array(v[order])) for name, v in columns.items()}
+    return pa.table({"doc_id": pa.array(docs[starts]), **lists})
+
+
+def _shared_anchors(bucket: pa.Table) -> pa.Table:
+    """(doc_id, anchors): those that documents of several ids have."""
+    entry = _entries(bucket)
+    shared = entry["several"] | _first_holders(entry["keys"], entry["docs"])[1]
+    return _by_document(entry["docs"][shared], anchors=entry["keys"][shared])
+
+
+def _later_runs(bucket: pa.Table) -> pa.Table:
+    """The runs that a document with a smaller id has, each with such a holder and its place there."""
+    entry = _entries(bucket)
+    docs, at = entry["docs"], entry["at"]
+    first, _ = _first_holders(entry["keys"], docs, at)
+    told = entry["holders"] < docs
+    holders = np.where(told, entry["holders"], docs[first])
+    holder_at = np.where(told, entry["holder_at"], at[first])
+    later = holders < docs
+    return _by_document(docs[later], text_hash=entry["hashes"][later], at=at[later],
+                        holder=holders[later], holder_at=holder_at[later])
 
 
 def patience(a: list, b: list) -> list[tuple[int, int]]:
@@ -209,62 +313,103 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return chain[::-1]
 
 
-def _merged(block_words: int):
-    """First words of runs as ranges of words that neither meet nor touch."""
-
-    def merge(batches):
+def aligned(at: np.ndarray, holder: np.ndarray, holder_at: np.ndarray,
+            block_words: int) -> list[tuple[int, int, int, int]]:
+    """(from_word, to_word, holder, holder_from) of the blocks of a text, in its order, from its runs."""
+    order = np.lexsort((holder_at, holder, at))
+    at, holder, holder_at = at[order], holder[order], holder_at[order]
+    new = (np.diff(at) != 1) | (np.diff(holder) != 0) | (np.diff(holder_at) != 1)
+    starts = np.flatnonzero(np.append(True, new))
+    ends = at[np.append(starts[1:], len(at)) - 1] + block_words
+    common = defaultdict(list)
+    for block in zip(at[starts].tolist(), ends.tolist(), holder[starts].tolist(),
+                     holder_at[starts].tolist(), strict=True):
+        common[block[2]].append(block)
+    blocks = []
+    for left in common.values():
+        while left:
+            here = list(range(len(left)))
+            there = sorted(here, key=lambda k: left[k][3])
+            chain = {i for i, _ in patience(here, there)}
+            blocks += [left[i] for i in sorted(chain)]
+            left = [block for i, block in enumerate(left) if i not in chain]
+    return sorted(blocks)
+
+
+_RUN_LISTS = "text_hash array<bigint>, at array<int>, holder array<bigint>, holder_at array<int>"
+_BLOCK = {"text_hash": "bigint", "from_word": "int", "to_word": "int", "holder": "bigint",
+          "holder_from": "int"}
+_BLOCKS = f"array<struct<{', '.join(f'{name}: {kind}' for name, kind in _BLOCK.items())}>>"
+
+
+def _aligned_blocks(block_words: int):
+    """The blocks of each document, from its runs in any number of parts."""
+    kind = pa.list_(pa.struct([(name, pa.int64() if of == "bigint" else pa.int32())
+                               for name, of in _BLOCK.items()]))
+
+    def blocks_of(batches):
         for batch in batches:
-            blocks = []
-            for starts in batch.column("starts").to_pylist():
-                starts = np.unique(starts)
-                first = np.append(True, np.diff(starts) > block_words)
-                last = np.append(first[1:], True)
-                blocks.append([{"from_word": a, "to_word": b + block_words} for a, b in zip(
-                    starts[first].tolist(), starts[last].tolist(), strict=True)])
-            kind = pa.list_(pa.struct([("from_word", pa.int32()), ("to_word", pa.int32())]))
+            found = []
+            for parts in batch.column("parts").to_pylist():
+                texts, *runs = (np.concatenate([part[name] for part in parts])
+                                for name in ("text_hash", "at", "holder", "holder_at"))
+                found.append([
+                    dict(zip(_BLOCK, (text, *block), strict=True))
+                    for text in np.unique(texts).tolist()
+                    for block in aligned(*(values[texts == text] for values in runs), block_words)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(blocks, kind)],
-                ["doc_id", "text_hash", "blocks"])
+                [batch.column("doc_id"), pa.array(found, kind)], ["doc_id", "blocks"])
 
-    return merge
+    return blocks_of
 
 
-def _in_two_documents(rows: DataFrame, key: str) -> DataFrame:
-    """(key, first): keys that documents of several ids have, with the smallest id."""
-    both = rows.groupBy(key).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    return both.filter("first < last").drop("last")
+def _keyed(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """Texts dealt by id, or by the text where there is none. Both joins use all four columns, so that
+    Spark moves the texts once and reads that exchange twice."""
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text"))
+    return docs.select(
+        key.alias("key"), F.xxhash64("text").alias("text_hash"), "text",
+        F.struct(*[c for c in columns if c != "text"]).alias("row")).repartition("key")
 
 
-def repeated_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(doc_id, text_hash, blocks): for each text with runs of words that an earlier document has, the
-    ranges of its words. ``text_hash`` tells texts with one id apart."""
+def _blocks_of(keyed: DataFrame, docs: DataFrame, block_words: int) -> DataFrame:
     ship(docs.sparkSession)
     texts = docs.filter("doc_id IS NOT NULL AND text <> ''").select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    anchors = written(texts.mapInArrow(
-        _anchors(block_words), "doc_id bigint, text_hash bigint, anchors array<bigint>"), "anchors")
-    rows = anchors.select("doc_id", "text_hash", F.explode("anchors").alias("anchor"))
-    shared = rows.join(_in_two_documents(rows, "anchor").select("anchor"), "anchor").groupBy(
-        "doc_id", "text_hash").agg(F.collect_list("anchor").alias("shared"))
-    lists = written(texts.join(shared, ["doc_id", "text_hash"]).mapInArrow(
-        _shared_runs(block_words),
-        "doc_id bigint, text_hash bigint, at array<int>, runs array<bigint>"), "runs")
-    runs = lists.select("doc_id", "text_hash", "at", F.posexplode("runs").alias("k", "run")).select(
-        "doc_id", "text_hash", F.get("at", F.col("k")).alias("at"), "run")
-    firsts = _in_two_documents(runs, "run")
-    later = runs.join(firsts, "run").filter("first < doc_id")
-    return later.groupBy("doc_id", "text_hash").agg(F.collect_list("at").alias("starts")).mapInArrow(
-        _merged(block_words),
-        "doc_id bigint, text_hash bigint, blocks array<struct<from_word: int, to_word: int>>")
+        F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    chars = texts.agg(F.sum(F.length("text").cast("bigint"))).first()[0] or 0
+    shared = written(
+        texts.mapInArrow(_anchor_entries(block_words, chars // ANCHOR_CHARS + 1), _dealt_type(_ANCHORS))
+        .groupBy("bucket").applyInArrow(_shared_anchors, "doc_id bigint, anchors array<bigint>")
+        .groupBy("doc_id").agg(F.flatten(F.collect_list("anchors")).alias("shared")), "anchors")
+    runs = keyed.join(shared.withColumnRenamed("doc_id", "key"), "key").select(
+        "key", "text_hash", "text", "shared", F.length(F.col("row").cast("string")).alias("_used"))
+    later = (
+        runs.mapInArrow(_run_entries(block_words, chars // RUN_CHARS + 1), _dealt_type(_RUNS))
+        .groupBy("bucket").applyInArrow(_later_runs, f"doc_id bigint, {_RUN_LISTS}"))
+    parts = F.collect_list(F.struct("text_hash", "at", "holder", "holder_at")).alias("parts")
+    return later.groupBy("doc_id").agg(parts).mapInArrow(
+        _aligned_blocks(block_words), f"doc_id bigint, blocks {_BLOCKS}")
+
+
+def aligned_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(doc_id, blocks): for each document that has runs of words of an earlier one, its aligned blocks:
+    ``text_hash`` tells texts with one id apart, ``from_word`` to ``to_word`` is the range of words that
+    goes, and ``holder`` has the same words from ``holder_from`` on. Blocks may overlap."""
+    return _blocks_of(_keyed(docs, ["doc_id", "text"]), docs, block_words)
 
 
 def without_words(text: str, blocks: list[tuple[int, int]]) -> tuple[str, int]:
-    """A text without ranges of its words, and how many of its lines are cut wholly or in part.
-    White space goes with the word before it, and with the first word where none is before."""
+    """A text without ranges of its words, in order of their first words, and how many of its lines are
+    cut wholly or in part. White space goes with the word before it, and with the first word where none
+    is before."""
     bounds = [match.start() for match in _WORD.finditer(text)] + [len(text)]
     bounds[0] = 0
-    gone = [(bounds[a], bounds[b]) for a, b in blocks]
-    kept, at = [], 0
+    gone, kept, at = [], [], 0
+    for first, last in blocks:
+        if gone and bounds[first] <= gone[-1][1]:
+            gone[-1] = (gone[-1][0], max(gone[-1][1], bounds[last]))
+        else:
+            gone.append((bounds[first], bounds[last]))
     for start, end in gone:
         kept.append(text[at:start])
         at = end
@@ -293,15 +438,17 @@ def line_dedup(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     Other columns are passed on whatever their names; one called ``removed_lines`` is replaced. No
     rows: no rows.
     """
-    blocks = repeated_blocks(docs, block_words)
     kept = [c for c in docs.columns if c != "removed_lines"]
-    rows = docs.select(F.struct(*kept).alias("row"), F.col("doc_id"),
-                       F.xxhash64("text").alias("text_hash"))
-    both = rows.join(blocks, ["doc_id", "text_hash"], "left")
+    keyed = _keyed(docs, kept)
+    blocks = _blocks_of(keyed, docs, block_words).withColumnRenamed("doc_id", "key")
+    of_text = F.filter("blocks", lambda b: b["text_hash"] == F.col("text_hash"))
+    hit = F.col("row.doc_id").isNotNull() & (F.size("blocks") > 0)
+    both = keyed.join(blocks, "key", "left").withColumn("blocks", of_text)
     cut = F.pandas_udf(_without, "text string, lines int")
-    hit = F.col("blocks").isNotNull()
-    both = both.withColumn("cut", cut(F.when(hit, F.col("row.text")), "blocks"))
-    text = F.when(hit, F.col("cut.text")).otherwise(F.col("row.text"))
+    both = both.withColumn("hit", hit).withColumn("cut", cut(
+        F.when(F.col("hit"), F.col("text")),
+        F.transform("blocks", lambda b: F.struct(b["from_word"], b["to_word"]))))
+    text = F.when(F.col("hit"), F.col("cut.text")).otherwise(F.col("text"))
     return both.select(
         *[text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in kept],
-        F.when(hit, F.col("cut.lines")).otherwise(0).alias("removed_lines"))
+        F.when(F.col("hit"), F.col("cut.lines")).otherwise(0).alias("removed_lines"))

@@ -216,3 +216,45 @@ def test_line_stage_of_the_pipeline_is_brute_force(spark):
     want = {i: text for i, text in brute_cut(docs).items() if text}
     assert {r.doc_id: " ".join(r.text.split()) for r in rows} == want and 20 not in want
     assert all(r.n_chars == len(r.text) for r in rows)
+
+
+def test_aligned_blocks_are_equal_words_of_an_earlier_text(spark, monkeypatch):
+    """Also where a passage is in a third of all texts, blocks cross, and lots are small."""
+    monkeypatch.setattr(lines, "LOT_ENTRIES", 64)
+    rng = random.Random(8)
+
+    def prose(n):
+        return [rng.choice("abcdefghij") + str(rng.randrange(4000)) for _ in range(n)]
+
+    hot, a, b = prose(60), prose(40), prose(30)
+    docs = [(i, " ".join(prose(30) + (hot if i % 3 == 0 else prose(20)) + prose(10))) for i in range(60)]
+    docs += [(100, " ".join(a + prose(5) + b)), (101, " ".join(b + prose(9) + a)), (102, "same " * 300)]
+    docs += [(103, "same " * 200), (103, " ".join(a)), (None, " ".join(hot)), (104, None), (105, "")]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    words = {}
+    for i, text in docs:
+        words.setdefault(i, []).append((text or "").split())
+    found = lines.aligned_blocks(frame).collect()
+    assert {r.doc_id for r in found} == {*range(3, 60, 3), 101, 103}
+    for row in found:
+        for block in row.blocks:
+            n = block.to_word - block.from_word
+            assert block.holder < row.doc_id and n >= lines.BLOCK_WORDS
+            said = {tuple(w[block.from_word:block.to_word]) for w in words[row.doc_id]}
+            assert said & {tuple(w[block.holder_from:block.holder_from + n]) for w in words[block.holder]}
+    single = [(i, t) for i, t in docs if i not in (None, 103)]
+    got = {r.doc_id: " ".join((r.text or "").split()) for r in lines.line_dedup(frame).collect()}
+    want = brute_cut([(i, t or "") for i, t in single])
+    assert {i: got[i] for i in want} == want
+
+
+def test_line_dedup_moves_texts_once(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    rng = random.Random(1)
+    text = " ".join(str(rng.random()) for _ in range(40))
+    spark.createDataFrame([(1, text, "x"), (2, text, "y")], "doc_id int, text string, lang string"
+                          ).write.parquet(path)
+    cut = lines.line_dedup(spark.read.parquet(path))
+    assert sorted(r.removed_lines > 0 for r in cut.collect()) == [False, True]
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan.split("== Initial Plan ==")[0], plan
