@@ -20,6 +20,7 @@ import re
 import zlib
 from bisect import bisect_left
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -42,24 +43,56 @@ _SENTENCE = re.compile(r"[^\n.!?]*(?:[.!?]+[^\S\n]*\n?|\n|\Z)")
 _WORD = re.compile(r"\S+\s*")
 
 
-def cut_lines(text: str) -> list[tuple[str, int]]:
-    """(line, words) in order; the lines run together are the text."""
-    lines, held, held_words = [], "", 0
+def _sentences(text: str) -> Iterator[tuple[str, int]]:
+    """(line, words) in order, before long lines are cut."""
+    held, held_words = "", 0
     for match in _SENTENCE.finditer(text):
         part = match.group()
         if not part:
             continue
         held += part
         held_words += len(part.split())
-        if held_words < MIN_WORDS and not part.endswith("\n"):
-            continue
-        lines.extend(_cut_long(held) if held_words > LONG_WORDS else [(held, held_words)])
-        held, held_words = "", 0
+        if held_words >= MIN_WORDS or part.endswith("\n"):
+            yield held, held_words
+            held, held_words = "", 0
     if held:
-        lines.append((held, held_words))
+        yield held, held_words
+
+
+def cut_lines(text: str) -> list[tuple[str, int]]:
+    """(line, words) in order; the lines run together are the text."""
+    lines = []
+    for line, words in _sentences(text):
+        lines.extend(_cut_long(line) if words > LONG_WORDS else [(line, words)])
     return lines
 
 
+def _touched_lines(text: str, gone: list[tuple[int, int]]) -> int:
+    """How many lines of a text have characters in ranges, which rise. Lines without are not cut on."""
+    touched, at, k = 0, 0, 0
+    for sentence, words in _sentences(text):
+        end = at + len(sentence)
+        while k < len(gone) and gone[k][1] <= at:
+            k += 1
+        if k < len(gone) and gone[k][0] < end:
+            for line, _ in _cut_long(sentence) if words > LONG_WORDS else [(sentence, words)]:
+                while k < len(gone) and gone[k][1] <= at:
+                    k += 1
+                touched += k < len(gone) and gone[k][0] < at + len(line)
+                at += len(line)
+        at = end
+    return touched
+
+
+_SPACES = np.array([chr(code).isspace() for code in range(0x3002)])
+
+
+def _word_starts(text: str) -> np.ndarray:
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    white = _SPACES[np.minimum(codes, len(_SPACES) - 1)]
+    return np.flatnonzero(~white & np.append(True, white[:-1]))
+
+
 def _cut_long(line: str) -> list[tuple[str, int]]:
     parts, start, count = [], 0, 0
     for match in _WORD.finditer(line):
@@ -133,18 +166,20 @@ def _runs(texts: list[str], known: _Hashes, block_words: int):
             parts, numbers, held = [], [], 0
 
 
-def _first_holders(keys: np.ndarray, docs: np.ndarray, *places: np.ndarray):
-    """For each entry the number of the entry that is first by id, then place, among those of its key,
-    and whether the ids of those differ."""
-    order = np.lexsort((*places, docs, keys))
-    new = np.append(True, keys[order][1:] != keys[order][:-1])
-    starts = np.flatnonzero(new)
-    lasts = np.append(starts[1:], len(order)) - 1
-    group = np.cumsum(new) - 1
-    first, several = np.empty(len(order), np.int64), np.empty(len(order), bool)
-    first[order] = order[starts][group]
-    several[order] = (docs[order[starts]] != docs[order[lasts]])[group]
-    return first, several
+def _first_holders(keys: np.ndarray, docs: np.ndarray, at: np.ndarray | None = None):
+    """(least id, its least place, largest id) among the entries of each entry's key."""
+    order = np.argsort(keys)
+    starts = np.flatnonzero(np.append(True, np.diff(keys[order]) != 0)[:len(order)])
+    if not len(order):
+        return docs, at, docs
+    group = np.empty(len(order), np.int64)
+    group[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
+    least = np.minimum.reduceat(docs[order], starts)[group]
+    most = np.maximum.reduceat(docs[order], starts)[group]
+    if at is not None:
+        placed = np.where(docs == least, at, np.iinfo(at.dtype).max)
+        at = np.minimum.reduceat(placed[order], starts)[group]
+    return least, at, most
 
 
 def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -157,15 +192,15 @@ class _Lot:
 
     An entry whose key an earlier document of the lot has needs no other to tell that it is shared:
     it goes to a bucket by its document. Only a key's first document in a lot goes to the bucket of the
-    key, so a key that a third of all documents have sends its bucket one document a lot.
+    key's anchor, so a key that a third of all documents have sends its bucket one document a lot.
     """
 
     def __init__(self, names: list[str], buckets: int):
         self.names, self.buckets, self.parts, self.held = names, buckets, [], 0
 
-    def add(self, keys: np.ndarray, docs: np.ndarray, at: np.ndarray, hashes: np.ndarray):
-        self.parts.append((keys, docs, at, hashes))
-        self.held += len(keys)
+    def add(self, *entries: np.ndarray):
+        self.parts.append(entries)
+        self.held += len(entries[0])
         if self.held >= LOT_ENTRIES:
             yield self.dealt()
 
@@ -174,18 +209,22 @@ class _Lot:
             yield self.dealt()
 
     def dealt(self) -> pa.RecordBatch:
-        keys, docs, at, hashes = map(np.concatenate, zip(*self.parts, strict=True))
+        keys, docs, anchors, *runs = map(np.concatenate, zip(*self.parts, strict=True))
         self.parts, self.held = [], 0
-        first, several = _first_holders(keys, docs, at)
-        bucket = _bucket_of(np.where(docs[first] < docs, docs, keys), self.buckets)
-        order = np.lexsort((docs, bucket))
-        starts = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0))
+        at, hashes = runs or (None, None)
+        holders, holder_at, most = _first_holders(keys, docs, at)
+        bucket = _bucket_of(np.where(holders < docs, docs, anchors), self.buckets)
+        if self.buckets <= 1 << 16:
+            bucket = bucket.astype(np.uint16)  # sorted by radix
+        order = np.argsort(bucket, kind="stable")
+        bucket = bucket[order].astype(np.int64)
+        starts = np.flatnonzero(np.append(True, np.diff(bucket) != 0))
         offsets = pa.array(np.append(starts, len(order)), pa.int32())
-        have = {"keys": keys, "docs": docs, "several": several, "at": at, "hashes": hashes,
-                "holders": docs[first], "holder_at": at[first]}
+        have = {"keys": keys, "docs": docs, "several": holders < most, "at": at, "hashes": hashes,
+                "holders": holders, "holder_at": holder_at}
         lists = [pa.ListArray.from_arrays(offsets, pa.array(have[name][order])) for name in self.names]
         return pa.RecordBatch.from_arrays(
-            [pa.array(bucket[order][starts]), *lists], ["bucket", *self.names])
+            [pa.array(bucket[starts]), *lists], ["bucket", *self.names])
 
 
 _ANCHORS = {"keys": "bigint", "docs": "bigint", "several": "boolean"}
@@ -204,10 +243,10 @@ def _anchor_entries(block_words: int, buckets: int):
         known, lot = _Hashes(), _Lot(list(_ANCHORS), buckets)
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
-            for rows, at, anchors, _ in _runs(batch.column("text").to_pylist(), known, block_words):
+            for rows, _, anchors, _ in _runs(batch.column("text").to_pylist(), known, block_words):
                 new = np.ones(len(rows), bool)
                 new[1:] = (rows[1:] != rows[:-1]) | (anchors[1:] != anchors[:-1])
-                yield from lot.add(anchors[new], ids[rows[new]], at[new], anchors[new])
+                yield from lot.add(anchors[new], ids[rows[new]], anchors[new])
         yield from lot.rest()
 
     return entries_of
@@ -226,7 +265,8 @@ def _run_entries(block_words: int, buckets: int):
                 # An anchor that one text shares is shared in all texts that have it.
                 keep = np.isin(anchors, shared[bounds[rows[0]]:bounds[rows[-1] + 1]])
                 if keep.any():
-                    yield from lot.add(runs[keep], ids[rows[keep]], at[keep], hashes[rows[keep]])
+                    yield from lot.add(
+                        runs[keep], ids[rows[keep]], anchors[keep], at[keep], hashes[rows[keep]])
         yield from lot.rest()
 
     return entries_of
@@ -251,21 +291,52 @@ def _by_document(docs: np.ndarray, **columns: np.ndarray) -> pa.Table:
 def _shared_anchors(bucket: pa.Table) -> pa.Table:
     """(doc_id, anchors): those that documents of several ids have."""
     entry = _entries(bucket)
-    shared = entry["several"] | _first_holders(entry["keys"], entry["docs"])[1]
+    least, _, most = _first_holders(entry["keys"], entry["docs"])
+    shared = entry["several"] | (least < most)
     return _by_document(entry["docs"][shared], anchors=entry["keys"][shared])
 
 
-def _later_runs(bucket: pa.Table) -> pa.Table:
-    """The runs that a document with a smaller id has, each with such a holder and its place there."""
-    entry = _entries(bucket)
-    docs, at = entry["docs"], entry["at"]
-    first, _ = _first_holders(entry["keys"], docs, at)
-    told = entry["holders"] < docs
-    holders = np.where(told, entry["holders"], docs[first])
-    holder_at = np.where(told, entry["holder_at"], at[first])
-    later = holders < docs
-    return _by_document(docs[later], text_hash=entry["hashes"][later], at=at[later],
-                        holder=holders[later], holder_at=holder_at[later])
+def _joined(texts: np.ndarray, starts: np.ndarray, ends: np.ndarray, holders: np.ndarray,
+            holder_starts: np.ndarray) -> list[np.ndarray]:
+    """The same columns with ranges that go on in both texts made one, by text."""
+    if not len(texts):
+        return [texts, starts, ends, holders, holder_starts]
+    shift = holder_starts.astype(np.int64) - starts
+    order = np.lexsort((starts, shift, holders, texts))
+    texts, starts, ends, holders, holder_starts, shift = (
+        values[order] for values in (texts, starts, ends, holders, holder_starts, shift))
+    first = np.flatnonzero(np.append(True, (
+        np.diff(texts) != 0) | (np.diff(holders) != 0) | (np.diff(shift) != 0) | (starts[1:] > ends[:-1])))
+    return [texts[first], starts[first], np.maximum.reduceat(ends, first), holders[first],
+            holder_starts[first]]
+
+
+def _common_ranges(block_words: int):
+    """The ranges of words that a document with a smaller id has, each with a holder and its place
+    there. The runs of an anchor are in one bucket, so a range is many runs."""
+
+    def ranges_of(bucket: pa.Table) -> pa.Table:
+        entry = _entries(bucket)
+        docs, at = entry["docs"], entry["at"]
+        least, least_at, _ = _first_holders(entry["keys"], docs, at)
+        told = entry["holders"] < docs
+        holders = np.where(told, entry["holders"], least)
+        holder_at = np.where(told, entry["holder_at"], least_at)
+        later = np.flatnonzero(holders < docs)
+        later = later[np.argsort(docs[later], kind="stable")]
+        # Texts get numbers, so that ranges of two of them are never joined.
+        docs, at = docs[later], at[later]
+        numbers = np.cumsum(np.append(True, np.diff(docs) != 0)[:len(docs)]) - 1
+        hashes = entry["hashes"][later]
+        _, texts = np.unique(np.stack([numbers, hashes]), axis=1, return_inverse=True)
+        texts = texts.reshape(-1)
+        doc_of, hash_of = np.empty((2, len(docs)), np.int64)
+        doc_of[texts], hash_of[texts] = docs, hashes
+        texts, *ranges = _joined(texts, at, at + np.int32(block_words), holders[later], holder_at[later])
+        out = [doc_of[texts], hash_of[texts], *ranges]
+        return pa.table(dict(zip(["doc_id", *_BLOCK], out, strict=True)))
+
+    return ranges_of
 
 
 def patience(a: list, b: list) -> list[tuple[int, int]]:
@@ -313,17 +384,12 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return chain[::-1]
 
 
-def aligned(at: np.ndarray, holder: np.ndarray, holder_at: np.ndarray,
-            block_words: int) -> list[tuple[int, int, int, int]]:
-    """(from_word, to_word, holder, holder_from) of the blocks of a text, in its order, from its runs."""
-    order = np.lexsort((holder_at, holder, at))
-    at, holder, holder_at = at[order], holder[order], holder_at[order]
-    new = (np.diff(at) != 1) | (np.diff(holder) != 0) | (np.diff(holder_at) != 1)
-    starts = np.flatnonzero(np.append(True, new))
-    ends = at[np.append(starts[1:], len(at)) - 1] + block_words
+def aligned(ranges: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """The common ranges (from_word, to_word, holder, holder_from) of a text, in the order they are aligned
+    in: for each holder the longest series that rises in both texts, then what crosses it, and so on
+    until none is left."""
     common = defaultdict(list)
-    for block in zip(at[starts].tolist(), ends.tolist(), holder[starts].tolist(),
-                     holder_at[starts].tolist(), strict=True):
+    for block in ranges:
         common[block[2]].append(block)
     blocks = []
     for left in common.values():
@@ -333,34 +399,38 @@ def aligned(at: np.ndarray, holder: np.ndarray, holder_at: np.ndarray,
             chain = {i for i, _ in patience(here, there)}
             blocks += [left[i] for i in sorted(chain)]
             left = [block for i, block in enumerate(left) if i not in chain]
-    return sorted(blocks)
+    return blocks
 
 
-_RUN_LISTS = "text_hash array<bigint>, at array<int>, holder array<bigint>, holder_at array<int>"
 _BLOCK = {"text_hash": "bigint", "from_word": "int", "to_word": "int", "holder": "bigint",
           "holder_from": "int"}
 _BLOCKS = f"array<struct<{', '.join(f'{name}: {kind}' for name, kind in _BLOCK.items())}>>"
 
 
-def _aligned_blocks(block_words: int):
-    """The blocks of each document, from its runs in any number of parts."""
+def _aligned_blocks(batches):
+    """The blocks of each document, from its common ranges in any order."""
     kind = pa.list_(pa.struct([(name, pa.int64() if of == "bigint" else pa.int32())
                                for name, of in _BLOCK.items()]))
-
-    def blocks_of(batches):
-        for batch in batches:
-            found = []
-            for parts in batch.column("parts").to_pylist():
-                texts, *runs = (np.concatenate([part[name] for part in parts])
-                                for name in ("text_hash", "at", "holder", "holder_at"))
-                found.append([
-                    dict(zip(_BLOCK, (text, *block), strict=True))
-                    for text in np.unique(texts).tolist()
-                    for block in aligned(*(values[texts == text] for values in runs), block_words)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found, kind)], ["doc_id", "blocks"])
-
-    return blocks_of
+    for batch in batches:
+        parts = batch.column("parts")
+        counts = np.diff(parts.offsets.to_numpy())
+        values = parts.flatten()
+        hashes, *ranges = (values.field(name).to_numpy() for name in _BLOCK)
+        rows = np.repeat(np.arange(len(counts)), counts)
+        _, texts = np.unique(np.stack([rows, hashes]), axis=1, return_inverse=True)
+        texts = texts.reshape(-1)
+        row_of, hash_of = np.empty((2, len(texts)), np.int64)
+        row_of[texts], hash_of[texts] = rows, hashes
+        texts, *ranges = _joined(texts, *ranges)
+        found: list[list] = [[] for _ in counts]
+        bounds = np.flatnonzero(np.append(True, np.diff(texts) != 0)[:len(texts)])
+        every = list(zip(*(column.tolist() for column in ranges), strict=True))
+        for start, end in zip(bounds, np.append(bounds[1:], len(texts)), strict=True):
+            text = int(hash_of[texts[start]])
+            found[row_of[texts[start]]] += [
+                dict(zip(_BLOCK, (text, *block), strict=True)) for block in sorted(aligned(every[start:end]))]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(found, kind)], ["doc_id", "blocks"])
 
 
 def _keyed(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -383,12 +453,14 @@ def _blocks_of(keyed: DataFrame, docs: DataFrame, block_words: int) -> DataFrame
         .groupBy("doc_id").agg(F.flatten(F.collect_list("anchors")).alias("shared")), "anchors")
     runs = keyed.join(shared.withColumnRenamed("doc_id", "key"), "key").select(
         "key", "text_hash", "text", "shared", F.length(F.col("row").cast("string")).alias("_used"))
-    later = (
+    ranges = (
         runs.mapInArrow(_run_entries(block_words, chars // RUN_CHARS + 1), _dealt_type(_RUNS))
-        .groupBy("bucket").applyInArrow(_later_runs, f"doc_id bigint, {_RUN_LISTS}"))
-    parts = F.collect_list(F.struct("text_hash", "at", "holder", "holder_at")).alias("parts")
-    return later.groupBy("doc_id").agg(parts).mapInArrow(
-        _aligned_blocks(block_words), f"doc_id bigint, blocks {_BLOCKS}")
+        .groupBy("bucket").applyInArrow(
+            _common_ranges(block_words), "doc_id bigint, " + ", ".join(
+                f"{name} {kind}" for name, kind in _BLOCK.items())))
+    parts = F.collect_list(F.struct(*_BLOCK)).alias("parts")
+    return ranges.groupBy("doc_id").agg(parts).mapInArrow(
+        _aligned_blocks, f"doc_id bigint, blocks {_BLOCKS}")
 
 
 def aligned_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -402,8 +474,7 @@ def without_words(text: str, blocks: list[tuple[int, int]]) -> tuple[str, int]:
     """A text without ranges of its words, in order of their first words, and how many of its lines are
     cut wholly or in part. White space goes with the word before it, and with the first word where none
     is before."""
-    bounds = [match.start() for match in _WORD.finditer(text)] + [len(text)]
-    bounds[0] = 0
+    bounds = [0, *_word_starts(text)[1:].tolist(), len(text)]
     gone, kept, at = [], [], 0
     for first, last in blocks:
         if gone and bounds[first] <= gone[-1][1]:
@@ -413,12 +484,7 @@ def without_words(text: str, blocks: list[tuple[int, int]]) -> tuple[str, int]:
     for start, end in gone:
         kept.append(text[at:start])
         at = end
-    ends = np.cumsum([len(line) for line, _ in cut_lines(text)])
-    touched = np.zeros(len(ends) + 1, int)
-    for start, end in gone:
-        touched[np.searchsorted(ends, start, "right")] += 1
-        touched[np.searchsorted(ends, end, "left") + 1] -= 1
-    return "".join([*kept, text[at:]]), int((np.cumsum(touched) > 0).sum())
+    return "".join([*kept, text[at:]]), _touched_lines(text, gone)
 
 
 def _without(texts: pd.Series, blocks: pd.Series) -> pd.DataFrame:
