@@ -118,8 +118,54 @@ _FIGURE = rf"[0-9.]++(?!{_BARE_DOT}|[A-Za-z0-9-])"
 _BARE = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9.%+-]++(?:{_BARE_DOT}[A-Za-z0-9.%+-]++)*"
                    rf"(?:@|{_BARE_AT}(?!{_FIGURE}))[A-Za-z0-9-]++(?:(?:\.|{_BARE_DOT})[A-Za-z0-9-]++)+")
 _BARE_MARK = re.compile(rf"({_BARE_AT})|({_BARE_DOT})")
-_NUMBER_DOT = re.compile(rf"(?<=[0-9])[ ]*[\[({{]?[ ]*(?:{_DOT}|{_any_case('point')})[ ]*[\])}}]?[ ]*"
-                         r"(?=[0-9])")
+_POINTS = rf"(?:{_DOT}|{_any_case('point')})"
+# A dot in brackets between figures is one wherever it stands; one in words only where no plain point is
+# beside the figures: versions and sections are written like that.
+_NUMBER_DOT = re.compile(rf"(?<=[0-9])[ ]*[\[({{][ ]*{_POINTS}[ ]*[\])}}][ ]*(?=[0-9])")
+_NUMBER_RUN = re.compile(rf"(?<![0-9.])[0-9]++(?:[ ]*{_POINTS}[ ]*[0-9]++)+(?!\.[0-9])")
+_NUMBER_MARK = re.compile(rf"[ ]*{_POINTS}[ ]*")
+
+# Last labels that a name with a bare at and plain dots may end in, words before such an at
+# that are no names, words that announce an address, and those that announce a version.
+_LAST_LABELS = frozenset(
+    "com org net edu gov io co uk de fr es it nl eu us ca au ch at be br cn dk fi in info jp mx no nz pl "
+    "pt ru se dev app example test".split())
+_NO_NAMES = frozenset(
+    "a all also am an and are arrive arrived at available back be begin begins bought but buy call chat check "
+    "click come contact day down email ends file files find found free go had has have he her here hers him "
+    "his home host hosted i in info is it its join live lives located look looked looking looks mail me "
+    "meet meeting met more my new news not now off on online only open or order our ours out page pages point "
+    "points post posted price published purchase purchased reach read register request sale sell she shop "
+    "sign site sold start starts stay stop store stored talk that the their theirs them there these they "
+    "this those time times today together up us version via visit was we website week were which who will "
+    "work worked working works write you your yours".split())
+_CUE = re.compile(r"(?i)\b(?:e-?mails?|mails?|contact|write|reach|address(?:es)?|message|ping|send)"
+                  r"(?:[ :,(]+(?:to|me|us|is|are|him|her|them))*[ :,(]+\Z")
+_VERSION = re.compile(r"(?i)\b(?:versions?|releases?|sections?|chapters?|v)[ .]*\Z")
+#: Characters before a name or number in which an announcing word is looked for.
+_NEAR = 40
+
+
+def _is_name(text: str, match: re.Match) -> bool:
+    """Whether what stands before a bare at is a name, and what follows it an address.
+
+    With a dot in words, any but a common word is. With plain dots alone, which end sentences as well,
+    the last label must be a known one in small letters, and the name have a figure or mark in it or an
+    announcing word right before it.
+    """
+    said, marks = match.group(), list(_BARE_MARK.finditer(match.group()))
+    at = next((mark for mark in marks if mark.group(1)), None)
+    if at is None:
+        return True
+    name = said[:at.start()]
+    if name.lower() in _NO_NAMES:
+        return False
+    if any(mark.group(2) for mark in marks):
+        return True
+    return said[said.rfind(".") + 1:] in _LAST_LABELS and (
+        not name.isalpha() or _CUE.search(text, max(0, match.start() - _NEAR), match.start()) is not None)
+
+
 _MARK_HINT = re.compile(r"[\[({<][ ]*(?:at|@|\.)[ ]*[\])}>]|&#64|&#46|&commat|&period"
                         r"|[ _]at[ _]+[a-z0-9-]++\.[a-z0-9-]")
 
@@ -169,6 +215,8 @@ def _spelled_changes(text: str) -> list[tuple[int, int, str]]:
         tokens = list(_TOKEN.finditer(text, *run.span()))
         if not any(token.group().lower() in _VALUES for token in tokens):
             continue
+        if _VERSION.search(text, max(0, run.start() - _NEAR), run.start()):
+            continue
         for k, token in enumerate(tokens):
             said = token.group()
             word = said.strip(" [](){}").lower()
@@ -186,10 +234,17 @@ def _spelled_changes(text: str) -> list[tuple[int, int, str]]:
 
 def _mark_changes(text: str) -> list[tuple[int, int, str]]:
     return [(*mark.span(), "@" if mark.group(1) else ".")
-            for match in _BARE.finditer(text)
+            for match in _BARE.finditer(text) if _is_name(text, match)
             for mark in _BARE_MARK.finditer(text, *match.span())]
 
 
+def _number_changes(text: str) -> list[tuple[int, int, str]]:
+    return [(*mark.span(), ".")
+            for run in _NUMBER_RUN.finditer(text)
+            if not _VERSION.search(text, max(0, run.start() - _NEAR), run.start())
+            for mark in _NUMBER_MARK.finditer(text, *run.span())]
+
+
 def disguised(text: str) -> Traced | None:
     """The text with its disguises taken off; None where it has none."""
     odd = not text.isascii() and (_ODD.search(text) or _INVISIBLE.search(text))
@@ -207,6 +262,7 @@ def disguised(text: str) -> Traced | None:
         traced.replace(_BRACKET_AT, "@")
         traced.replace(_BRACKET_DOT, ".")
         traced.replace(_NUMBER_DOT, ".")
+        traced.rewrite(_number_changes(traced.text))
         traced.rewrite(_mark_changes(traced.text))
     return traced
 

@@ -129,6 +129,36 @@ def test_disguises_are_found_without_other_words(text, kind, said):
     assert private_data.find_spans("come at 10.30 or look at 3.5 dots") == []
 
 
+@pytest.mark.parametrize("text", [
+    "We met at noon.Then we left.", "see you at home.It rained", "look at example.com for more",
+    "contact us at example.com", "more is available at www.example.org today", "version 1.2 dot 3 dot 4",
+    "Version one point two point three point four", "section 4 point 1 point 2 point 3",
+    "They arrived at two.Five of them stayed at three.", "the train at platform nine.Seats are free",
+])
+def test_plain_prose_has_no_disguised_spans(text):
+    assert private_data.find_spans(text) == []
+
+
+def test_planted_disguises_are_found_and_prose_around_them_is_left_alone():
+    rng = random.Random(21)
+    prose = ("We met at noon.Then the shop opened at nine.It sold version 1.2 of the tool. "
+             "Look at example.com for the rest at any time.").split(" ")
+    found = 0
+    for n in range(200):
+        name, host = f"anna{n}", rng.choice(["mail", "post"]) + str(n)
+        figures = [str(rng.randrange(1, 256)) for _ in range(4)]
+        said, kind = rng.choice([
+            (f"{name} at {host} dot com", "email"), (f"{name} [at] {host} [dot] org", "email"),
+            (f"{name} at {host}.example.net", "email"), (" dot ".join(figures), "ip"),
+            ("[.]".join(figures), "ip")])
+        cut = rng.randrange(len(prose))
+        text = " ".join([*prose[:cut], "write to", said, "soon", *prose[cut:]])
+        spans = [(k, text[s:e]) for k, s, e, _ in private_data.find_spans(text)]
+        assert set(spans) <= {(kind, said)}, text
+        found += spans == [(kind, said)]
+    assert found == 200
+
+
 def test_the_gate_passes_over_no_disguise(monkeypatch):
     rng = random.Random(14)
     parts = ["one", "Seven", "oh", "1", "555", "10.0.0", "4111", "411111111111111", "+1", "plus", " ", " ",
