@@ -6,15 +6,18 @@ from pyspark.sql import functions as F
 
 from checks.extraction import joined
 from checks.registry import check, table, text_table
-from checks.tables import _known, _stored_catalog
+from checks.tables import StubClient, _known, _stored_catalog
 from stratalog.functions.guarded import field, given, total, when
 from stratalog.operators import catalog as cat
+from stratalog.operators.answers import ANSWER_ROWS, ANSWER_SCHEMA, run_stored_calls
 from stratalog.operators.merging import upsert_many
 from stratalog.operators.quality import Rule, rule_validate
 from stratalog.operators.replay import validation_replay
 from stratalog.plans.refresh import local_or_shared_root
 from stratalog.plans.requeue import requeue_loop
+from stratalog.schema import ANSWERS
 from stratalog.sources.digests import bag_digest, change_feed, same_bag, without, write_digests
+from stratalog.sources.snapshots import SnapshotStore
 
 # ---- rules that raise ------------------------------------------------------------------------
 
@@ -323,3 +326,44 @@ def requeued(spark, sf_dir):
     for more in runs[1:]:
         out = out.unionByName(more)
     return out
+
+
+# ---- answers asked once ----------------------------------------------------------------------
+
+#: A third of all documents share one topic, the others have theirs with those of equal hundreds.
+_TOPIC = "CASE WHEN doc_id % 3 = 0 THEN 3 ELSE 100 + doc_id % 400 END"
+
+
+def _topic_prompts(spark, sf_dir):
+    calls = F.array(*[F.struct(
+        F.lit(a.call_no).alias("call_no"), F.lit(a.label).alias("label"),
+        F.concat(F.lit("Item: "), F.col("topic").cast("string"), F.lit("\n"), F.lit(a.label)).alias("prompt"))
+        for a in ANSWERS])
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("item_key"), F.expr(_TOPIC).alias("topic")
+    ).select("item_key", calls.alias("prompts"))
+
+
+@check("answer_cache", f"""
+    WITH t AS (SELECT doc_id, {_TOPIC} AS i FROM documents),
+    n AS (SELECT *, CASE WHEN i % 17 = 0 THEN 3 WHEN i % 19 = 0 THEN 4 ELSE 6 END AS n_calls FROM t),
+    -- Each topic's calls are asked once; of a second run, those alone that had failed.
+    s AS (SELECT sum(n_calls) AS first_asked,
+        sum(CASE WHEN n_calls < 6 OR i % 5 = 0 THEN 1 ELSE 0 END) AS second_asked
+        FROM (SELECT DISTINCT i, n_calls FROM n))
+    SELECT CAST(doc_id AS VARCHAR) AS item_key, CAST(n_calls AS INTEGER) AS n_calls,
+        CAST(CASE WHEN n_calls < 6 OR i % 5 = 0 THEN 1 ELSE 0 END AS INTEGER) AS n_failed,
+        CAST(first_asked AS BIGINT) AS first_asked, CAST(second_asked AS BIGINT) AS second_asked
+    FROM n, s""")
+def answer_cache(spark, sf_dir):
+    store = SnapshotStore(spark, local_or_shared_root(spark, "answers"))
+    prompts = _topic_prompts(spark, sf_dir)
+    asked = [0]
+    for _ in range(2):
+        responses = run_stored_calls(prompts, store, StubClient, partitions=8)
+        asked.append(store.read_all(ANSWER_ROWS, ANSWER_SCHEMA).count())
+    return responses.select(
+        "item_key", F.size("responses").alias("n_calls"),
+        F.size(F.filter("responses", lambda r: r["error"].isNotNull())).alias("n_failed"),
+        F.lit(asked[1]).cast("bigint").alias("first_asked"),
+        F.lit(asked[2] - asked[1]).cast("bigint").alias("second_asked"))
