@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from checks.extraction import joined
 from checks.registry import check, table, text_table
-from checks.tables import StubClient, _known, _stored_catalog
+from checks.tables import REPARSE_HTML, StubClient, _known, _stored_catalog
 from stratalog.functions.guarded import field, given, total, when
 from stratalog.operators import catalog as cat
 from stratalog.operators.answers import ANSWER_ROWS, ANSWER_SCHEMA, run_stored_calls
 from stratalog.operators.merging import upsert_many
 from stratalog.operators.quality import Rule, rule_validate
 from stratalog.operators.replay import validation_replay
+from stratalog.operators.rereading import READ_ROWS, READ_SCHEMA, reparse_changed
 from stratalog.plans.refresh import local_or_shared_root
 from stratalog.plans.requeue import requeue_loop
 from stratalog.schema import ANSWERS
@@ -367,3 +368,43 @@ def answer_cache(spark, sf_dir):
         F.size(F.filter("responses", lambda r: r["error"].isNotNull())).alias("n_failed"),
         F.lit(asked[1]).cast("bigint").alias("first_asked"),
         F.lit(asked[2] - asked[1]).cast("bigint").alias("second_asked"))
+
+
+# ---- pages read where they have changed ------------------------------------------------------
+
+@check("reparse_incremental", """
+    WITH t AS (SELECT page_id, html, page_id % 5 AS v, least(page_id % 5 + 1.5, page_id % 3 + 2) AS gb,
+        greatest((page_id % 4 + 1) * 8000, page_id % 6 * 1000000) AS cw FROM pages),
+    -- What a page was made from: its markup, and for some a part that the number decides.
+    n AS (SELECT count(DISTINCT concat(html, v, CASE WHEN v > 2 THEN page_id % 60 END))
+            FILTER (v >= 2) AS first_read,
+        count(DISTINCT concat(html, page_id % 60)) FILTER (v = 3) AS second_read FROM t)
+    SELECT concat(side, page_id) AS item_key,
+        CASE WHEN v < 2 THEN 'old' WHEN v = 2 THEN NULL
+            WHEN page_id % 3 = 0 THEN concat('About', chr(10), 'Body & ', page_id)
+            WHEN page_id % 3 = 1 THEN concat('Text of ', page_id) END AS readme,
+        CAST(CASE WHEN v > 2 THEN 2 END AS INTEGER) AS n_specs,
+        CAST(CASE WHEN v > 2 THEN gb ELSE 4.1 END AS DOUBLE) AS min_ram_gb,
+        CASE WHEN v < 2 THEN 'skipped' ELSE 'updated' END AS action,
+        CAST(first_read AS BIGINT) AS first_read, CAST(second_read AS BIGINT) AS second_read
+    FROM t, n, (VALUES ('page-'), ('copy-')) sides(side)""")
+def reparse_incremental(spark, sf_dir):
+    """All pages, and then the same with a copy of each, a fifth of them with other markup."""
+    pages = text_table(spark, sf_dir, "pages").select("page_id", F.expr(REPARSE_HTML).alias("html"))
+    sides = F.explode(F.array(F.lit("page-"), F.lit("copy-")))
+    both = pages.withColumn("side", sides)
+    key = F.concat("side", F.col("page_id").cast("string"))
+    catalog = cat.conform(both.select(key.alias("k")), item_key=F.col("k"), readme=F.lit("old"),
+                          min_ram_gb=F.lit(4.1))
+    changed = F.when(F.col("page_id") % 5 == 3, F.concat("html", F.lit("<!-- again -->")))
+    store = SnapshotStore(spark, local_or_shared_root(spark, "readings"))
+    read = [0]
+    for landed in (
+            pages.select(F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("item_key"), "html"),
+            both.select(key.alias("item_key"), F.coalesce(changed, "html").alias("html"))):
+        out = reparse_changed(catalog, landed, store, "go")
+        read.append(store.read_all(READ_ROWS, READ_SCHEMA).count())
+    return out.select(
+        "item_key", "readme", F.size("memory_requirements").alias("n_specs"), "min_ram_gb",
+        F.col(cat.ACTION).alias("action"), F.lit(read[1]).cast("bigint").alias("first_read"),
+        F.lit(read[2] - read[1]).cast("bigint").alias("second_read"))
