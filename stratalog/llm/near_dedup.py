@@ -284,12 +284,21 @@ def _owned(buckets: DataFrame, owners: DataFrame) -> DataFrame:
 
 
 def _hub_pairs(owned: DataFrame, seed: int) -> DataFrame:
-    """Each member of a bucket with the bucket's hub, unless they are connected. All buckets draw alike,
-    so the buckets of one group mostly have one hub and a member meets it once; the next round draws
-    anew."""
+    """Each member of a bucket with the bucket's hub, unless they are connected.
+
+    In the first round the hub is the member that shares most buckets with most others: of the copies of
+    one text, those that differ least from it, which most of the rest can be linked with. The next round
+    draws by chance. All buckets rank alike, so those of one group mostly have few hubs.
+    """
     draw = F.xxhash64("node", F.lit(seed))
-    hubs = owned.groupBy("band").agg(F.min_by("node", draw).alias("hub"),
-                                     F.min_by("owner", draw).alias("hub_owner"))
+    rank = F.struct(draw)
+    if seed == 0:
+        sizes = owned.groupBy("band").agg(F.count("*").alias("members"))
+        shared = owned.join(sizes, "band").groupBy("node").agg(F.sum("members").alias("shared"))
+        owned = owned.join(shared, "node")
+        rank = F.struct(-F.col("shared"), draw)
+    hubs = owned.groupBy("band").agg(F.min_by("node", rank).alias("hub"),
+                                     F.min_by("owner", rank).alias("hub_owner"))
     pairs = owned.join(hubs, "band").filter("owner <> hub_owner")
     return pairs.select(F.least("node", "hub").alias("a"),
                         F.greatest("node", "hub").alias("b")).distinct()
