@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
@@ -27,8 +28,10 @@ from stratalog.operators.staleness import select_stale
 from stratalog.operators.vocab import (
     classify_by_table, map_audience, map_family, normalise_arrays_by_table, normalise_by_table,
 )
+from stratalog.plans.bucketed import upsert_bucketed
 from stratalog.plans.refresh import Options, Refresh, Site, local_or_shared_root
 from stratalog.schema import ANSWERS
+from stratalog.sources.buckets import BucketedTables
 from stratalog.sources.exports import read_export, write_export
 from stratalog.sources.snapshots import SnapshotStore
 
@@ -340,6 +343,16 @@ def catalog_upsert_small_crawl(spark, sf_dir):
     return _upsert_view(_upserted(spark, sf_dir, small))
 
 
+@check("upsert_bucketed", UPSERT_SQL)
+def upsert_in_buckets(spark, sf_dir):
+    made = uuid.uuid4().hex
+    tables = BucketedTables(spark, local_or_shared_root(spark, "buckets"), buckets=16)
+    stored = tables.write(f"state_{made}", _stored_catalog(spark, sf_dir))
+    return _upsert_view(upsert_bucketed(
+        tables, stored, _crawl(spark, sf_dir), f"merged_{made}", "https://example.org/items",
+        F.lit("2024-02-01").cast("timestamp")))
+
+
 @check("upsert_summary", f"""WITH {_MERGE_SQL}
     SELECT count(*) FILTER (c IS NULL) AS inserted,
         count(*) FILTER (c IS NOT NULL AND k IS NOT NULL) AS updated FROM m""")
