@@ -1,5 +1,6 @@
 """Packing, personal data, toxicity, mixing and the pipeline."""
 
+import itertools
 import os
 import random
 import re
@@ -179,6 +180,31 @@ def test_private_data_of_odd_rows(odd):
     assert private_data.private_data(odd.limit(0)).collect() == []
 
 
+def brute_subsequences(word):
+    """Weights of all subsequences of three and four symbols, and their length over occurrences."""
+    marked, weights, square = f"^{word}$", {}, 0.0
+    for n in (3, 4):
+        for at in itertools.combinations(range(len(marked)), n):
+            if at[-1] - at[0] < toxicity.SPAN:
+                weight = toxicity.DECAY ** (at[-1] - at[0] + 1 - n)
+                symbols = "".join(marked[i] for i in at)
+                weights[symbols] = weights.get(symbols, 0.0) + weight
+                square += weight ** 2
+    return weights, square ** 0.5
+
+
+def test_kernel_is_that_of_all_gapped_subsequences():
+    rng = random.Random(13)
+    words = sorted({"".join(rng.choice("abcdefgh1") for _ in range(rng.randint(2, 9))) for _ in range(60)})
+    got = toxicity.Landmarks(words).kernel(words)
+    plain = [brute_subsequences(word) for word in words]
+    want = np.array([[sum(w * b.get(u, 0.0) for u, w in a.items()) / (x * y) for b, y in plain]
+                     for a, x in plain])
+    off = abs(got - want)
+    # Four symbols share hashed numbers: few pairs may meet by chance, and only in part.
+    assert (off > 1e-4).mean() < 0.02 and off.max() < 0.1
+
+
 def test_toxicity_finds_gapped_words(spark):
     rng = random.Random(8)
     parts = ["th", "er", "on", "an", "re", "ing", "ou", "ti"]
@@ -248,7 +274,40 @@ def test_mixing_meets_its_targets(spark, odd):
     assert more.columns == frame.columns
     assert {r.doc_id for r in more.collect()} == {d[0] for d in docs}
     assert mixing.mixed(frame.limit(0), known, weights).collect() == []
-    assert {r.rate for r in mixing.mixed(odd, known.limit(0), weights).collect()} != set()
+    unlearnt = mixing.mixed(odd, known.limit(0), weights).collect()
+    assert sorted(str(r.doc_id) for r in unlearnt) == sorted(str(d[0]) for d in ODD)
+    for r in unlearnt:  # nothing learnt: every row has the prior, halves, and its rate is defined
+        assert np.allclose(r.p, [.5, .5]) and np.isfinite(r.rate) and r.rate >= 0
+    repeated = [(r.tokens, r.rate) for r in unlearnt if r.doc_id == 1]
+    assert len(repeated) == 2 and repeated[0] == repeated[1]
+
+
+def test_posteriors_are_those_of_a_plain_classifier(spark):
+    rng = random.Random(14)
+    docs = [(i, " ".join(rng.choice("abcdef" if i % 2 else "defghi") for _ in range(rng.randrange(9))), 0)
+            for i in range(60)]
+    frame = spark.createDataFrame(docs, DDL)
+    known = {i: "odd" if i % 2 else "even" for i in range(0, 60, 5)}
+    names, settings = ["even", "odd"], mixing.Mixture(buckets=1 << 16)
+    prior, chances = mixing.learn(
+        frame, spark.createDataFrame(list(known.items()), "doc_id bigint, domain string"), names, settings)
+    # Word classes are so many here that the nine words have one each.
+    counts = {name: dict.fromkeys("abcdefghi", 0.5) for name in names}
+    for i, name in known.items():
+        for word in docs[i][1].split():
+            counts[name][word] += 1
+    sums = {name: sum(counts[name].values()) + 0.5 * (settings.buckets - 9) for name in names}
+    rows = {name: sum(name == n for n in known.values()) + 0.5 for name in names}
+    for r in mixing.posteriors(frame, prior, chances).collect():
+        words = docs[r.doc_id][1].split()
+        z = []
+        for name in names:
+            each = sum(np.log(counts[name][w] / sums[name])
+                       - np.mean([np.log(counts[n][w] / sums[n]) for n in names]) for w in words)
+            z.append(np.log(rows[name] / sum(rows.values())) + each / max(1, len(words)) ** 0.5)
+        want = np.exp(np.array(z) - max(z))
+        assert r.tokens == len(words)
+        assert np.allclose(r.p, want / want.sum(), atol=1e-6)
 
 
 def made_members(spark, p, seed=10):
