@@ -367,3 +367,18 @@ def test_pipeline_stages_keep_their_contract(spark, sf_dir):
 def test_all_queries_are_registered():
     names = {name.split("_")[0] for name in queries.QUERIES}
     assert names == {f"op{n}" for n in range(1, 14)}
+
+
+def test_toxicity_of_held_out_rows(spark):
+    """Labelled rows that the model has not seen: toxic ones score higher, clean ones stay unmarked."""
+    sf_dir = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf_dir):
+        pytest.skip("no test tables")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("toxic IN (0, 1)").select(
+        "doc_id", "toxic").distinct()
+    rows = queries.QUERIES["op5_toxicity"](spark, sf_dir).filter("held_out").join(labels, "doc_id").collect()
+    toxic, clean = ([r.score for r in rows if r.toxic == label] for label in (1, 0))
+    above = sum((t > c) + 0.5 * (t == c) for t in toxic for c in clean)
+    assert above / (len(toxic) * len(clean)) >= 0.75
+    assert sum(t >= toxicity.THRESHOLD for t in toxic) >= len(toxic) // 2
+    assert sum(c >= toxicity.THRESHOLD for c in clean) <= len(clean) // 20
