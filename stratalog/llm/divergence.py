@@ -2,7 +2,8 @@
 
 Equal texts of a language are collapsed to one, with the number of copies that each source has. The text
 is taken apart once; its words count, for every source that has it, as often as that source has copies,
-both as occurrences and as documents. Pairs of sources are then compared on words that occur: a word that
+both as occurrences and as documents. Texts that occur once have nothing to meet and are taken apart where
+they lie, so that only copied texts are shuffled. Pairs of sources are then compared on words that occur: a word that
 neither has adds the same to every pair, a word that one has depends on its number there alone, so those
 are added up by number, and only words that both have are met by a join.
 """
@@ -16,11 +17,16 @@ from pyspark.sql import functions as F
 
 from stratalog.llm.common import lower_ascii, written
 from stratalog.operators.joins import is_small
+from stratalog.sources.pages import spread
 
 # Fixed value: what stands between two terms.
 BETWEEN_TERMS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
 
+# Hashes of copied texts that are broadcast at most, 8 bytes each; with more, all texts are collapsed.
+COPIED_HASHES = 1_000_000
+
+
 @dataclass(frozen=True)
 class Audit:
     min_docs: int = 30  # documents of the language that a kept term is in
@@ -43,17 +49,40 @@ def collapsed(docs: DataFrame) -> DataFrame:
     return texts.join(held, ["lang", "digest"]).select("lang", "text", "held")
 
 
+def by_copies(docs: DataFrame, limit: int = COPIED_HASHES) -> tuple[DataFrame | None, DataFrame]:
+    """Rows whose text and language occur once, and the others; None and all with more than ``limit``
+    hashes of texts that occur again. Texts that share a hash by chance are among the others."""
+    none = F.lit("")
+    rows = spread(docs.select("lang", "source", "text")).withColumn(
+        "hash", F.xxhash64(F.coalesce("lang", none), F.coalesce("text", none)))
+    copied = written(rows.groupBy("hash").count().filter("count > 1").select("hash"), "copied")
+    if not is_small(copied, limit):
+        return None, docs
+    copied = F.broadcast(copied)
+    return (rows.join(copied, "hash", "left_anti").drop("hash"),
+            rows.join(copied, "hash", "left_semi").drop("hash"))
+
+
 def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs): occurrences and documents of every term."""
     words = F.filter(F.split(lower_ascii(F.col("text")), BETWEEN_TERMS), lambda w: w != "")
-    read = collapsed(docs).select("lang", "held", words.alias("words"))
     # All words for the occurrences, distinct words for the documents.
-    views = F.array(*[
+    views = F.explode(F.array(*[
         F.struct(F.lit(n).alias("n"), F.lit(d).alias("d"), words_.alias("words"))
-        for n, d, words_ in ((1, 0, F.col("words")), (0, 1, F.array_distinct("words")))])
-    each = (read.select("lang", "held", F.explode(views).alias("v"))
+        for n, d, words_ in ((1, 0, F.col("words")), (0, 1, F.array_distinct("words")))]))
+    once, others = by_copies(docs)
+    each = (collapsed(others).select("lang", "held", words.alias("words"))
+            .select("lang", "held", views.alias("v"))
             .select("lang", F.explode("held").alias("h"), "v")
             .select("lang", "h.source", "h.copies", "v.n", "v.d", F.explode("v.words").alias("term")))
+    if once is not None:
+        none, one = F.lit(""), F.lit(1).cast("bigint")
+        each = each.unionByName(
+            once.select(*[F.coalesce(F.col(c), none).alias(c) for c in ("lang", "source")],
+                        words.alias("words"))
+            .select("lang", "source", views.alias("v"))
+            .select("lang", "source", one.alias("copies"), "v.n", "v.d",
+                    F.explode("v.words").alias("term")))
     return each.groupBy("lang", "source", "term").agg(
         F.sum(F.col("n") * F.col("copies")).alias("n"),
         F.sum(F.col("d") * F.col("copies")).alias("docs"))
@@ -84,10 +113,11 @@ def divergence(docs: DataFrame, audit: Audit = Audit()) -> DataFrame:
     and texts of any length are whole. Ties go by the item's bytes. Other columns are not read. An empty
     table gives no rows.
     """
-    counts = written(term_counts(docs), "terms")
-    kept = (counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
-            .filter(F.col("docs") >= audit.min_docs).drop("docs"))
-    kept = written(counts.drop("docs").join(kept, ["lang", "term"]), "kept_terms")
+    # The sums of a language stand beside its counts, so that these are shuffled once more and not joined.
+    of_term = Window.partitionBy("lang", "term")
+    kept = written(term_counts(docs).withColumns({
+        "lang_n": F.sum("n").over(of_term), "docs": F.sum("docs").over(of_term)}).filter(
+        F.col("docs") >= audit.min_docs).drop("docs"), "kept_terms")
 
     blank = F.lit("")
     occurring = docs.select(F.coalesce("lang", blank).alias("lang"),

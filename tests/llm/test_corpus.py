@@ -157,6 +157,24 @@ def test_copies_are_taken_apart_once(spark):
     assert sum(h.copies for r in rows for h in r.held) == 300
 
 
+def test_texts_that_occur_once_are_counted_where_they_lie(spark):
+    rows = some_rows() + ODD
+    times = Counter((lang or "", text or "") for _, text, lang, _ in rows)
+    once, others = audit.by_copies(frame(spark, rows))
+    assert once.count() == sum(n == 1 for n in times.values()) > 0
+    assert others.count() == sum(n for n in times.values() if n > 1) > 0
+    few, everything = audit.by_copies(frame(spark, rows), limit=0)
+    assert few is None and everything.count() == len(rows)
+
+
+def test_divergence_without_room_for_hashes(spark, monkeypatch):
+    rows = some_rows() + ODD
+    monkeypatch.setattr(audit.by_copies, "__defaults__", (0,))
+    got = audit.divergence(frame(spark, rows), audit.Audit(2)).select(
+        "lang", "source", "part", "item", "value", "rank").collect()
+    assert {tuple(r) for r in got} == brute_divergence(rows, 2, 50)
+
+
 # collocations
 
 def brute_counts(rows, most):
