@@ -34,13 +34,15 @@ from stratalog.session import ship
 
 MIN_WORDS, LONG_WORDS, CUT_ONE_IN = 4, 24, 8
 BLOCK_WORDS = 25
-#: Words whose hashes a task remembers, and words that are hashed in one go.
-HELD_WORDS, CHUNK_WORDS = 1 << 18, 1 << 17
+#: Characters whose words are hashed in one go, powers that are remembered, and characters of a word that is
+#: hashed by itself.
+CHUNK_CHARS, CHUNK_WORDS, LONG_WORD = 1 << 19, 1 << 20, 64
 #: Entries that a task compares and deals at once, and characters of text to a bucket of each kind.
 LOT_ENTRIES, ANCHOR_CHARS, RUN_CHARS = 1 << 18, 1 << 26, 1 << 24
 
 _SENTENCE = re.compile(r"[^\n.!?]*(?:[.!?]+[^\S\n]*\n?|\n|\Z)")
 _WORD = re.compile(r"\S+\s*")
+_WHITE = re.compile(r"\s")
 
 
 def _sentences(text: str) -> Iterator[tuple[str, int]]:
@@ -106,34 +108,78 @@ def _cut_long(line: str) -> list[tuple[str, int]]:
     return parts
 
 
-class _Hashes(dict):
-    """Hashes of words, remembered."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= HELD_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word) - (1 << 63)
-        return value
-
-
 _BASE = 0x9E3779B97F4A7C15
+_held_powers: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+    """The first ``n`` powers modulo 2**64, remembered up to ``CHUNK_WORDS``."""
+    held = _held_powers.get(base)
+    if held is None or len(held) < n:
+        held = np.full(max(n, CHUNK_WORDS), base, np.uint64)
+        held[:1] = 1
+        np.multiply.accumulate(held, out=held)
+        if n <= CHUNK_WORDS:
+            _held_powers[base] = held
+    return held[:n]
+
+
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        values = (values ^ (values >> np.uint64(31))) * np.uint64(factor)
+    return values ^ (values >> np.uint64(29))
+
+
+#: A number for each code point.
+_LETTERS = _mixed(np.arange(1, 0x110001, dtype=np.uint64) * np.uint64(_BASE))
+
+
+def _hashed_words(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(first characters, hashes) of the words of a text. All words are hashed at once, as polynomials of
+    their characters; the few that are longer than ``LONG_WORD`` one by one."""
+    if text.isascii():
+        codes = np.frombuffer(text.encode("ascii"), np.uint8)
+        white = _SPACES[codes]
+    else:
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        white = _SPACES[np.minimum(codes, len(_SPACES) - 1)]
+    white = np.concatenate(([True], white, [True]))
+    edges = np.flatnonzero(white[1:] != white[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(_LETTERS[codes] * _powers(_BASE, len(codes)), out=sums[1:])
+    hashes = _mixed((sums[ends] - sums[starts]) * _powers(_INVERSE, len(codes))[starts])
+    for k in np.flatnonzero(ends - starts > LONG_WORD):
+        hashes[k] = xxhash.xxh3_64_intdigest(text[starts[k]:ends[k]])
+    return starts, hashes
+
+
+def _word_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """What ``_hashed_words`` gives, a bounded part of the text at a time."""
+    if len(text) <= CHUNK_CHARS:
+        return _hashed_words(text)
+    parts, at = [], 0
+    while at < len(text):
+        white = _WHITE.search(text, at + CHUNK_CHARS)
+        end = white.start() if white else len(text)
+        starts, hashes = _hashed_words(text[at:end])
+        parts.append((starts + at, hashes))
+        at = end
+    return tuple(map(np.concatenate, zip(*parts, strict=True)))
 
 
 def _rolled(hashes: np.ndarray, n: int) -> np.ndarray:
     """A hash of each run of ``n`` elements: a polynomial modulo 2**64, whose base can be divided by."""
     sums = np.zeros(len(hashes) + 1, np.uint64)
     np.cumsum(hashes * _powers(_BASE, len(hashes)), out=sums[1:])
-    return (sums[n:] - sums[:-n]) * _powers(pow(_BASE, -1, 1 << 64), len(hashes) - n + 1)
+    return (sums[n:] - sums[:-n]) * _powers(_INVERSE, len(hashes) - n + 1)
 
 
-def _keys(hashes: np.ndarray, block_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(anchor, hash) of each run of ``block_words`` words; both depend on the run's words alone."""
+def _anchors(hashes: np.ndarray, block_words: int) -> np.ndarray:
+    """The anchor of each run of ``block_words`` words, which depends on the run's words alone."""
     gram = block_words // 2 + 1
     least = _rolled(hashes, gram)
     least ^= least >> np.uint64(32)
@@ -144,26 +190,31 @@ def _keys(hashes: np.ndarray, block_words: int) -> tuple[np.ndarray, np.ndarray]
         step = min(held, span - held)
         least = np.minimum(least[:-step], least[step:])
         held += step
-    return least.view(np.int64), _rolled(hashes, block_words).view(np.int64)
+    return least.view(np.int64)
 
 
-def _runs(texts: list[str], known: _Hashes, block_words: int):
-    """(text numbers, first words, anchors, hashes) of all runs, some texts at a time."""
-    parts, numbers, held = [], [], 0
+def _runs(texts: list[str], block_words: int):
+    """(text numbers, first words, anchors, words' hashes, places of the runs among these) of all runs,
+    some texts at a time."""
+    first, chars = 0, 0
     for number, text in enumerate(texts):
-        words = (text or "").split()
-        if len(words) >= block_words:
-            parts.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
-            numbers.append(number)
-            held += len(words)
-        if parts and (held >= CHUNK_WORDS or number + 1 == len(texts)):
-            counts = np.array([len(part) for part in parts])
-            anchors, hashes = _keys(np.concatenate(parts).view(np.uint64), block_words)
-            at = np.arange(held) - np.repeat(np.cumsum(counts) - counts, counts)
-            whole = np.flatnonzero(at + block_words <= np.repeat(counts, counts))
-            yield (np.repeat(numbers, counts)[whole], at[whole].astype(np.int32), anchors[whole],
-                   hashes[whole])
-            parts, numbers, held = [], [], 0
+        chars += len(text or "")
+        if chars < CHUNK_CHARS and number + 1 < len(texts):
+            continue
+        held = [text or "" for text in texts[first:number + 1]]
+        numbers, offsets = np.arange(first, number + 1), np.zeros(len(held), np.int64)
+        np.cumsum([len(text) + 1 for text in held[:-1]], out=offsets[1:])
+        first, chars = number + 1, 0
+        starts, hashes = _word_hashes("\n".join(held))
+        if len(hashes) < block_words:
+            continue
+        firsts = np.searchsorted(starts, offsets)
+        counts = np.diff(np.append(firsts, len(starts)))
+        at = np.arange(len(hashes)) - np.repeat(firsts, counts)
+        whole = np.flatnonzero(at + block_words <= np.repeat(counts, counts))
+        if len(whole):
+            yield (np.repeat(numbers, counts)[whole], at[whole].astype(np.int32),
+                   _anchors(hashes, block_words)[whole], hashes, whole)
 
 
 def _first_holders(keys: np.ndarray, docs: np.ndarray, at: np.ndarray | None = None):
@@ -227,8 +278,8 @@ class _Lot:
             [pa.array(bucket[starts]), *lists], ["bucket", *self.names])
 
 
-_ANCHORS = {"keys": "bigint", "docs": "bigint", "several": "boolean"}
-_RUNS = {"keys": "bigint", "docs": "bigint", "at": "int", "hashes": "bigint", "holders": "bigint",
+_ANCHOR_LISTS = {"keys": "bigint", "docs": "bigint", "several": "boolean"}
+_RUN_LISTS = {"keys": "bigint", "docs": "bigint", "at": "int", "hashes": "bigint", "holders": "bigint",
          "holder_at": "int"}
 
 
@@ -240,10 +291,10 @@ def _anchor_entries(block_words: int, buckets: int):
     """Each anchor of each text."""
 
     def entries_of(batches):
-        known, lot = _Hashes(), _Lot(list(_ANCHORS), buckets)
+        lot = _Lot(list(_ANCHOR_LISTS), buckets)
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
-            for rows, _, anchors, _ in _runs(batch.column("text").to_pylist(), known, block_words):
+            for rows, _, anchors, *_ in _runs(batch.column("text").to_pylist(), block_words):
                 new = np.ones(len(rows), bool)
                 new[1:] = (rows[1:] != rows[:-1]) | (anchors[1:] != anchors[:-1])
                 yield from lot.add(anchors[new], ids[rows[new]], anchors[new])
@@ -256,17 +307,19 @@ def _run_entries(block_words: int, buckets: int):
     """Each run of a text whose anchor another document has too."""
 
     def entries_of(batches):
-        known, lot = _Hashes(), _Lot(list(_RUNS), buckets)
+        lot = _Lot(list(_RUN_LISTS), buckets)
         for batch in batches:
             ids, hashes = batch.column("key").to_numpy(), batch.column("text_hash").to_numpy()
             shared = batch.column("shared")
             bounds, shared = shared.offsets.to_numpy(), shared.values.to_numpy()
-            for rows, at, anchors, runs in _runs(batch.column("text").to_pylist(), known, block_words):
+            for rows, at, anchors, words, places in _runs(
+                    batch.column("text").to_pylist(), block_words):
                 # An anchor that one text shares is shared in all texts that have it.
                 keep = np.isin(anchors, shared[bounds[rows[0]]:bounds[rows[-1] + 1]])
                 if keep.any():
+                    runs = _rolled(words, block_words).view(np.int64)[places[keep]]
                     yield from lot.add(
-                        runs[keep], ids[rows[keep]], anchors[keep], at[keep], hashes[rows[keep]])
+                        runs, ids[rows[keep]], anchors[keep], at[keep], hashes[rows[keep]])
         yield from lot.rest()
 
     return entries_of
@@ -448,13 +501,13 @@ def _blocks_of(keyed: DataFrame, docs: DataFrame, block_words: int) -> DataFrame
         F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     chars = texts.agg(F.sum(F.length("text").cast("bigint"))).first()[0] or 0
     shared = written(
-        texts.mapInArrow(_anchor_entries(block_words, chars // ANCHOR_CHARS + 1), _dealt_type(_ANCHORS))
+        texts.mapInArrow(_anchor_entries(block_words, chars // ANCHOR_CHARS + 1), _dealt_type(_ANCHOR_LISTS))
         .groupBy("bucket").applyInArrow(_shared_anchors, "doc_id bigint, anchors array<bigint>")
         .groupBy("doc_id").agg(F.flatten(F.collect_list("anchors")).alias("shared")), "anchors")
     runs = keyed.join(shared.withColumnRenamed("doc_id", "key"), "key").select(
         "key", "text_hash", "text", "shared", F.length(F.col("row").cast("string")).alias("_used"))
     ranges = (
-        runs.mapInArrow(_run_entries(block_words, chars // RUN_CHARS + 1), _dealt_type(_RUNS))
+        runs.mapInArrow(_run_entries(block_words, chars // RUN_CHARS + 1), _dealt_type(_RUN_LISTS))
         .groupBy("bucket").applyInArrow(
             _common_ranges(block_words), "doc_id bigint, " + ", ".join(
                 f"{name} {kind}" for name, kind in _BLOCK.items())))

@@ -258,3 +258,22 @@ def test_line_dedup_moves_texts_once(spark, tmp_path):
     assert sorted(r.removed_lines > 0 for r in cut.collect()) == [False, True]
     plan = cut._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan.split("== Initial Plan ==")[0], plan
+
+
+@pytest.mark.parametrize("chars", [1 << 19, 7])
+def test_words_are_hashed_alike_wherever_they_are(monkeypatch, chars):
+    monkeypatch.setattr(lines, "CHUNK_CHARS", chars)
+    word = "ab" * 40
+    texts = ["", " ", "one two\tone", f"{word} x\u3000one {word}b", "\x1c na\u00efve\u00a0two \x85 one\n",
+             "\U0001F600 b\U0001F600 \U0001F600", None, "ba ab a b aab"]
+    known, several = {}, " ".join(text or "" for text in texts)
+    for text in [text or "" for text in texts] + [several]:
+        starts, hashes = lines._word_hashes(text)
+        words = text.split()
+        assert [text[at:at + len(w)] for at, w in zip(starts, words, strict=True)] == words
+        for w, value in zip(words, hashes.tolist(), strict=True):
+            assert known.setdefault(w, value) == value
+    assert len(set(known.values())) == len(known) == len(set(several.split()))
+    runs = {tuple((texts[n] or "").split()[at:at + 2])
+            for numbers, places, *_ in lines._runs(texts, 2) for n, at in zip(numbers, places)}
+    assert runs == {pair for t in texts for w in [(t or "").split()] for pair in zip(w, w[1:])}
