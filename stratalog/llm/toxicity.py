@@ -90,6 +90,10 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return word, key, weight / norm[word]
 
 
+#: Words that are compared with the landmarks at once: each of their subsequences takes a row of floats.
+COMPARED_WORDS = 64
+
+
 class Landmarks:
     """Words to compare others with: their subsequences and the weights each word has for them."""
 
@@ -101,8 +105,8 @@ class Landmarks:
 
     def kernel(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), self.weights.shape[1]), np.float32)
-        for start in range(0, len(words), 500):
-            word, key, weight = subsequences(words[start:start + 500])
+        for start in range(0, len(words), COMPARED_WORDS):
+            word, key, weight = subsequences(words[start:start + COMPARED_WORDS])
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             same = np.flatnonzero(self.keys[at] == key)
             same = same[np.argsort(word[same], kind="stable")]
@@ -153,10 +157,12 @@ class WordModel:
     bias: float
 
     def scores(self, words: list[str]) -> np.ndarray:
-        if not words:
-            return np.zeros(0)
-        word, key, weight = subsequences(words)
-        return np.bincount(word, weight * self.weights[key], minlength=len(words)) + self.bias
+        out = np.full(len(words), self.bias)
+        for at in range(0, len(words), BLOCK):
+            word, key, weight = subsequences(words[at:at + BLOCK])
+            out[at:at + BLOCK] += np.bincount(
+                word, weight * self.weights[key], minlength=len(out[at:at + BLOCK]))
+        return out
 
 
 def fit_words(words: list[str], toxic: np.ndarray, clean: np.ndarray, marks: list[str],

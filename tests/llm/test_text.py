@@ -4,6 +4,7 @@ import itertools
 import os
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -382,3 +383,22 @@ def test_toxicity_of_held_out_rows(spark):
     assert above / (len(toxic) * len(clean)) >= 0.75
     assert sum(t >= toxicity.THRESHOLD for t in toxic) >= len(toxic) // 2
     assert sum(c >= toxicity.THRESHOLD for c in clean) <= len(clean) // 20
+
+
+def test_fitting_holds_few_subsequences_at_once():
+    """Words are compared and scored some at a time, with the numbers that all at once give."""
+    rng = np.random.default_rng(2)
+    words = ["".join(map(chr, rng.integers(97, 123, 24))) for _ in range(6000)]
+    landmarks = toxicity.Landmarks(words[:256])
+    model = toxicity.WordModel(rng.random(toxicity.TABLE).astype(np.float32), 0.5)
+    tracemalloc.start()
+    kernel = landmarks.kernel(words[:1000])
+    of_kernel = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    scores = model.scores(words)
+    of_scores = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert of_kernel < 100e6 and of_scores < 100e6
+    assert (kernel[-1] == landmarks.kernel(words[999:1000])[0]).all()
+    assert (scores[[0, 2500, -1]] == [model.scores([words[i]])[0] for i in (0, 2500, -1)]).all()
+    assert len(model.scores([])) == 0
