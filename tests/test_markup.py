@@ -2,8 +2,10 @@
 
 import random
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from stratalog.functions import markup as m
 
@@ -64,3 +66,21 @@ def test_character_noise(seed):
 def test_real_pages_take_the_fast_way(sf_dir):
     pages = pq.read_table(f"{sf_dir}/pages.parquet", columns=["html"])["html"].to_pylist()
     assert all(compare(p) for p in pages)
+
+
+def test_pages_are_read_in_parts_of_bounded_size(spark, monkeypatch):
+    """What is read goes on a part at a time, however many pages a batch has; none is lost or moved."""
+    lengths = [0, 10, 3, 0, 50, 7, 7, 7, 1, 0]
+    batch = pa.array([None if n == 0 else "x" * n for n in lengths])
+    monkeypatch.setattr(m, "BYTES_AT_ONCE", 14)
+    parts = list(m._bounded(batch))
+    assert pa.concat_arrays(parts).equals(batch)
+    assert len(parts) > 3 and all(len(p) == 1 or sum(len(v or "") for v in p.to_pylist()) < 28
+                                  for p in parts)
+    assert [len(p) for p in m._bounded(batch[:0])] == [0]
+    pages = spark.range(3000).selectExpr(
+        "id", "if(id % 7 = 0, null, concat('<p>', repeat('x', 2000), id, '</p>')) AS html").coalesce(1)
+    read = m.read_page(F.col("html"), ("detail",), readme_id="readme", applications_title="A")
+    rows = pages.select("id", "html", read["detail"]["page_text"].alias("text")).collect()
+    assert len(rows) == 3000
+    assert all(r.text == (r.html and "x" * 2000 + str(r.id)) for r in rows)
