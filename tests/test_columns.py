@@ -145,6 +145,30 @@ def test_spec_rows_long_run_is_linear(spark):
     assert specs_of(spark, "x" * 2_000_000) is None
 
 
+def test_spec_rows_are_one_arrow_step(spark):
+    """No pattern is searched and no array function run by lambdas: these took most of the time."""
+    texts = spark.createDataFrame([("a 1 GB 8K",)], "t string").select(spec_rows(F.col("t")).alias("r"))
+    plan = texts._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and not any(
+        word in plan for word in ("lambda", "regexp_", "transform(", "array_sort"))
+
+
+def test_spec_rows_of_odd_texts(spark):
+    [huge] = specs_of(spark, "a 2000000000000000000 GB 8K")
+    assert (huge["size_gb"], huge["recommended_ram_gb"]) == (2e18, 2.5e18)
+    [row] = specs_of(spark, "a 1 GB 9223372036854775807K")
+    assert row["context_window"] is None
+    three, k = chr(0x663), chr(0x212A)  # a digit and a K of other scripts are none to a cast
+    [row] = specs_of(spark, f"\u00e9 {three} GB\u3000\u00b7\u20038{k}")
+    assert (row["tag"], row["size_gb"], row["context"], row["context_window"]) == (
+        "\u00e9", None, f"8{k}", None)
+    assert specs_of(spark, "a\x1c1 GB 8K") is None
+    rows = spark.sql("SELECT CAST(concat(X'FF', encode(t, 'UTF-8')) AS string) AS t FROM "
+                     "VALUES ('a 1 GB 8K'), ('a 2 GB'), (NULL), ('') x(t)").select(
+        spec_rows(F.col("t")).alias("r")).collect()
+    assert [r["r"] and r["r"][0]["tag"] for r in rows] == ["a", None, None, None]
+
+
 def test_rollup(spark):
     kind = "array<struct<size_gb:double,context_window:bigint>>"
     data = [[(4.14, 8000), (2.45, None), (0.0, 0)], [(0.0, 0)], [], None, [(6.01, None)], [(9.0, 5)]]
