@@ -1,5 +1,7 @@
 """Reading pages: listing, detail, sections."""
 
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from stratalog.operators.detail import detail_extract, html_sections, page_text
 from stratalog.operators.listing import listing_extract
@@ -132,3 +134,18 @@ def test_page_sources(spark):
     got = detail_pages(df, "https://e.org/lib/").orderBy("item_key").collect()
     # A failed fetch doesn't win over a page, and a page landed twice is one.
     assert [tuple(r) for r in got] == [("a", "old"), ("b", "b")]
+
+
+def test_arrow_batches_are_bounded_by_bytes(spark):
+    """Rows alone bound no memory: a thousand rows of 40 kB are a batch of 40 MB."""
+    from stratalog import session
+
+    session.ship(spark)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    rows = spark.range(0, 1000, 1, 1).select(F.repeat(F.lit("x"), 40_000).alias("t"))
+    found = [r["n"] for r in rows.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) > 40e6 and max(found) < 1.1 * session.BATCH_BYTES
