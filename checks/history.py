@@ -264,7 +264,7 @@ def many_crawls(spark, sf_dir):
         "CASE WHEN n <> 3 THEN concat('new ', n, '/', share) END AS readme",
         "NULL AS applications", "NULL AS memory_requirements", "double(n) AS min_ram_gb",
         "n * 1000 AS context_window", "'fast' AS speed_tier")
-    merged = upsert_many(_stored_catalog(spark, sf_dir), rows, "https://example.org/items")
+    merged = upsert_many(_stored_catalog(spark, sf_dir), rows, "https://example.org/items", spread=True)
     return merged.select(
         "item_key", "item_name", "description", joined("labels").alias("labels"), "is_uncensored",
         "pulls", "last_updated", "readme", "min_ram_gb", "domain",

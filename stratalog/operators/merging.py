@@ -19,7 +19,8 @@ _LAST = ("pulls", "tags", "last_updated", "last_updated_str", "description", "ca
 
 
 def upsert_many(
-    catalog: DataFrame, crawls: DataFrame, base_url: str, item_type: str = "official"
+    catalog: DataFrame, crawls: DataFrame, base_url: str, item_type: str = "official",
+    spread: bool = False,
 ) -> DataFrame:
     """Merge all ``crawls`` into the catalog; adds ``_action``. Equals one ``catalog_upsert`` after
     another.
@@ -29,6 +30,10 @@ def upsert_many(
     so repeated rows change nothing. Crawl rows without a key or a number are left out. The catalog is
     unique by key and may lack columns. ``_action`` is ``inserted`` for keys it had not, ``updated`` or
     ``kept``.
+
+    The step before the shuffle sorts a task's rows. Crawls that are computed from narrower rows come in
+    partitions that were measured by those; with ``spread`` all rows are dealt by their own size first, by
+    key and crawl, so that partitions stay small and one with many rows of a key can be split.
     """
     detail_columns = [c for c in (*CONTENT_COLUMNS, *ROLLUP_COLUMNS) if c in catalog.columns]
     last_columns = [c for c in _LAST if c in catalog.columns]
@@ -48,6 +53,8 @@ def upsert_many(
         fields(last_columns).alias("last"), fields(detail_columns).alias("detail"))
     stored = catalog.select("item_key", F.struct(*catalog.columns).alias("c"))
     both = stored.unionByName(crawled, allowMissingColumns=True)
+    if spread:
+        both = both.withColumn("crawl", F.col("at.crawl_no")).hint("rebalance", "item_key", "crawl")
 
     at, hint = F.col("at"), F.col("hint")
 

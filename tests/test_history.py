@@ -245,6 +245,8 @@ def test_many_crawls_equal_one_after_another(spark):
     assert {k: r["_action"] for k, r in rows.items()} == actions
     assert {k: tuple(r)[:-1] for k, r in rows.items()} == {
         r["item_key"]: tuple(r) for r in want.collect()}
+    dealt = upsert_many(stored, given, "https://x/", spread=True)
+    assert plan(dealt).count("Exchange") == 2 and {r["item_key"]: r for r in dealt.collect()} == rows
     narrow = upsert_many(stored.drop("readme", "applications", "memory_requirements"), given, "https://x")
     assert {r["item_key"]: r["min_ram_gb"] for r in narrow.collect()} == {
         k: r["min_ram_gb"] for k, r in rows.items()}
